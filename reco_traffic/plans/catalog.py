@@ -12,8 +12,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators import stats
+from ..operators import parse, stats
+from ..session import scratch_path
+from ..sources import readers, writers
 from . import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +122,97 @@ def q_item_tags(spark, sf):
     tags=fx.SQL_TAGS, items=fx.SQL_ITEMS))
 def q_items_with_tags(spark, sf):
     return stats.items_with_tags(fx.items(spark, sf), stats.item_tags(fx.tags(spark, sf)))
+
+
+# ------------------------------------------------------ sources, sinks, parsers
+# Round trips: data derived by Spark from the test tables is written with the
+# sink and read back with the source, so the oracle is the mapping itself.
+
+
+@register("read_ratings_csv", with_ctes("select * from ratings", ratings=fx.SQL_RATINGS))
+def q_read_ratings_csv(spark, sf):
+    path = scratch_path(spark, "ratings-csv")
+    writers.write_table(fx.ratings(spark, sf), path, format="csv", options={"header": "true"})
+    return readers.read_ratings_csv(spark, path)
+
+
+@register("read_items_csv", with_ctes("select * from items", items=fx.SQL_ITEMS))
+def q_read_items_csv(spark, sf):
+    path = scratch_path(spark, "items-csv")
+    writers.write_table(fx.items(spark, sf), path, format="csv", options={"header": "true"})
+    return readers.read_items_csv(spark, path)
+
+
+@register("read_tags_csv", with_ctes("select * from tags", tags=fx.SQL_TAGS))
+def q_read_tags_csv(spark, sf):
+    path = scratch_path(spark, "tags-csv")
+    writers.write_table(fx.tags(spark, sf), path, format="csv", options={"header": "true"})
+    return readers.read_tags_csv(spark, path)
+
+
+@register("write_table", with_ctes(
+    "select item_id, round(avg(rating), 6) as avg from ratings group by item_id", ratings=fx.SQL_RATINGS))
+def q_write_table(spark, sf):
+    path = scratch_path(spark, "average-scores")
+    writers.write_table(stats.average_ratings(fx.ratings(spark, sf)), path)
+    back = readers.read_table(spark, path, T.StructType([
+        T.StructField("item_id", T.IntegerType()), T.StructField("avg", T.DoubleType())]))
+    return back.select("item_id", r6("avg").alias("avg"))
+
+
+@register("write_search_docs", ORACLES["items_with_tags"])
+def q_write_search_docs(spark, sf):
+    path = scratch_path(spark, "item-docs")
+    docs = stats.items_with_tags(fx.items(spark, sf), stats.item_tags(fx.tags(spark, sf)))
+    writers.write_search_docs(docs, path, "item_id")
+    return readers.read_table(spark, path, T.StructType([
+        T.StructField("item_id", T.IntegerType()), T.StructField("title", T.StringType()),
+        T.StructField("genres", T.StringType()), T.StructField("tags", T.StringType())]), format="json")
+
+
+@register("parse_rating_message", with_ctes("select * from ratings", ratings=fx.SQL_RATINGS))
+def q_parse_rating_message(spark, sf):
+    r = fx.ratings(spark, sf)
+    msgs = r.select(F.concat_ws("|", *[F.col(c).cast("string") for c in r.columns]).alias("value"))
+    return parse.parse_rating_message(msgs)
+
+
+@register("write_event_json", with_ctes(
+    "select camera_id, car_id, event_time, cast(floor(speed) as int) as speed, road_id from ev",
+    ev=fx.SQL_CAR_EVENTS))
+def q_write_event_json(spark, sf):
+    path = scratch_path(spark, "car-events-json")
+    ev = fx.car_events(spark, sf).withColumn("speed", F.floor("speed").cast("int"))
+    writers.write_event_json(ev, path, columns=["camera_id", "car_id", "event_time", "speed", "road_id"])
+    return parse.parse_car_event(spark.read.text(path))
+
+
+def _camera_lines(spark, sf):
+    """Camera text derived from the events table: 14 comma-separated fields
+    per event, plus one ';' comment line per camera."""
+    ev = fx.car_events(spark, sf)
+    fields = [F.col("camera_id"), F.lit("a"), F.col("car_id"), F.lit("b"),
+              F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit("c"),
+              F.floor("speed").cast("int").cast("string")] + [F.lit("x")] * 6 + [F.col("road_id")]
+    body = ev.select(F.concat_ws(",", *fields).alias("value"))
+    comments = ev.select(F.concat(F.lit(";camera "), F.col("camera_id")).alias("value")).distinct()
+    return body.unionByName(comments)
+
+
+@register("read_camera_text", with_ctes(
+    "select camera_id, car_id, strftime(event_time, '%Y-%m-%d %H:%M:%S') as event_time,"
+    " cast(cast(floor(speed) as int) as varchar) as speed, road_id from ev",
+    ev=fx.SQL_CAR_EVENTS))
+def q_read_camera_text(spark, sf):
+    path = scratch_path(spark, "camera-text")
+    _camera_lines(spark, sf).write.mode("overwrite").text(path)
+    return readers.read_camera_text(spark, path)
+
+
+@register("parse_car_event", with_ctes(
+    "select camera_id, car_id, strptime(strftime(event_time, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S')"
+    " as event_time, cast(floor(speed) as int) as speed, road_id from ev",
+    ev=fx.SQL_CAR_EVENTS))
+def q_parse_car_event(spark, sf):
+    cams = readers.parse_camera_lines(_camera_lines(spark, sf))
+    return parse.parse_car_event(writers.to_event_json(cams))
