@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import parse, stats
+from ..functions.columns import cosine_similarity
+from ..operators import parse, scoring, similarity, stats
 from ..session import scratch_path
 from ..sources import readers, writers
 from . import fixtures as fx
@@ -216,3 +217,124 @@ def q_read_camera_text(spark, sf):
 def q_parse_car_event(spark, sf):
     cams = readers.parse_camera_lines(_camera_lines(spark, sf))
     return parse.parse_car_event(writers.to_event_json(cams))
+
+
+# ------------------------------------------------------------ similarity
+
+
+def sql_similarity(threshold: float) -> str:
+    cos = "list_cosine_similarity(cast(a.embedding as double[]), cast(b.embedding as double[]))"
+    return (f"select cast(a.vec_id as int) as item_id, cast(b.vec_id as int) as other_id, {cos} as sim"
+            f" from embeddings a join embeddings b on a.vec_id <> b.vec_id where {cos} > {threshold!r}")
+
+
+def test_similarity(spark, sf, threshold):
+    return similarity.similar_items(fx.item_factors(spark, sf), threshold=threshold)
+
+
+@register("similar_items", with_ctes(
+    "select item_id, other_id, round(sim, 6) as sim from sim", sim=sql_similarity(fx.TEST_SIM_THRESHOLD)))
+def q_similar_items(spark, sf):
+    return test_similarity(spark, sf, fx.TEST_SIM_THRESHOLD).select("item_id", "other_id", r6("sim").alias("sim"))
+
+
+@register("cosine_similarity",
+          "select cast(a.vec_id as int) as item_id, cast(b.vec_id as int) as other_id,"
+          " round(list_cosine_similarity(cast(a.embedding as double[]), cast(b.embedding as double[])), 6) as sim"
+          " from embeddings a join embeddings b on b.vec_id = a.vec_id + 1")
+def q_cosine_similarity(spark, sf):
+    f = fx.item_factors(spark, sf)
+    a = f.select(F.col("item_id"), F.col("features").alias("fa"))
+    b = f.select((F.col("item_id") - 1).alias("item_id"), F.col("item_id").alias("other_id"),
+                 F.col("features").alias("fb"))
+    return a.join(b, "item_id").select(
+        "item_id", "other_id", r6(cosine_similarity("fa", "fb")).alias("sim"))
+
+
+# ------------------------------------------------------------ candidate scoring
+# The event of each user is their newest rating; history is all ratings.
+
+SCORING_CTES = dict(
+    ratings=fx.SQL_RATINGS,
+    sim=sql_similarity(fx.TEST_CANDIDATE_THRESHOLD),
+    ord="select *, row_number() over (partition by user_id order by ts desc, item_id asc, rating desc) as rn"
+        " from ratings",
+    rec="select user_id, item_id, rating, ts from ord where rn <= 20",
+    ev="select user_id, item_id, ts from ord where rn = 1",
+    cand_all="select e.user_id, s.other_id as item_id, s.sim from ev e join sim s on s.item_id = e.item_id"
+             " where not exists (select 1 from ratings r where r.user_id = e.user_id and r.item_id = s.other_id)",
+    cand="select user_id, item_id from (select *, row_number() over (partition by user_id order by sim desc,"
+         " item_id) as rn from cand_all) where rn <= 20",
+    sc="select c.user_id, c.item_id, avg(s.sim * r.rating) as b,"
+       " count(*) filter (where r.rating > 3) as i, count(*) filter (where r.rating <= 3) as d"
+       f" from cand c join sim s on s.item_id = c.item_id and s.sim > {fx.TEST_SCORE_THRESHOLD!r}"
+       " join rec r on r.user_id = c.user_id and r.item_id = s.other_id group by c.user_id, c.item_id",
+)
+
+
+def _scoring_inputs(spark, sf):
+    r = fx.ratings(spark, sf)
+    sim = test_similarity(spark, sf, fx.TEST_CANDIDATE_THRESHOLD)
+    ev = scoring.latest_event_per_user(r)
+    return r, sim, ev
+
+
+@register("recent_ratings", with_ctes("select * from rec", **SCORING_CTES))
+def q_recent_ratings(spark, sf):
+    return scoring.recent_ratings(fx.ratings(spark, sf), k=20)
+
+
+@register("exclude_rated", with_ctes(
+    "select user_id, item_id, round(sim, 6) as sim from cand_all", **SCORING_CTES))
+def q_exclude_rated(spark, sf):
+    r, sim, ev = _scoring_inputs(spark, sf)
+    return scoring.candidate_items(ev, sim, r).select("user_id", "item_id", r6("sim").alias("sim"))
+
+
+@register("similar_candidates", with_ctes("select * from cand", **SCORING_CTES))
+def q_similar_candidates(spark, sf):
+    r, sim, ev = _scoring_inputs(spark, sf)
+    return scoring.similar_candidates(ev, sim, r, k=20)
+
+
+@register("score_candidates", with_ctes(
+    "select user_id, item_id, round(b + log10(greatest(i, 1)) - log10(greatest(d, 1)), 6) as score from sc",
+    **SCORING_CTES))
+def q_score_candidates(spark, sf):
+    r, sim, ev = _scoring_inputs(spark, sf)
+    cands = scoring.similar_candidates(ev, sim, r, k=20)
+    recents = scoring.recent_ratings(r, 20, ev)
+    out = scoring.score_candidates(cands, recents, sim, min_sim=fx.TEST_SCORE_THRESHOLD)
+    return out.select("user_id", "item_id", r6("score").alias("score"))
+
+
+@register("candidate_base_score", with_ctes(
+    "select user_id, item_id, round(b, 6) as base, i as n_liked, d as n_other from sc", **SCORING_CTES))
+def q_candidate_base_score(spark, sf):
+    r, sim, ev = _scoring_inputs(spark, sf)
+    cands = scoring.similar_candidates(ev, sim, r, k=20)
+    recents = scoring.recent_ratings(r, 20, ev)
+    evd = scoring.candidate_evidence(cands, recents, sim, fx.TEST_SCORE_THRESHOLD)
+    return evd.groupBy("user_id", "item_id").agg(
+        r6(F.avg(F.col("sim") * F.col("rating"))).alias("base"),
+        F.count_if(F.col("rating") > 3).alias("n_liked"), F.count_if(F.col("rating") <= 3).alias("n_other"))
+
+
+@register("recommend_from_events", with_ctes(
+    "select e.user_id, cast(x.rank as int) as rank, x.item_id, x.score from ev e left join ("
+    " select user_id, item_id, round(b + log10(greatest(i, 1)) - log10(greatest(d, 1)), 6) as score,"
+    "  row_number() over (partition by user_id order by b + log10(greatest(i, 1)) - log10(greatest(d, 1)) desc,"
+    "  item_id) as rank from sc) x on x.user_id = e.user_id",
+    **SCORING_CTES))
+def q_recommend_from_events(spark, sf):
+    r, sim, _ = _scoring_inputs(spark, sf)
+    lists = scoring.recommend_from_events(r, sim, r, min_sim=fx.TEST_SCORE_THRESHOLD)
+    return _flat_lists(lists)
+
+
+def _flat_lists(lists):
+    """(user_id, recs) -> (user_id, rank, item_id, score); an empty list keeps
+    one row with NULL rank/item/score."""
+    return lists.select("user_id", F.posexplode_outer("recs").alias("pos", "rec")).select(
+        "user_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("rec.item_id").alias("item_id"),
+        r6("rec.score").alias("score"))
