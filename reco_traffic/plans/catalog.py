@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import cosine_similarity
-from ..operators import parse, scoring, similarity, stats
+from pyspark.ml.functions import vector_to_array
+
+from ..functions.columns import congestion_class, cosine_similarity
+from ..operators import parse, scoring, similarity, stats, traffic
 from ..session import scratch_path
 from ..sources import readers, writers
 from . import fixtures as fx
@@ -338,3 +340,95 @@ def _flat_lists(lists):
     return lists.select("user_id", F.posexplode_outer("recs").alias("pos", "rec")).select(
         "user_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("rec.item_id").alias("item_id"),
         r6("rec.score").alias("score"))
+
+
+# ------------------------------------------------------------ traffic
+# Hour buckets: the test events are too sparse for minutes (FIXTURES §3).
+
+TEST_BUCKET = "1 hour"
+TEST_AS_OF = "2024-01-20 12:30:00"
+TEST_HOURS = 120
+TRAFFIC_CTES = dict(
+    ev=fx.SQL_CAR_EVENTS,
+    h="select camera_id, date_trunc('hour', event_time) as minute, sum(speed) as speed_total,"
+      " count(*) as car_count from ev group by 1, 2",
+    a="select camera_id, minute, speed_total / car_count as v from h",
+)
+
+
+def test_totals(spark, sf):
+    return traffic.camera_minute_totals(fx.car_events(spark, sf), bucket=TEST_BUCKET)
+
+
+@register("camera_minute_totals", with_ctes(
+    "select camera_id, minute, round(speed_total, 6) as speed_total, car_count from h", **TRAFFIC_CTES))
+def q_camera_minute_totals(spark, sf):
+    return test_totals(spark, sf).select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
+
+
+@register("average_speed", with_ctes(
+    "select camera_id, minute, round(speed_total, 6) as speed_total, car_count,"
+    " round(speed_total / car_count, 6) as avg_speed from h", **TRAFFIC_CTES))
+def q_average_speed(spark, sf):
+    return traffic.average_speed(test_totals(spark, sf)).select(
+        "camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count", r6("avg_speed").alias("avg_speed"))
+
+
+def _class_sql(v: str) -> str:
+    return f"cast(least(greatest(floor(floor({v}) / 10), 0), 10) as double)"
+
+
+@register("congestion_label", with_ctes(
+    f"select camera_id, minute, {_class_sql('v')} as label from a", **TRAFFIC_CTES))
+def q_congestion_label(spark, sf):
+    return traffic.average_speed(test_totals(spark, sf)).select(
+        "camera_id", "minute", congestion_class(F.col("avg_speed")).alias("label"))
+
+
+# label range of the look-back: [as_of bucket - (hours - 3), as_of bucket + 2] in buckets
+@register("lookback_window", with_ctes(
+    "select camera_id, minute, round(speed_total, 6) as speed_total, car_count from h"
+    f" where minute >= timestamp '{TEST_AS_OF}' - interval 30 minute - interval {TEST_HOURS - 3} hour"
+    f" and minute <= timestamp '{TEST_AS_OF}' - interval 30 minute + interval 2 hour", **TRAFFIC_CTES))
+def q_lookback_window(spark, sf):
+    out = traffic.lookback_window(test_totals(spark, sf), TEST_AS_OF, hours=TEST_HOURS, bucket=TEST_BUCKET)
+    return out.select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
+
+
+@register("latest_minutes", with_ctes(
+    "select camera_id, minute, round(speed_total, 6) as speed_total, car_count from h"
+    " where camera_id in ('click', 'view') and minute between timestamp '2024-01-10 00:00:00'"
+    " and timestamp '2024-01-15 00:00:00'", **TRAFFIC_CTES))
+def q_latest_minutes(spark, sf):
+    out = traffic.latest_minutes(test_totals(spark, sf), ["click", "view"], "2024-01-10 00:00:00",
+                                 "2024-01-15 00:00:00")
+    return out.select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
+
+
+N_SLOTS = 3 * len(fx.TEST_CAMERAS)
+
+
+def _lagged_sql(where: str = "") -> str:
+    feats = ", ".join(
+        f"max(case when lag = {3 - i // len(fx.TEST_CAMERAS)} and pos = {i % len(fx.TEST_CAMERAS)}"
+        f" then round(f, 6) end) as f{i:02d}" for i in range(N_SLOTS))
+    return with_ctes(
+        f"select target_id, minute, {_class_sql('any_value(v)')} as label, {feats} from g group by target_id, minute",
+        **TRAFFIC_CTES,
+        g="select t.camera_id as target_id, t.minute, t.v, rel.pos, lg.lag, coalesce(x.v, -1.0) as f"
+          f" from a t join {fx.sql_relations()} on rel.target_id = t.camera_id"
+          " cross join (values (1), (2), (3)) as lg(lag)"
+          " left join a x on x.camera_id = rel.related_id and x.minute = t.minute - lg.lag * interval 1 hour"
+          f" {where}",
+    )
+
+
+def _flat_features(rows):
+    arr = vector_to_array("features")
+    return rows.select("target_id", "minute", "label", *[r6(arr[i]).alias(f"f{i:02d}") for i in range(N_SLOTS)])
+
+
+@register("lagged_features", _lagged_sql())
+def q_lagged_features(spark, sf):
+    rows = traffic.lagged_features(test_totals(spark, sf), fx.relations(spark), lags=3, bucket=TEST_BUCKET)
+    return _flat_features(rows)
