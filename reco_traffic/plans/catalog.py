@@ -16,10 +16,12 @@ from pyspark.sql import types as T
 
 from pyspark.ml.functions import vector_to_array
 
-from ..functions.columns import congestion_class, cosine_similarity
+from .. import schemas
+from ..functions.columns import congestion_class, cosine_similarity, epoch_seconds
 from ..operators import als, congestion, parse, scoring, similarity, stats, traffic
 from ..session import scratch_path
 from ..sources import readers, writers
+from ..streaming import streams
 from . import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -548,3 +550,70 @@ def q_accuracy(spark, sf):
                            F.array(*[F.lit(c) for c in fx.TEST_CAMERAS]), F.col("target_id")) - 1).cast("int"))
     pred = rows.select("label", congestion_class(own).alias("prediction"))
     return congestion.accuracy(pred).select(r6("accuracy").alias("accuracy"))
+
+
+# ------------------------------------------------------------ streams
+# The input is cut into time-ordered chunks; each chunk is appended to the
+# source folder and drained by a restart of the same query from its
+# checkpoint (trigger availableNow). Without late data the final view equals
+# the batch answer, so the batch SQL is the oracle.
+
+STREAM_CHUNKS = 3
+
+
+def _time_chunks(df, ts_col, n=STREAM_CHUNKS):
+    """n filters covering [min, max] of ts_col in equal, disjoint ranges."""
+    numeric = dict(df.dtypes)[ts_col] in ("int", "bigint")
+    x = F.col(ts_col) if numeric else epoch_seconds(ts_col)
+    lo, hi = df.agg(F.min(x), F.max(x)).first()
+    if lo is None:
+        return []
+    cuts = [lo + (hi - lo + 1) * i // n for i in range(n)] + [hi + 1]
+    return [(x >= cuts[i]) & (x < cuts[i + 1]) for i in range(n)]
+
+
+def _drain_in_chunks(spark, rows, ts_col, to_lines, start_query):
+    """Append each time chunk of ``rows`` (as text lines) to a fresh source
+    folder and run ``start_query(source)`` to completion after each."""
+    src = scratch_path(spark, "stream-source")
+    for i, cond in enumerate(_time_chunks(rows, ts_col)):
+        to_lines(rows.where(cond)).write.mode("append").text(f"{src}/chunk={i}")
+        q = start_query(f"{src}/chunk=*")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+
+
+@register("stream_camera_minutes", ORACLES["camera_minute_totals"])
+def q_stream_camera_minutes(spark, sf):
+    out, ckpt = scratch_path(spark, "minute-totals"), scratch_path(spark, "minute-totals-ckpt")
+
+    def start(src):
+        events = parse.parse_car_event(readers.read_stream(spark, "text", path=src), speed_type="double")
+        return streams.stream_camera_minutes(events, out, ckpt, bucket=TEST_BUCKET, watermark="2 hours",
+                                             trigger={"availableNow": True})
+
+    _drain_in_chunks(spark, fx.car_events(spark, sf), "event_time",
+                     lambda d: writers.to_event_json(d, ["camera_id", "car_id", "event_time", "speed", "road_id"]),
+                     start)
+    view = streams.minute_totals_view(spark, out)
+    return view.select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
+
+
+@register("stream_recommend", ORACLES["recommend_from_events"])
+def q_stream_recommend(spark, sf):
+    sim_path = scratch_path(spark, "item-sim")
+    writers.write_table(test_similarity(spark, sf, fx.TEST_CANDIDATE_THRESHOLD), sim_path)
+    sim = readers.read_table(spark, sim_path, schemas.SIMILARITY)
+    out, ckpt = scratch_path(spark, "stream-recs"), scratch_path(spark, "stream-recs-ckpt")
+
+    def start(src):
+        msgs = readers.read_stream(spark, "text", path=src)
+        return streams.stream_recommend(msgs, sim, None, out, ckpt, min_sim=fx.TEST_SCORE_THRESHOLD,
+                                        trigger={"availableNow": True})
+
+    def lines(d):
+        return d.select(F.concat_ws("|", *[F.col(c).cast("string") for c in d.columns]).alias("value"))
+
+    _drain_in_chunks(spark, fx.ratings(spark, sf), "ts", lines, start)
+    return _flat_lists(streams.user_recs_view(spark, out))
