@@ -19,6 +19,19 @@ def _check_on_error(on_error: str) -> None:
         raise ValueError(f"on_error must be one of {ON_ERROR}, got {on_error!r}")
 
 
+def keep_rows(df: DataFrame, cond: Column) -> DataFrame:
+    """Keep rows where ``cond`` holds, evaluated on ``df``'s computed columns.
+
+    A plain ``where`` after an expensive projection (JSON parse, split) is
+    pushed below it by the optimizer with the expressions inlined, which
+    evaluates the parse once more per condition. Expressing the filter as a
+    generator (one-element array or NULL, then ``inline``) keeps it above the
+    projection, so every parse runs once per row.
+    """
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return df.select(F.inline(F.when(cond, F.array(row))))
+
+
 def require_columns(df: DataFrame, required: Sequence[str], on_error: str = "fail", what: str = "row") -> DataFrame:
     """Enforce non-NULL ``required`` columns.
 
@@ -33,7 +46,7 @@ def require_columns(df: DataFrame, required: Sequence[str], on_error: str = "fai
         cond = F.lit(True)
         for c in required:
             cond = cond & F.col(c).isNotNull()
-        return df.where(cond)
+        return keep_rows(df, cond)
     cols = []
     for name in df.columns:
         c = F.col(name)
@@ -130,15 +143,15 @@ def parse_camera_lines(lines: DataFrame, col: str = "value", on_error: str = "dr
     quotes are stripped from every kept field.
     """
     _check_on_error(on_error)
-    body = lines.where(~F.col(col).startswith(";"))
-    parts = F.split(F.col(col), ",")
     width = max(CAMERA_TEXT_FIELDS.values()) + 1
+    body = lines.where(~F.col(col).startswith(";")).select(F.split(F.col(col), ",").alias("_p"), F.col(col))
+    parts = F.col("_p")
     if on_error == "fail":
         parts = F.when(F.size(parts) >= width, parts).otherwise(
             F.raise_error(F.concat(F.lit("camera line has too few fields: "), F.col(col))).cast("array<string>")
         )
     else:
-        body = body.where(F.size(parts) >= width)
+        body = keep_rows(body, F.size(parts) >= width)
     return body.select(*[_strip_quotes(F.get(parts, i)).alias(name) for name, i in CAMERA_TEXT_FIELDS.items()])
 
 
