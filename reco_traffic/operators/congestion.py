@@ -19,12 +19,18 @@ def with_class_count(rows: DataFrame, num_classes: int = DEFAULT_CLASSES, label_
     return rows.withColumn(label_col, lab.alias(label_col, metadata=meta))
 
 
+# The reference's optimizer settings (L-BFGS, 100 iterations,
+# convergence tolerance 1e-4, no regularisation, intercept).
+DEFAULT_MAX_ITER = 100
+DEFAULT_TOL = 1e-4
+
+
 def fit_congestion_classifier(
     rows: DataFrame,
     num_classes: int = DEFAULT_CLASSES,
-    max_iter: int = 100,
+    max_iter: int = DEFAULT_MAX_ITER,
     reg: float = 0.0,
-    tol: float = 1e-6,
+    tol: float = DEFAULT_TOL,
 ) -> LogisticRegressionModel:
     """Multinomial logistic regression (L-BFGS) on (label, features)."""
     lr = LogisticRegression(family="multinomial", fitIntercept=True, maxIter=max_iter, regParam=reg, tol=tol,
@@ -42,3 +48,59 @@ def accuracy(predictions: DataFrame, label_col: str = "label", prediction_col: s
     (the reference calls it precision); NULL on no rows."""
     hit = (F.col(prediction_col) == F.col(label_col)).cast("double")
     return predictions.agg(F.avg(hit).alias("accuracy"))
+
+
+def _targets(rows: DataFrame, targets) -> list:
+    if targets is not None:
+        return list(targets)
+    # the configured target cameras: a bounded list, not data
+    return [r[0] for r in rows.select("target_id").distinct().orderBy("target_id").collect()]
+
+
+def fit_per_target(rows: DataFrame, targets=None, fraction: float = 0.8, seed: int = 0,
+                   num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER, parallelism: int = 4):
+    """One model per target camera, as the reference trains them: split each
+    target's rows (hash split on minute, repeatable), fit on the training
+    part. Returns [(target_id, model, test_rows)] in target order; a target
+    without training rows is skipped. Up to ``parallelism`` fits run as
+    concurrent Spark jobs."""
+    from .als import run_parallel, split_train_test
+
+    def one(t):
+        part = rows.where(F.col("target_id") == F.lit(t))
+        train, test = split_train_test(part, fraction, seed, key=["target_id", "minute"])
+        if train.isEmpty():
+            return None
+        return t, fit_congestion_classifier(train, num_classes, max_iter=max_iter), test
+
+    return [r for r in run_parallel(one, _targets(rows, targets), parallelism) if r is not None]
+
+
+def evaluate_per_target(rows: DataFrame, targets=None, fraction: float = 0.8, seed: int = 0,
+                        num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER,
+                        parallelism: int = 4) -> DataFrame:
+    """(target_id, n_train, n_test, accuracy) with one fitted model per target.
+
+    The feature rows are persisted once (memory and disk) for all fits and
+    released at the end; only per-target metric rows reach the driver.
+    """
+    from pyspark import StorageLevel
+
+    spark = rows.sparkSession
+    cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    from .als import run_parallel
+
+    def measure(fitted):
+        t, model, test = fitted
+        m = predict_congestion(model, test).agg(
+            F.count(F.lit(1)).alias("n"), F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("a")
+        ).first()
+        n_all = cached.where(F.col("target_id") == F.lit(t)).count()
+        return t, int(n_all - m["n"]), int(m["n"]), m["a"]
+
+    try:
+        fitted = fit_per_target(cached, targets, fraction, seed, num_classes, max_iter, parallelism)
+        metrics = run_parallel(measure, fitted, parallelism)
+    finally:
+        cached.unpersist()
+    return spark.createDataFrame(metrics, "target_id string, n_train bigint, n_test bigint, accuracy double")

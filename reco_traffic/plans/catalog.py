@@ -486,7 +486,7 @@ def q_split_train_test(spark, sf):
 @register("grid_search_als")
 def q_grid_search_als(spark, sf):
     train, test = als.split_train_test(fx.ratings(spark, sf), 0.8, seed=0, key=["user_id", "item_id", "ts"])
-    return als.grid_search_als(train, test, ranks=[5, 10], regs=[0.1, 0.01], iterations=5, seed=0)
+    return als.grid_search_als(train, test, ranks=[5, 10], regs=[0.1, 0.01], iterations=5, seed=0, parallelism=4)
 
 
 @register("best_params")
@@ -514,27 +514,30 @@ def _training_rows(spark, sf):
 
 @register("fit_congestion_classifier")
 def q_fit_congestion_classifier(spark, sf):
-    """Coefficient matrix of the fitted model, one row per class."""
-    rows = _training_rows(spark, sf)
-    train, _ = als.split_train_test(rows, 0.8, seed=0, key=["target_id", "minute"])
-    model = congestion.fit_congestion_classifier(train)
-    mat = model.coefficientMatrix.toArray().tolist()
-    icpt = model.interceptVector.toArray().tolist()
-    return spark.createDataFrame([(i, icpt[i], mat[i]) for i in range(len(mat))],
-                                 "class int, intercept double, coefficients array<double>")
+    """Intercepts and coefficients of one model per target camera."""
+    out = []
+    for t, model, _ in congestion.fit_per_target(_training_rows(spark, sf)):
+        mat = model.coefficientMatrix.toArray().tolist()
+        icpt = model.interceptVector.toArray().tolist()
+        out += [(t, i, icpt[i], mat[i]) for i in range(len(mat))]
+    return spark.createDataFrame(out, "target_id string, class int, intercept double, coefficients array<double>")
 
 
 @register("predict_congestion")
 def q_predict_congestion(spark, sf):
-    rows = _training_rows(spark, sf)
-    train, test = als.split_train_test(rows, 0.8, seed=0, key=["target_id", "minute"])
-    model = congestion.fit_congestion_classifier(train)
-    return congestion.predict_congestion(model, test).select("target_id", "minute", "label", "prediction")
+    """Predictions of each target's model on its held-out rows."""
+    parts = [congestion.predict_congestion(m, test).select("target_id", "minute", "label", "prediction")
+             for _, m, test in congestion.fit_per_target(_training_rows(spark, sf))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @register("congestion_accuracy")
 def q_congestion_accuracy(spark, sf):
-    return congestion.accuracy(q_predict_congestion(spark, sf))
+    """Held-out accuracy of each target camera's model."""
+    return congestion.evaluate_per_target(_training_rows(spark, sf))
 
 
 # accuracy of the persistence predictor: class of the target's own previous bucket
