@@ -23,9 +23,12 @@ def batch_dir(path: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}"
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] | None = None) -> None:
     """Overwrite the directory of one batch (idempotent on retry)."""
-    df.write.mode("overwrite").parquet(batch_dir(path, batch_id))
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(batch_dir(path, batch_id))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -73,14 +76,16 @@ def read_view(spark: SparkSession, path: str, schema: T.StructType, keys: Sequen
     return latest_per_key(read_log(spark, path, schema), keys)
 
 
-def compact(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-            upto: int | None = None) -> int | None:
+def compact(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] | None,
+            upto: int | None = None, partition_by: Sequence[str] | None = None) -> int | None:
     """Fold batches <= ``upto`` (default: all committed) into ``batch_id=upto``.
 
-    The folded view is written to a staging directory first, then the old
-    batch directories are removed and the staging directory renamed; a run
-    interrupted after the removal finishes the rename on the next call.
-    Returns the batch id holding the folded data.
+    With ``keys`` only the newest row per key is kept (a keyed view); without,
+    all rows are kept (an append-only log). The folded data is written to a
+    staging directory first, then the old batch directories are removed and
+    the staging directory renamed; a run interrupted after the removal
+    finishes the rename on the next call, so call ``compact`` before reading
+    the log. Returns the batch id holding the folded data.
     """
     fs, root = _fs(spark, path)
     staging = root.suffix("/_compact_staging")
@@ -99,7 +104,11 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence
     log = spark.read.option("basePath", path).schema(
         T.StructType(list(schema.fields) + [T.StructField(BATCH_COL, T.LongType())])
     ).parquet(*[batch_dir(path, i) for i in ids])
-    latest_per_key(log, keys).write.mode("overwrite").parquet(staging.toString())
+    folded = latest_per_key(log, keys) if keys else log.drop(BATCH_COL)
+    w = folded.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(staging.toString())
     spark.createDataFrame([(str(tgt),)], "v string").write.mode("overwrite").text(target_name.toString())
     for i in ids:
         fs.delete(jvm.org.apache.hadoop.fs.Path(batch_dir(path, i)), True)

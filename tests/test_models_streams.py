@@ -135,6 +135,22 @@ def test_stream_recommend_replaces_and_restarts(spark):
     assert batchlog.batch_ids(spark, f"{out}/recs") == [0, 1]
 
 
+def test_stream_recommend_compacts_logs(spark):
+    sim = spark.createDataFrame([(10, 11, 0.9), (11, 10, 0.9)], "item_id int, other_id int, sim double")
+    out, ckpt = scratch_path(spark, "recs"), scratch_path(spark, "ckpt")
+
+    def start(src):
+        return streams.stream_recommend(spark.readStream.text(src), sim, None, out, ckpt, min_sim=0.5,
+                                        trigger={"availableNow": True}, compact_every=2)
+
+    # user 2 rated 10 in batch 0; in batch 2 (after compaction of 0..1) 11 must
+    # still count as rated and 10 as a recent
+    _run_chunks(spark, [["2|10|4.0|1"], ["3|11|5.0|2"], ["2|11|2.0|3"]], start)
+    assert batchlog.batch_ids(spark, f"{out}/ratings") == [1, 2]
+    view = {r["user_id"]: r["recs"] for r in streams.user_recs_view(spark, out).collect()}
+    assert view[2] == [] and [x["item_id"] for x in view[3]] == [10]
+
+
 def test_stream_camera_minutes_equals_batch(spark):
     from reco_traffic.operators import parse, traffic
 
@@ -152,3 +168,29 @@ def test_stream_camera_minutes_equals_batch(spark):
     df = spark.createDataFrame(evs, "camera_id string, event_time timestamp_ntz, speed int")
     want = sorted(tuple(r) for r in traffic.camera_minute_totals(df).collect())
     assert got == want
+
+
+def test_stream_recommend_with_bucketed_history(spark):
+    """A bucket-partitioned static history gives the same lists as a plain
+    one, and each batch reads only its users' buckets."""
+    from reco_traffic.operators.scoring import write_history
+
+    sim = spark.createDataFrame([(10, 11, 0.9), (11, 10, 0.9), (10, 12, 0.8), (12, 10, 0.8), (11, 12, 0.75),
+                                 (12, 11, 0.75)], "item_id int, other_id int, sim double")
+    hist = spark.createDataFrame([(1, 11, 5.0, 1), (2, 12, 4.0, 1), (3, 10, 1.0, 1)], schemas.RATINGS)
+    hpath = scratch_path(spark, "hist")
+    write_history(hist, hpath, 8)
+    chunks = [["1|10|4.0|5", "2|11|2.0|5"], ["3|12|5.0|6"]]
+    views = []
+    for buckets, h in [(None, hist), (8, spark.read.parquet(hpath))]:
+        out, ckpt = scratch_path(spark, "recs"), scratch_path(spark, "ckpt")
+
+        def start(src, h=h, out=out, ckpt=ckpt, buckets=buckets):
+            return streams.stream_recommend(spark.readStream.text(src), sim, h, out, ckpt, min_sim=0.5,
+                                            trigger={"availableNow": True}, history_buckets=buckets)
+
+        _run_chunks(spark, chunks, start)
+        views.append(sorted((r["user_id"], [(x["item_id"], round(x["score"], 9)) for x in r["recs"]])
+                            for r in streams.user_recs_view(spark, out).collect()))
+    assert views[0] == views[1]
+    assert [u for u, _ in views[0]] == [1, 2, 3]
