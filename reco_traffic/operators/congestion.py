@@ -25,17 +25,34 @@ DEFAULT_MAX_ITER = 100
 DEFAULT_TOL = 1e-4
 
 
+ROWS_PER_PARTITION = 100_000
+
+
+def sized_for_training(rows: DataFrame, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Fewer, fuller partitions for an iterative fit: every L-BFGS iteration is
+    one job over all partitions, so a small training set spread over many
+    shuffle partitions pays task overhead per iteration for nothing. Large
+    sets keep ceil(n / rows_per_partition) partitions (no shuffle)."""
+    want = max(1, -(-int(n_rows) // int(rows_per_partition)))
+    return rows.coalesce(want) if rows.rdd.getNumPartitions() > want else rows
+
+
 def fit_congestion_classifier(
     rows: DataFrame,
     num_classes: int = DEFAULT_CLASSES,
     max_iter: int = DEFAULT_MAX_ITER,
     reg: float = 0.0,
     tol: float = DEFAULT_TOL,
+    n_rows: int | None = None,
 ) -> LogisticRegressionModel:
-    """Multinomial logistic regression (L-BFGS) on (label, features)."""
+    """Multinomial logistic regression (L-BFGS) on (label, features).
+    ``n_rows`` (if known) sizes the partitions of the training set."""
     lr = LogisticRegression(family="multinomial", fitIntercept=True, maxIter=max_iter, regParam=reg, tol=tol,
                             labelCol="label", featuresCol="features")
-    return lr.fit(with_class_count(rows, num_classes))
+    data = with_class_count(rows, num_classes)
+    if n_rows is not None:
+        data = sized_for_training(data, n_rows)
+    return lr.fit(data)
 
 
 def predict_congestion(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
@@ -69,9 +86,10 @@ def fit_per_target(rows: DataFrame, targets=None, fraction: float = 0.8, seed: i
     def one(t):
         part = rows.where(F.col("target_id") == F.lit(t))
         train, test = split_train_test(part, fraction, seed, key=["target_id", "minute"])
-        if train.isEmpty():
+        n = train.count()
+        if n == 0:
             return None
-        return t, fit_congestion_classifier(train, num_classes, max_iter=max_iter), test
+        return t, fit_congestion_classifier(train, num_classes, max_iter=max_iter, n_rows=n), test
 
     return [r for r in run_parallel(one, _targets(rows, targets), parallelism) if r is not None]
 
