@@ -276,9 +276,18 @@ SCORING_CTES = dict(
 )
 
 
+def stored_similarity(spark, sf, threshold):
+    """The item-similarity table as the offline job leaves it: computed once,
+    written to the shared folder, read back by its consumers (so the block
+    product is not re-run by every join that uses it)."""
+    path = scratch_path(spark, "item-sim")
+    writers.write_table(test_similarity(spark, sf, threshold), path)
+    return readers.read_table(spark, path, schemas.SIMILARITY)
+
+
 def _scoring_inputs(spark, sf):
     r = fx.ratings(spark, sf)
-    sim = test_similarity(spark, sf, fx.TEST_CANDIDATE_THRESHOLD)
+    sim = stored_similarity(spark, sf, fx.TEST_CANDIDATE_THRESHOLD)
     ev = scoring.latest_event_per_user(r)
     return r, sim, ev
 
@@ -605,9 +614,7 @@ def q_stream_camera_minutes(spark, sf):
 
 @register("stream_recommend", ORACLES["recommend_from_events"])
 def q_stream_recommend(spark, sf):
-    sim_path = scratch_path(spark, "item-sim")
-    writers.write_table(test_similarity(spark, sf, fx.TEST_CANDIDATE_THRESHOLD), sim_path)
-    sim = readers.read_table(spark, sim_path, schemas.SIMILARITY)
+    sim = stored_similarity(spark, sf, fx.TEST_CANDIDATE_THRESHOLD)
     out, ckpt = scratch_path(spark, "stream-recs"), scratch_path(spark, "stream-recs-ckpt")
 
     def start(src):
@@ -620,3 +627,57 @@ def q_stream_recommend(spark, sf):
 
     _drain_in_chunks(spark, fx.ratings(spark, sf), "ts", lines, start)
     return _flat_lists(streams.user_recs_view(spark, out))
+
+
+# ------------------------------------------------------------ remaining steps
+
+
+@register("distinct_users", with_ctes("select distinct user_id from ratings", ratings=fx.SQL_RATINGS))
+def q_distinct_users(spark, sf):
+    return stats.distinct_users(fx.ratings(spark, sf))
+
+
+@register("distinct_items", with_ctes("select distinct item_id from ratings", ratings=fx.SQL_RATINGS))
+def q_distinct_items(spark, sf):
+    return stats.distinct_items(fx.ratings(spark, sf))
+
+
+@register("nest_recs", ORACLES["top_items_per_genre"])
+def q_nest_recs(spark, sf):
+    """Genre top lists nested as the reference stores them, read back flat
+    (the order inside each list becomes the rank)."""
+    flat = stats.top_items_per_genre(fx.items(spark, sf), fx.ratings(spark, sf), fx.TEST_GENRES, k=10)
+    nested = stats.nest_recs(flat, "genre")
+    return stats.flatten_recs(nested, "genre").select("genre", "rank", "item_id", r6("score").alias("score"))
+
+
+@register("similar_items_nested", with_ctes(
+    "select item_id, cast(row_number() over (partition by item_id order by sim desc, other_id) as int) as rank,"
+    " other_id, round(sim, 6) as sim from sim", sim=sql_similarity(fx.TEST_SIM_THRESHOLD)))
+def q_similar_items_nested(spark, sf):
+    """Per item, all neighbours above the threshold as one ordered list."""
+    nested = similarity.item_similarity_lists(test_similarity(spark, sf, fx.TEST_SIM_THRESHOLD))
+    return nested.select("item_id", F.posexplode("recs").alias("pos", "rec")).select(
+        "item_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("rec.item_id").alias("other_id"),
+        r6("rec.score").alias("sim"))
+
+
+@register("candidate_adjust_counts", with_ctes(
+    "select user_id, item_id, i as n_liked, d as n_other from sc", **SCORING_CTES))
+def q_candidate_adjust_counts(spark, sf):
+    r, sim, ev = _scoring_inputs(spark, sf)
+    cands = scoring.similar_candidates(ev, sim, r, k=20)
+    evd = scoring.candidate_evidence(cands, scoring.recent_ratings(r, 20, ev), sim, fx.TEST_SCORE_THRESHOLD)
+    liked = F.col("rating") > 3
+    return evd.groupBy("user_id", "item_id").agg(F.count_if(liked).alias("n_liked"),
+                                                 F.count_if(~liked).alias("n_other"))
+
+
+@register("lagged_features_lookback", _lagged_sql(
+    f"where t.minute >= timestamp '{TEST_AS_OF}' - interval 30 minute - interval {TEST_HOURS - 3} hour"
+    f" and t.minute <= timestamp '{TEST_AS_OF}' - interval 30 minute + interval 2 hour"))
+def q_lagged_features_lookback(spark, sf):
+    """Training rows of the look-back ending at the as-of time only."""
+    rows = traffic.lagged_features(test_totals(spark, sf), fx.relations(spark), lags=3, bucket=TEST_BUCKET,
+                                   as_of=TEST_AS_OF, hours=TEST_HOURS)
+    return _flat_features(rows)
