@@ -36,3 +36,16 @@ def test_entry_contract(spark):
     assert df.columns == ["genre", "rank", "item_id", "score"]
     assert df.count() >= 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+# queries whose callables fit models or run streams are exercised elsewhere
+HEAVY = {"fit_als", "item_factors", "score_pairs", "recommend_for_users", "similar_items_from_factors",
+         "grid_search_als", "best_params", "fit_congestion_classifier", "predict_congestion",
+         "congestion_accuracy", "stream_camera_minutes", "stream_recommend"}
+
+
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - HEAVY))
+def test_plan_has_no_cartesian_or_nested_loop(spark, sf_small, name):
+    plan = catalog.QUERIES[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+    assert "NestedLoopJoin" not in plan
