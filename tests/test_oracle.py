@@ -49,3 +49,16 @@ def test_plan_has_no_cartesian_or_nested_loop(spark, sf_small, name):
     plan = catalog.QUERIES[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "NestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["top_items_per_genre", "recent_ratings", "similar_candidates"])
+def test_top_k_is_limited_before_the_shuffle(spark, sf_small, name):
+    """row_number() <= k runs as a partial WindowGroupLimit below the
+    exchange, so a hot group ships at most k rows per map partition."""
+    plan = catalog.QUERIES[name](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("\n")
+    partial = [i for i, line in enumerate(lines) if "WindowGroupLimit" in line and line.rstrip().endswith("Partial")]
+    final = [i for i, line in enumerate(lines) if "WindowGroupLimit" in line and line.rstrip().endswith("Final")]
+    assert partial and final
+    # the partial limit sits below (after, in the printed tree) a hash exchange
+    assert any("Exchange hashpartitioning" in line for line in lines[final[0]:partial[0]])
