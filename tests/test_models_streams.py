@@ -194,3 +194,25 @@ def test_stream_recommend_with_bucketed_history(spark):
                             for r in streams.user_recs_view(spark, out).collect()))
     assert views[0] == views[1]
     assert [u for u, _ in views[0]] == [1, 2, 3]
+
+
+def test_compact_resumes_after_interruption(spark):
+    """A fold stopped after the old batches were removed (staging written,
+    target recorded) is finished by the next call before anything else."""
+    path = scratch_path(spark, "log-resume")
+    s = streams.RECS_LOG_SCHEMA
+    batchlog.write_batch(spark.createDataFrame([(1, [{"item_id": 5, "score": 5.0}])], s), path, 0)
+    batchlog.write_batch(spark.createDataFrame([(2, [])], s), path, 1)
+    # simulate the crash: staging holds the folded view, old dirs are gone
+    folded = batchlog.read_view(spark, path, s, ["user_id"])
+    folded.write.parquet(f"{path}/_compact_staging")
+    spark.createDataFrame([("1",)], "v string").write.text(f"{path}/_compact_target")
+    fs, _ = batchlog._fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    for i in (0, 1):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(batchlog.batch_dir(path, i)), True)
+    assert batchlog.batch_ids(spark, path) == []
+    batchlog.compact(spark, path, s, ["user_id"])
+    assert batchlog.batch_ids(spark, path) == [1]
+    view = sorted((r["user_id"], len(r["recs"])) for r in batchlog.read_view(spark, path, s, ["user_id"]).collect())
+    assert view == [(1, 1), (2, 0)]

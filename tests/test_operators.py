@@ -227,3 +227,10 @@ def test_camera_minute_totals_int_sum_is_bigint(spark):
                                "camera_id string, event_time timestamp_ntz, speed int")
     r = traffic.camera_minute_totals(ev).collect()[0]
     assert r["speed_total"] == 6_000_000_000 and r["car_count"] == 3
+
+
+def test_search_docs_one_per_key(spark):
+    from reco_traffic.sources.writers import one_row_per_key
+
+    df = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "c", None)], "item_id int, title string, tags string")
+    assert rows(one_row_per_key(df, "item_id")) == [(1, "b", "y"), (2, "c", None)]
