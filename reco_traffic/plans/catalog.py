@@ -333,26 +333,44 @@ def q_candidate_base_score(spark, sf):
         F.count_if(F.col("rating") > 3).alias("n_liked"), F.count_if(F.col("rating") <= 3).alias("n_other"))
 
 
-@register("recommend_from_events", with_ctes(
-    "select e.user_id, cast(x.rank as int) as rank, x.item_id, x.score from ev e left join ("
+REC_LIST_SQL = (
+    "select x.user_id, cast(x.rank as int) as rank, x.item_id, x.score from ("
     " select user_id, item_id, round(b + log10(greatest(i, 1)) - log10(greatest(d, 1)), 6) as score,"
     "  row_number() over (partition by user_id order by b + log10(greatest(i, 1)) - log10(greatest(d, 1)) desc,"
-    "  item_id) as rank from sc) x on x.user_id = e.user_id",
-    **SCORING_CTES))
-def q_recommend_from_events(spark, sf):
+    "  item_id) as rank from sc) x")
+REC_SIZES_SQL = ("select e.user_id, cast(count(s.item_id) as int) as n_recs from ev e"
+                 " left join sc s on s.user_id = e.user_id group by e.user_id")
+
+
+def _batch_lists(spark, sf):
     r, sim, _ = _scoring_inputs(spark, sf)
-    lists = scoring.recommend_from_events(r, sim, r, min_sim=fx.TEST_SCORE_THRESHOLD)
-    return _flat_lists(lists)
+    return scoring.recommend_from_events(r, sim, r, min_sim=fx.TEST_SCORE_THRESHOLD)
+
+
+@register("recommend_from_events", with_ctes(REC_LIST_SQL, **SCORING_CTES))
+def q_recommend_from_events(spark, sf):
+    """Entries of every user's fresh list (rank = position in the list)."""
+    return _flat_lists(_batch_lists(spark, sf))
+
+
+@register("recommend_from_events_sizes", with_ctes(REC_SIZES_SQL, **SCORING_CTES))
+def q_recommend_from_events_sizes(spark, sf):
+    """List length of every event user; 0 for a user whose list is empty."""
+    return _list_sizes(_batch_lists(spark, sf))
 
 
 def _flat_lists(lists):
-    """(user_id, recs) -> (user_id, rank, item_id, score); an empty list keeps
-    one row with NULL rank/item/score."""
-    return lists.select("user_id", F.posexplode_outer("recs").alias("pos", "rec")).select(
+    """(user_id, recs) -> (user_id, rank, item_id, score), one row per entry."""
+    return lists.select("user_id", F.posexplode("recs").alias("pos", "rec")).select(
         "user_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("rec.item_id").alias("item_id"),
         r6("rec.score").alias("score"))
 
 
+def _list_sizes(lists):
+    """(user_id, recs) -> (user_id, n_recs); empty lists give 0."""
+    return lists.select("user_id", F.size("recs").cast("int").alias("n_recs"))
+
+
 # ------------------------------------------------------------ traffic
 # Hour buckets: the test events are too sparse for minutes (FIXTURES §3).
 
@@ -612,8 +630,9 @@ def q_stream_camera_minutes(spark, sf):
     return view.select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
 
 
-@register("stream_recommend", ORACLES["recommend_from_events"])
-def q_stream_recommend(spark, sf):
+def _stream_lists(spark, sf):
+    """Run the recommendation stream over time-ordered chunks of the rating
+    messages and return the final per-user view."""
     sim = stored_similarity(spark, sf, fx.TEST_CANDIDATE_THRESHOLD)
     out, ckpt = scratch_path(spark, "stream-recs"), scratch_path(spark, "stream-recs-ckpt")
 
@@ -626,7 +645,18 @@ def q_stream_recommend(spark, sf):
         return d.select(F.concat_ws("|", *[F.col(c).cast("string") for c in d.columns]).alias("value"))
 
     _drain_in_chunks(spark, fx.ratings(spark, sf), "ts", lines, start)
-    return _flat_lists(streams.user_recs_view(spark, out))
+    return streams.user_recs_view(spark, out)
+
+
+@register("stream_recommend", ORACLES["recommend_from_events"])
+def q_stream_recommend(spark, sf):
+    return _flat_lists(_stream_lists(spark, sf))
+
+
+@register("stream_recommend_sizes", ORACLES["recommend_from_events_sizes"])
+def q_stream_recommend_sizes(spark, sf):
+    """Per user the length of the stored list (0 = replaced by an empty list)."""
+    return _list_sizes(_stream_lists(spark, sf))
 
 
 # ------------------------------------------------------------ remaining steps
