@@ -216,3 +216,22 @@ def test_compact_resumes_after_interruption(spark):
     assert batchlog.batch_ids(spark, path) == [1]
     view = sorted((r["user_id"], len(r["recs"])) for r in batchlog.read_view(spark, path, s, ["user_id"]).collect())
     assert view == [(1, 1), (2, 0)]
+
+
+def test_stream_camera_minutes_arrival_time(spark):
+    """Keyed by processing time, every event of one micro-batch lands in the
+    bucket of that batch."""
+    lines = [f'{{"camera_id":"c","event_time":"2020-01-01 00:0{i}:00","speed":"{10 * i}"}}' for i in range(5)]
+    out, ckpt = scratch_path(spark, "arr"), scratch_path(spark, "arr-ckpt")
+
+    def start(src):
+        from reco_traffic.operators import parse
+
+        e = parse.parse_car_event(spark.readStream.text(src))
+        return streams.stream_camera_minutes(e, out, ckpt, bucket="1 day", trigger={"availableNow": True},
+                                             time_basis="arrival")
+
+    _run_chunks(spark, [lines], start)
+    got = streams.minute_totals_view(spark, out).collect()
+    assert len(got) == 1 and got[0]["speed_total"] == 100 and got[0]["car_count"] == 5
+    assert got[0]["minute"].year >= 2025
