@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reco_traffic import schemas
-from reco_traffic.operators import als, congestion, scoring
+from reco_traffic.operators import als, congestion
 from reco_traffic.plans import fixtures as fx
 from reco_traffic.session import scratch_path
 from reco_traffic.streaming import batchlog, streams
