@@ -234,3 +234,14 @@ def test_search_docs_one_per_key(spark):
 
     df = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "c", None)], "item_id int, title string, tags string")
     assert rows(one_row_per_key(df, "item_id")) == [(1, "b", "y"), (2, "c", None)]
+
+
+def test_rejected_outputs(spark):
+    df = spark.createDataFrame([("1|2|4.5|100",), ("x|2|4.5|100",), ("1|2|4.5",)], "value string")
+    good, bad = parse.split_rating_messages(df)
+    assert rows(good) == [(1, 2, 4.5, 100)]
+    assert rows(bad) == [("1|2|4.5",), ("x|2|4.5|100",)]
+    ev = spark.createDataFrame([('{"camera_id":"c","speed":"33"}',), ('{"camera_id":"c","speed":"x"}',)], "value string")
+    g2, b2 = parse.split_car_events(ev)
+    assert [r["speed"] for r in g2.collect()] == [33]
+    assert rows(b2) == [('{"camera_id":"c","speed":"x"}',)]
