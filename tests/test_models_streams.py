@@ -235,3 +235,18 @@ def test_stream_camera_minutes_arrival_time(spark):
     got = streams.minute_totals_view(spark, out).collect()
     assert len(got) == 1 and got[0]["speed_total"] == 100 and got[0]["car_count"] == 5
     assert got[0]["minute"].year >= 2025
+
+
+def test_stream_camera_events_json(spark):
+    from reco_traffic.operators import parse
+
+    good = ",".join(["c1", "x", "car", "x", "2014-08-20 13:00:00", "x", "40"] + ["x"] * 6 + ["r9"])
+    out, ckpt = scratch_path(spark, "json-out"), scratch_path(spark, "json-ckpt")
+
+    def start(src):
+        return streams.stream_camera_events_json(spark.readStream.text(src), ckpt, out,
+                                                 trigger={"availableNow": True})
+
+    _run_chunks(spark, [[";comment", good, "short,line"], [good]], start)
+    back = parse.parse_car_event(spark.read.text(out)).collect()
+    assert len(back) == 2 and all(r["speed"] == 40 and r["camera_id"] == "c1" for r in back)
