@@ -110,6 +110,13 @@ def top_items_per_genre(
     per input partition to its final task.
     """
     scored = items_with_score(items.select("item_id", "genres"), average_ratings(ratings))
+    return top_from_scored(scored, genres, k, match)
+
+
+def top_from_scored(scored: DataFrame, genres: Sequence[str] = DEFAULT_GENRES, k: int = 10,
+                    match: str = "contains") -> DataFrame:
+    """``top_items_per_genre`` from items already joined with their average
+    (columns item_id, genres, avg)."""
     pairs = genre_item_pairs(scored, genres, match)
     w = Window.partitionBy("genre").orderBy(F.desc("avg"), F.asc("item_id"))
     return (
@@ -169,3 +176,26 @@ def distinct_users(ratings: DataFrame) -> DataFrame:
 
 def distinct_items(ratings: DataFrame) -> DataFrame:
     return ratings.select("item_id").distinct()
+
+
+def item_month_rollup(ratings: DataFrame, ts_col: str = "ts") -> DataFrame:
+    """(yearmonth, item_id, count, rating_sum): one scan and one (map-side
+    combined) shuffle of the ratings, from which popularity, monthly
+    popularity and averages all follow without touching the ratings again."""
+    return (
+        add_year_month(ratings.select("item_id", "rating", ts_col), ts_col)
+        .groupBy("yearmonth", "item_id")
+        .agg(F.count("item_id").alias("count"), F.sum("rating").alias("rating_sum"))
+    )
+
+
+def statistics_from_rollup(rollup: DataFrame) -> dict[str, DataFrame]:
+    """rating_counts, monthly_rating_counts and average_ratings from
+    ``item_month_rollup`` (items x months rows instead of all ratings)."""
+    per_item = rollup.groupBy("item_id").agg(F.sum("count").alias("count"), F.sum("rating_sum").alias("_s"))
+    return {
+        "rating_counts": per_item.select("item_id", "count"),
+        "monthly_rating_counts": rollup.select("item_id", "count", "yearmonth").orderBy(
+            F.desc("yearmonth"), F.desc("count"), F.asc("item_id")),
+        "average_ratings": per_item.select("item_id", (F.col("_s") / F.col("count")).alias("avg")),
+    }

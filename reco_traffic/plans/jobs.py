@@ -61,16 +61,30 @@ def load_catalog(spark: SparkSession, items_csv: str, ratings_csv: str, tags_csv
 def run_statistics(items: DataFrame, ratings: DataFrame, out: str, genres: Sequence[str] = stats.DEFAULT_GENRES,
                    k: int = 10, format: str = "parquet", options: dict | None = None,  # noqa: A002
                    ) -> dict[str, str]:
-    """The four statistics tables. Ratings are read once per table, as four
-    independent jobs; genre lists are stored nested (genre, recs)."""
-    tables = {
-        RATE_MORE: stats.rating_counts(ratings),
-        RATE_MORE_RECENTLY: stats.monthly_rating_counts(ratings),
-        AVERAGE_SCORES: stats.average_ratings(ratings),
-        GENRES_TOP: stats.nest_recs(stats.top_items_per_genre(items, ratings, genres, k), "genre"),
-    }
-    for name, df in tables.items():
-        writers.write_table(df, _path(out, name), format, options)
+    """The four statistics tables; genre lists are stored nested (genre, recs).
+
+    The ratings are scanned and shuffled once, into an (item, month) roll-up
+    of counts and rating sums, which is persisted (memory and disk; items x
+    months rows, far fewer than ratings) and released after the writes. The
+    three popularity/average tables and the genre lists all derive from it.
+    """
+    from pyspark import StorageLevel
+
+    rollup = stats.item_month_rollup(ratings).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        derived = stats.statistics_from_rollup(rollup)
+        tables = {
+            RATE_MORE: derived["rating_counts"],
+            RATE_MORE_RECENTLY: derived["monthly_rating_counts"],
+            AVERAGE_SCORES: derived["average_ratings"],
+        }
+        averages = derived["average_ratings"]
+        scored = stats.items_with_score(items.select("item_id", "genres"), averages)
+        tables[GENRES_TOP] = stats.nest_recs(stats.top_from_scored(scored, genres, k), "genre")
+        for name, df in tables.items():
+            writers.write_table(df, _path(out, name), format, options)
+    finally:
+        rollup.unpersist()
     return {n: _path(out, n) for n in tables}
 
 

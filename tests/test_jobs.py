@@ -56,3 +56,15 @@ def test_congestion_training(spark, sf_small):
     res = jobs.run_congestion_training(totals, fx.relations(spark), bucket="1 hour").collect()
     assert {r["target_id"] for r in res} <= set(fx.TEST_CAMERAS)
     assert all(0.0 <= r["accuracy"] <= 1.0 for r in res if r["accuracy"] is not None)
+
+
+def test_rollup_statistics_equal_direct(spark, sf_small):
+    r = fx.ratings(spark, sf_small)
+    derived = stats.statistics_from_rollup(stats.item_month_rollup(r))
+    for name, direct in [("rating_counts", stats.rating_counts(r)), ("average_ratings", stats.average_ratings(r)),
+                         ("monthly_rating_counts", stats.monthly_rating_counts(r))]:
+        a, b = derived[name], direct
+        if "avg" in a.columns:
+            a = a.select("item_id", F.round("avg", 9).alias("avg"))
+            b = b.select("item_id", F.round("avg", 9).alias("avg"))
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
