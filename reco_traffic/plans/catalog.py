@@ -630,6 +630,11 @@ def q_stream_camera_minutes(spark, sf):
     return view.select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
 
 
+# the production layout: the stream's rating log partitioned by user bucket,
+# each batch reading only the buckets of its own users
+STREAM_USER_BUCKETS = 16
+
+
 def _stream_lists(spark, sf):
     """Run the recommendation stream over time-ordered chunks of the rating
     messages and return the final per-user view."""
@@ -639,7 +644,7 @@ def _stream_lists(spark, sf):
     def start(src):
         msgs = readers.read_stream(spark, "text", path=src)
         return streams.stream_recommend(msgs, sim, None, out, ckpt, min_sim=fx.TEST_SCORE_THRESHOLD,
-                                        trigger={"availableNow": True})
+                                        trigger={"availableNow": True}, history_buckets=STREAM_USER_BUCKETS)
 
     def lines(d):
         return d.select(F.concat_ws("|", *[F.col(c).cast("string") for c in d.columns]).alias("value"))
