@@ -81,5 +81,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 200 * 2**20, cores: int | None = None) -> int:
+    """Shuffle partitions so that each holds about ``target_bytes`` (fits an
+    executor task without spilling), and at least one per core. For example
+    a 20 TB shuffle at 200 MB per partition gives ~100k partitions; AQE then
+    coalesces the ones that turn out small."""
+    by_size = -(-int(shuffle_bytes) // int(target_bytes))
+    return max(1, by_size, int(cores or 1))
+
+
 def cpu_count() -> int:
     return int(os.environ.get("BENCH_CPUS") or os.cpu_count() or 8)
