@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pyspark.ml.functions import vector_to_array
-
 from .. import schemas
 from ..functions.columns import congestion_class, cosine_similarity, epoch_seconds
 from ..operators import als, congestion, parse, scoring, similarity, stats, traffic
@@ -232,14 +231,14 @@ def sql_similarity(threshold: float) -> str:
             f" from embeddings a join embeddings b on a.vec_id <> b.vec_id where {cos} > {threshold!r}")
 
 
-def test_similarity(spark, sf, threshold):
+def fixture_similarity(spark, sf, threshold):
     return similarity.similar_items(fx.item_factors(spark, sf), threshold=threshold)
 
 
 @register("similar_items", with_ctes(
     "select item_id, other_id, round(sim, 6) as sim from sim", sim=sql_similarity(fx.TEST_SIM_THRESHOLD)))
 def q_similar_items(spark, sf):
-    return test_similarity(spark, sf, fx.TEST_SIM_THRESHOLD).select("item_id", "other_id", r6("sim").alias("sim"))
+    return fixture_similarity(spark, sf, fx.TEST_SIM_THRESHOLD).select("item_id", "other_id", r6("sim").alias("sim"))
 
 
 @register("cosine_similarity",
@@ -281,7 +280,7 @@ def stored_similarity(spark, sf, threshold):
     written to the shared folder, read back by its consumers (so the block
     product is not re-run by every join that uses it)."""
     path = scratch_path(spark, "item-sim")
-    writers.write_table(test_similarity(spark, sf, threshold), path)
+    writers.write_table(fixture_similarity(spark, sf, threshold), path)
     return readers.read_table(spark, path, schemas.SIMILARITY)
 
 
@@ -385,21 +384,21 @@ TRAFFIC_CTES = dict(
 )
 
 
-def test_totals(spark, sf):
+def fixture_totals(spark, sf):
     return traffic.camera_minute_totals(fx.car_events(spark, sf), bucket=TEST_BUCKET)
 
 
 @register("camera_minute_totals", with_ctes(
     "select camera_id, minute, round(speed_total, 6) as speed_total, car_count from h", **TRAFFIC_CTES))
 def q_camera_minute_totals(spark, sf):
-    return test_totals(spark, sf).select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
+    return fixture_totals(spark, sf).select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
 
 
 @register("average_speed", with_ctes(
     "select camera_id, minute, round(speed_total, 6) as speed_total, car_count,"
     " round(speed_total / car_count, 6) as avg_speed from h", **TRAFFIC_CTES))
 def q_average_speed(spark, sf):
-    return traffic.average_speed(test_totals(spark, sf)).select(
+    return traffic.average_speed(fixture_totals(spark, sf)).select(
         "camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count", r6("avg_speed").alias("avg_speed"))
 
 
@@ -410,7 +409,7 @@ def _class_sql(v: str) -> str:
 @register("congestion_label", with_ctes(
     f"select camera_id, minute, {_class_sql('v')} as label from a", **TRAFFIC_CTES))
 def q_congestion_label(spark, sf):
-    return traffic.average_speed(test_totals(spark, sf)).select(
+    return traffic.average_speed(fixture_totals(spark, sf)).select(
         "camera_id", "minute", congestion_class(F.col("avg_speed")).alias("label"))
 
 
@@ -420,7 +419,7 @@ def q_congestion_label(spark, sf):
     f" where minute >= timestamp '{TEST_AS_OF}' - interval 30 minute - interval {TEST_HOURS - 3} hour"
     f" and minute <= timestamp '{TEST_AS_OF}' - interval 30 minute + interval 2 hour", **TRAFFIC_CTES))
 def q_lookback_window(spark, sf):
-    out = traffic.lookback_window(test_totals(spark, sf), TEST_AS_OF, hours=TEST_HOURS, bucket=TEST_BUCKET)
+    out = traffic.lookback_window(fixture_totals(spark, sf), TEST_AS_OF, hours=TEST_HOURS, bucket=TEST_BUCKET)
     return out.select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
 
 
@@ -429,7 +428,7 @@ def q_lookback_window(spark, sf):
     " where camera_id in ('click', 'view') and minute between timestamp '2024-01-10 00:00:00'"
     " and timestamp '2024-01-15 00:00:00'", **TRAFFIC_CTES))
 def q_latest_minutes(spark, sf):
-    out = traffic.latest_minutes(test_totals(spark, sf), ["click", "view"], "2024-01-10 00:00:00",
+    out = traffic.latest_minutes(fixture_totals(spark, sf), ["click", "view"], "2024-01-10 00:00:00",
                                  "2024-01-15 00:00:00")
     return out.select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
 
@@ -459,7 +458,7 @@ def _flat_features(rows):
 
 @register("lagged_features", _lagged_sql())
 def q_lagged_features(spark, sf):
-    rows = traffic.lagged_features(test_totals(spark, sf), fx.relations(spark), lags=3, bucket=TEST_BUCKET)
+    rows = traffic.lagged_features(fixture_totals(spark, sf), fx.relations(spark), lags=3, bucket=TEST_BUCKET)
     return _flat_features(rows)
 
 
@@ -536,7 +535,7 @@ def q_rmse(spark, sf):
 
 
 def _training_rows(spark, sf):
-    return traffic.lagged_features(test_totals(spark, sf), fx.relations(spark), lags=3, bucket=TEST_BUCKET)
+    return traffic.lagged_features(fixture_totals(spark, sf), fx.relations(spark), lags=3, bucket=TEST_BUCKET)
 
 
 @register("fit_congestion_classifier")
@@ -691,7 +690,7 @@ def q_nest_recs(spark, sf):
     " other_id, round(sim, 6) as sim from sim", sim=sql_similarity(fx.TEST_SIM_THRESHOLD)))
 def q_similar_items_nested(spark, sf):
     """Per item, all neighbours above the threshold as one ordered list."""
-    nested = similarity.item_similarity_lists(test_similarity(spark, sf, fx.TEST_SIM_THRESHOLD))
+    nested = similarity.item_similarity_lists(fixture_similarity(spark, sf, fx.TEST_SIM_THRESHOLD))
     return nested.select("item_id", F.posexplode("recs").alias("pos", "rec")).select(
         "item_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("rec.item_id").alias("other_id"),
         r6("rec.score").alias("sim"))
@@ -713,6 +712,6 @@ def q_candidate_adjust_counts(spark, sf):
     f" and t.minute <= timestamp '{TEST_AS_OF}' - interval 30 minute + interval 2 hour"))
 def q_lagged_features_lookback(spark, sf):
     """Training rows of the look-back ending at the as-of time only."""
-    rows = traffic.lagged_features(test_totals(spark, sf), fx.relations(spark), lags=3, bucket=TEST_BUCKET,
+    rows = traffic.lagged_features(fixture_totals(spark, sf), fx.relations(spark), lags=3, bucket=TEST_BUCKET,
                                    as_of=TEST_AS_OF, hours=TEST_HOURS)
     return _flat_features(rows)

@@ -52,7 +52,7 @@ def test_replay_camera_events(spark, sf_small):
 
 
 def test_congestion_training(spark, sf_small):
-    totals = catalog.test_totals(spark, sf_small)
+    totals = catalog.fixture_totals(spark, sf_small)
     res = jobs.run_congestion_training(totals, fx.relations(spark), bucket="1 hour").collect()
     assert {r["target_id"] for r in res} <= set(fx.TEST_CAMERAS)
     assert all(0.0 <= r["accuracy"] <= 1.0 for r in res if r["accuracy"] is not None)
