@@ -342,8 +342,9 @@ REC_SIZES_SQL = ("select e.user_id, cast(count(s.item_id) as int) as n_recs from
 
 
 def _batch_lists(spark, sf):
+    """Every user's list as of their newest rating (batch form)."""
     r, sim, _ = _scoring_inputs(spark, sf)
-    return scoring.recommend_from_events(r, sim, r, min_sim=fx.TEST_SCORE_THRESHOLD)
+    return scoring.recommend_latest(r, sim, min_sim=fx.TEST_SCORE_THRESHOLD)
 
 
 @register("recommend_from_events", with_ctes(REC_LIST_SQL, **SCORING_CTES))
