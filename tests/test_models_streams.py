@@ -250,3 +250,23 @@ def test_stream_camera_events_json(spark):
     _run_chunks(spark, [[";comment", good, "short,line"], [good]], start)
     back = parse.parse_car_event(spark.read.text(out)).collect()
     assert len(back) == 2 and all(r["speed"] == 40 and r["camera_id"] == "c1" for r in back)
+
+
+def test_minute_totals_range_read_prunes_days(spark):
+    base = dt.datetime(2024, 1, 1, 23, 0, 0)
+    evs = [("c", base + dt.timedelta(minutes=30 * i), 10) for i in range(8)]  # spans 3 days
+    lines = [f'{{"camera_id":"{c}","event_time":"{t}","speed":"{s}"}}' for c, t, s in evs]
+    out, ckpt = scratch_path(spark, "tot-days"), scratch_path(spark, "tot-days-ckpt")
+
+    def start(src):
+        from reco_traffic.operators import parse
+
+        e = parse.parse_car_event(spark.readStream.text(src))
+        return streams.stream_camera_minutes(e, out, ckpt, bucket="30 minutes", trigger={"availableNow": True})
+
+    _run_chunks(spark, [lines], start)
+    assert streams.minute_totals_view(spark, out).count() == 8
+    part = streams.minute_totals_view(spark, out, "2024-01-02 00:00:00", "2024-01-02 23:59:59")
+    assert part.count() == 6
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "day" in plan.split("PartitionFilters")[1][:300]
