@@ -62,6 +62,7 @@ def _ntz(t: dt.datetime):
 
 def label_range(as_of, hours: float = 5, bucket: str = "1 minute", lags: int = 3):
     """(first, last) label bucket start of the look-back, as NTZ literals.
+    ``as_of="now"`` uses the current UTC time, as the reference does.
 
     The reference walks i = N..1 with N = hours*60 one-minute steps and labels
     bucket now - i + 3, i.e. [now - N + 3, now + 2] in buckets, ``now``
@@ -70,7 +71,10 @@ def label_range(as_of, hours: float = 5, bucket: str = "1 minute", lags: int = 3
     """
     step = bucket_seconds(bucket)
     n = int(round(hours * 3600 / step))
-    t = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
+    if isinstance(as_of, str) and as_of == "now":
+        t = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    else:
+        t = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
     epoch = dt.datetime(1970, 1, 1)
     base = epoch + dt.timedelta(seconds=int((t.replace(tzinfo=None) - epoch).total_seconds()) // step * step)
     first = base - dt.timedelta(seconds=(n - lags) * step)

@@ -245,3 +245,12 @@ def test_rejected_outputs(spark):
     g2, b2 = parse.split_car_events(ev)
     assert [r["speed"] for r in g2.collect()] == [33]
     assert rows(b2) == [('{"camera_id":"c","speed":"x"}',)]
+
+
+def test_lookback_now(spark):
+    import datetime as dt
+
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, second=0, microsecond=0)
+    tot = _totals(spark, [("a", (now - dt.timedelta(minutes=m)).isoformat(sep=" "), 10, 1) for m in range(0, 400, 50)])
+    got = traffic.lookback_window(tot, "now", hours=5, bucket="1 minute").count()
+    assert got == 6  # minutes 0, 50, ..., 250 ago fall in [now - 297, now + 2]
