@@ -80,18 +80,35 @@ def fit_per_target(rows: DataFrame, targets=None, fraction: float = 0.8, seed: i
     target's rows (hash split on minute, repeatable), fit on the training
     part. Returns [(target_id, model, test_rows)] in target order; a target
     without training rows is skipped. Up to ``parallelism`` fits run as
-    concurrent Spark jobs."""
+    concurrent Spark jobs. The rows are persisted (memory and disk) while the
+    models are fitted, so the feature pipeline runs once, and released
+    afterwards (the returned test rows recompute when used)."""
+    from pyspark import StorageLevel
+
     from .als import run_parallel, split_train_test
 
+    already = rows.storageLevel != StorageLevel.NONE
+    cached = rows if already else rows.persist(StorageLevel.MEMORY_AND_DISK)
+
     def one(t):
-        part = rows.where(F.col("target_id") == F.lit(t))
-        train, test = split_train_test(part, fraction, seed, key=["target_id", "minute"])
+        part = cached.where(F.col("target_id") == F.lit(t))
+        train, _ = split_train_test(part, fraction, seed, key=["target_id", "minute"])
         n = train.count()
         if n == 0:
             return None
-        return t, fit_congestion_classifier(train, num_classes, max_iter=max_iter, n_rows=n), test
+        return t, fit_congestion_classifier(train, num_classes, max_iter=max_iter, n_rows=n)
 
-    return [r for r in run_parallel(one, _targets(rows, targets), parallelism) if r is not None]
+    try:
+        fitted = [r for r in run_parallel(one, _targets(cached, targets), parallelism) if r is not None]
+    finally:
+        if not already:
+            cached.unpersist()
+    out = []
+    for t, model in fitted:
+        _, test = split_train_test(rows.where(F.col("target_id") == F.lit(t)), fraction, seed,
+                                   key=["target_id", "minute"])
+        out.append((t, model, test))
+    return out
 
 
 def evaluate_per_target(rows: DataFrame, targets=None, fraction: float = 0.8, seed: int = 0,
