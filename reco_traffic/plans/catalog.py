@@ -614,12 +614,23 @@ def _drain_in_chunks(spark, rows, ts_col, to_lines, start_query):
             raise RuntimeError(str(q.exception()))
 
 
+def _stream_session(spark):
+    """A child session (same cluster, own SQL settings) for the stateful
+    stream: its state partitions are fixed for the life of the checkpoint and
+    sized to the state (here the cores), not to the caller's batch shuffle
+    setting. The caller's session is left as it is."""
+    child = spark.newSession()
+    child.conf.set("spark.sql.shuffle.partitions", str(max(1, spark.sparkContext.defaultParallelism)))
+    return child
+
+
 @register("stream_camera_minutes", ORACLES["camera_minute_totals"])
 def q_stream_camera_minutes(spark, sf):
     out, ckpt = scratch_path(spark, "minute-totals"), scratch_path(spark, "minute-totals-ckpt")
+    stream_spark = _stream_session(spark)
 
     def start(src):
-        events = parse.parse_car_event(readers.read_stream(spark, "text", path=src), speed_type="double")
+        events = parse.parse_car_event(readers.read_stream(stream_spark, "text", path=src), speed_type="double")
         return streams.stream_camera_minutes(events, out, ckpt, bucket=TEST_BUCKET, watermark="2 hours",
                                              trigger={"availableNow": True})
 
