@@ -150,6 +150,7 @@ def main(argv=None) -> int:
     p.add_argument("text")
     p.add_argument("out")
     a = ap.parse_args(argv)
+    owned = SparkSession.getActiveSession() is None
     spark = get_session()
     if a.job == "load":
         load_catalog(spark, a.items_csv, a.ratings_csv, a.tags_csv, a.out)
@@ -165,7 +166,8 @@ def main(argv=None) -> int:
             best.show()
     elif a.job == "replay":
         replay_camera_events(spark, a.text, a.out)
-    spark.stop()
+    if owned:
+        spark.stop()
     return 0
 
 

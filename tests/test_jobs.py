@@ -68,3 +68,11 @@ def test_rollup_statistics_equal_direct(spark, sf_small):
             a = a.select("item_id", F.round("avg", 9).alias("avg"))
             b = b.select("item_id", F.round("avg", 9).alias("avg"))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_cli_replay(spark, sf_small):
+    text = scratch_path(spark, "cli-text")
+    catalog._camera_lines(spark, sf_small).write.text(text)
+    out = scratch_path(spark, "cli-json")
+    assert jobs.main(["replay", text, out]) == 0
+    assert spark.read.text(out).count() == fx.car_events(spark, sf_small).count()
