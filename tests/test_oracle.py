@@ -62,3 +62,24 @@ def test_top_k_is_limited_before_the_shuffle(spark, sf_small, name):
     assert partial and final
     # the partial limit sits below (after, in the printed tree) a hash exchange
     assert any("Exchange hashpartitioning" in line for line in lines[final[0]:partial[0]])
+
+
+def test_scans_read_only_needed_columns(spark, sf_small):
+    """Column pruning reaches the parquet scans (ReadSchema)."""
+    plan = catalog.QUERIES["rating_counts"](spark, sf_small)._jdf.queryExecution().executedPlan().toString()
+    schemas = [seg.split("\n")[0] for seg in plan.split("ReadSchema: ")[1:]]
+    assert schemas, plan
+    for rs in schemas:
+        assert "l_extendedprice" not in rs and "l_shipdate" not in rs and "o_totalprice" not in rs
+    assert any("l_partkey" in rs and "l_orderkey" in rs for rs in schemas)
+
+
+def test_time_range_filter_reaches_the_scan(spark, sf_small):
+    from reco_traffic.operators import traffic
+    from reco_traffic.plans import fixtures as fx
+
+    ev = fx.car_events(spark, sf_small).where("event_time >= timestamp_ntz'2024-01-10 00:00:00'")
+    plan = traffic.camera_minute_totals(ev, "1 hour")._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: ")[1].split("]")[0]
+    assert "GreaterThanOrEqual(ts," in pushed
+    assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in plan
