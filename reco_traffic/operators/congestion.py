@@ -75,7 +75,7 @@ def _targets(rows: DataFrame, targets) -> list:
 
 
 def fit_per_target(rows: DataFrame, targets=None, fraction: float = 0.8, seed: int = 0,
-                   num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER, parallelism: int = 4):
+                   num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER, parallelism: int = 8):
     """One model per target camera, as the reference trains them: split each
     target's rows (hash split on minute, repeatable), fit on the training
     part. Returns [(target_id, model, test_rows)] in target order; a target
@@ -113,7 +113,7 @@ def fit_per_target(rows: DataFrame, targets=None, fraction: float = 0.8, seed: i
 
 def evaluate_per_target(rows: DataFrame, targets=None, fraction: float = 0.8, seed: int = 0,
                         num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER,
-                        parallelism: int = 4) -> DataFrame:
+                        parallelism: int = 8) -> DataFrame:
     """(target_id, n_train, n_test, accuracy) with one fitted model per target.
 
     The feature rows are persisted once (memory and disk) for all fits and

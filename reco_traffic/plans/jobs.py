@@ -120,7 +120,7 @@ def replay_camera_events(spark: SparkSession, text_path: str, out: str | None =
 
 def run_congestion_training(totals: DataFrame, relations: DataFrame, as_of=None, hours: float = 5,
                             bucket: str = "1 minute", targets=None, fraction: float = 0.8, seed: int = 0,
-                            parallelism: int = 4) -> DataFrame:
+                            parallelism: int = 8) -> DataFrame:
     """Per target camera: training rows of the look-back, one multinomial
     classifier, held-out accuracy -> (target_id, n_train, n_test, accuracy)."""
     rows = traffic.lagged_features(totals, relations, 3, bucket, as_of, hours)
