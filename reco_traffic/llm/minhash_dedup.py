@@ -80,7 +80,7 @@ def bag_minhash(text: np.ndarray, h: np.ndarray, weight: np.ndarray, texts: int,
             rate = 1 << max(level - 1, 0)
             low = 0 if level == 0 else rate
             t, w, x = t0, w0, np.zeros(len(t0))
-            seed = mix(h0 + U(level + 1) * U(0xD1342543DE82EF95))
+            seed = mix(h0 + U((level + 1) * 0xD1342543DE82EF95 % (1 << 64)))
             while len(t):
                 seed = seed + _STEP
                 u = mix(seed)

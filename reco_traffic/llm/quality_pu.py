@@ -92,7 +92,7 @@ def features(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     return x
 
 
-def nnpu(p: np.ndarray, u: np.ndarray, prior: float, hidden: int = 24, epochs: int = 100, rate: float = 0.01, decay: float = 1e-4, seed: int = 4) -> dict:
+def nnpu(p: np.ndarray, u: np.ndarray, prior: float, hidden: int = 24, epochs: int = 100, rate: float = 0.03, decay: float = 1e-5, seed: int = 4) -> dict:
     """A one-hidden-layer network minimising the non-negative PU risk by Adam."""
     rng = np.random.default_rng(seed)
     both = np.concatenate([p, u])

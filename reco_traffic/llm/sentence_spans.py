@@ -117,6 +117,8 @@ def remove(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> Dat
     h = F.xxhash64("doc_id", "text")
     d = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (h == gone["_key"]), "left")
 
+    names = docs.columns
+
     def run(batches):
         for batch in batches:
             for part in chunks(batch, "text"):
@@ -126,7 +128,7 @@ def remove(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> Dat
                 for i in np.flatnonzero(~np.asarray(cut.is_null())):
                     texts[i] = without(texts[i], cut[int(i)].as_py(), span)
                 cols = [pa.array(texts, part.column(k).type) if c == "text" else part.column(j) for j, c in enumerate(part.schema.names) if c != "_at"]
-                yield pa.RecordBatch.from_arrays(cols, names=docs.columns)
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     # untouched rows need no Python
     changed = d.where("_at is not null").select(*[docs[c] for c in docs.columns], "_at").mapInArrow(run, docs.schema)
