@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import best_fit_packing, minhash_dedup, quality_pu, sentence_spans, source_mix
+from . import ann_block, best_fit_packing, embedding_dedup, license_scan, minhash_dedup, quality_pu, sentence_spans, source_mix, warc_bundles
 
 QUERIES = {
+    "op1_license_scan": license_scan.query,
+    "op2_ann_block": ann_block.query,
     "op3_best_fit_packing": best_fit_packing.query,
     "op4_quality_pu": quality_pu.query,
+    "op5_warc_bundles": warc_bundles.query,
+    "op6_embedding_dedup": embedding_dedup.query,
     "op7_minhash_dedup": minhash_dedup.query,
     "op8_source_mix": source_mix.query,
     "op9_sentence_spans": sentence_spans.query,
