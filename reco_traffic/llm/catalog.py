@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann_block, best_fit_packing, embedding_dedup, license_scan, minhash_dedup, quality_pu, sentence_spans, source_mix, warc_bundles
+from . import ann_block, best_fit_packing, embedding_dedup, license_scan, minhash_dedup, quality_pu, run_length_dedup, sentence_spans, source_mix, warc_bundles
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_minhash_dedup": minhash_dedup.query,
     "op8_source_mix": source_mix.query,
     "op9_sentence_spans": sentence_spans.query,
+    "op10_run_length_dedup": run_length_dedup.query,
 }
 
 ORACLES = {"op8_source_mix": source_mix.ORACLE}
