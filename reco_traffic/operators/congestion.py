@@ -4,9 +4,12 @@ regression, multinomial, with intercept)."""
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import dot
+
 DEFAULT_CLASSES = 11
 
 
@@ -25,34 +28,21 @@ DEFAULT_MAX_ITER = 100
 DEFAULT_TOL = 1e-4
 
 
-ROWS_PER_PARTITION = 100_000
-
-
-def sized_for_training(rows: DataFrame, n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Fewer, fuller partitions for an iterative fit: every L-BFGS iteration is
-    one job over all partitions, so a small training set spread over many
-    shuffle partitions pays task overhead per iteration for nothing. Large
-    sets keep ceil(n / rows_per_partition) partitions (no shuffle)."""
-    want = max(1, -(-int(n_rows) // int(rows_per_partition)))
-    return rows.coalesce(want) if rows.rdd.getNumPartitions() > want else rows
-
-
 def fit_congestion_classifier(
     rows: DataFrame,
     num_classes: int = DEFAULT_CLASSES,
     max_iter: int = DEFAULT_MAX_ITER,
     reg: float = 0.0,
     tol: float = DEFAULT_TOL,
-    n_rows: int | None = None,
+    partitions: int | None = None,
 ) -> LogisticRegressionModel:
-    """Multinomial logistic regression (L-BFGS) on (label, features).
-    ``n_rows`` (if known) sizes the partitions of the training set."""
+    """Multinomial logistic regression (L-BFGS) on (label, features). Every
+    iteration is one job over all partitions; ``partitions`` coalesces a
+    training set known to be small (None: leave it as it is)."""
     lr = LogisticRegression(family="multinomial", fitIntercept=True, maxIter=max_iter, regParam=reg, tol=tol,
                             labelCol="label", featuresCol="features")
     data = with_class_count(rows, num_classes)
-    if n_rows is not None:
-        data = sized_for_training(data, n_rows)
-    return lr.fit(data)
+    return lr.fit(data.coalesce(partitions) if partitions else data)
 
 
 def predict_congestion(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
@@ -67,75 +57,62 @@ def accuracy(predictions: DataFrame, label_col: str = "label", prediction_col: s
     return predictions.agg(F.avg(hit).alias("accuracy"))
 
 
-def _targets(rows: DataFrame, targets) -> list:
-    if targets is not None:
-        return list(targets)
-    # the configured target cameras: a bounded list, not data
-    return [r[0] for r in rows.select("target_id").distinct().orderBy("target_id").collect()]
+MODEL_SCHEMA = "target_id string, class int, intercept double, coefficients array<double>"
+SPLIT_KEY = ("target_id", "minute")
 
 
-def fit_per_target(rows: DataFrame, targets=None, fraction: float = 0.8, seed: int = 0,
-                   num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER, parallelism: int = 8):
-    """One model per target camera, as the reference trains them: split each
-    target's rows (hash split on minute, repeatable), fit on the training
-    part. Returns [(target_id, model, test_rows)] in target order; a target
-    without training rows is skipped. Up to ``parallelism`` fits run as
-    concurrent Spark jobs. The rows are persisted (memory and disk) while the
-    models are fitted, so the feature pipeline runs once, and released
-    afterwards (the returned test rows recompute when used)."""
-    from pyspark import StorageLevel
+def fit_per_target(rows: DataFrame, targets, fraction: float = 0.8, seed: int = 0,
+                   num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER, parallelism: int = 8,
+                   partitions: int | None = 1) -> DataFrame:
+    """One model per target camera, as the reference trains them ->
+    (target_id, class, intercept, coefficients).
 
-    from .als import run_parallel, split_train_test
+    ``rows`` (target_id, minute, label, features) must be a stored table: every
+    fit reads it. ``targets`` are the configured cameras, a list. Each is split
+    by a repeatable hash of (target, minute) and fitted on its training part;
+    a target without training rows gives no model. Up to ``parallelism`` fits
+    run as concurrent Spark jobs; a target's look-back is small, so its fit
+    runs on ``partitions`` partitions. Only the models (targets x classes rows)
+    pass the driver.
+    """
+    from .als import in_train, run_parallel
 
-    already = rows.storageLevel != StorageLevel.NONE
-    cached = rows if already else rows.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = rows.sparkSession
+    train = rows.where(in_train(fraction, seed, SPLIT_KEY))
+    present = {r[0] for r in train.where(F.col("target_id").isin(list(targets))).select("target_id").distinct().collect()}
 
     def one(t):
-        part = cached.where(F.col("target_id") == F.lit(t))
-        train, _ = split_train_test(part, fraction, seed, key=["target_id", "minute"])
-        n = train.count()
-        if n == 0:
-            return None
-        return t, fit_congestion_classifier(train, num_classes, max_iter=max_iter, n_rows=n)
-
-    try:
-        fitted = [r for r in run_parallel(one, _targets(cached, targets), parallelism) if r is not None]
-    finally:
-        if not already:
-            cached.unpersist()
-    out = []
-    for t, model in fitted:
-        _, test = split_train_test(rows.where(F.col("target_id") == F.lit(t)), fraction, seed,
-                                   key=["target_id", "minute"])
-        out.append((t, model, test))
-    return out
-
-
-def evaluate_per_target(rows: DataFrame, targets=None, fraction: float = 0.8, seed: int = 0,
-                        num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER,
-                        parallelism: int = 8) -> DataFrame:
-    """(target_id, n_train, n_test, accuracy) with one fitted model per target.
+        model = fit_congestion_classifier(train.where(F.col("target_id") == F.lit(t)), num_classes, max_iter=max_iter,
+                                          partitions=partitions)
+        weights, bias = model.coefficientMatrix.toArray().tolist(), model.interceptVector.toArray().tolist()
+        return [(t, k, float(bias[k]), weights[k]) for k in range(len(bias))]
 
-    The feature rows are persisted once (memory and disk) for all fits and
-    released at the end; only per-target metric rows reach the driver.
-    """
-    from pyspark import StorageLevel
+    fitted = run_parallel(one, [t for t in targets if t in present], parallelism)
+    return spark.createDataFrame([r for part in fitted for r in part], MODEL_SCHEMA)
 
-    spark = rows.sparkSession
-    cached = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    from .als import run_parallel
-
-    def measure(fitted):
-        t, model, test = fitted
-        m = predict_congestion(model, test).agg(
-            F.count(F.lit(1)).alias("n"), F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("a")
-        ).first()
-        n_all = cached.where(F.col("target_id") == F.lit(t)).count()
-        return t, int(n_all - m["n"]), int(m["n"]), m["a"]
-
-    try:
-        fitted = fit_per_target(cached, targets, fraction, seed, num_classes, max_iter, parallelism)
-        metrics = run_parallel(measure, fitted, parallelism)
-    finally:
-        cached.unpersist()
-    return spark.createDataFrame(metrics, "target_id string, n_train bigint, n_test bigint, accuracy double")
+
+def predict_per_target(models: DataFrame, rows: DataFrame) -> DataFrame:
+    """rows + prediction by the model of their target: one join for all
+    targets, the class of the largest margin (ties to the smaller class).
+    Rows without a model are left out."""
+    by = models.groupBy("target_id").agg(F.collect_list(F.struct("class", "intercept", "coefficients")).alias("_m"))
+    x = vector_to_array("features") if rows.schema["features"].dataType.simpleString() == "vector" else F.col("features")
+    margin = F.transform("_m", lambda m: F.struct((m["intercept"] + dot(m["coefficients"], F.col("_x"))).alias("g"),
+                                                  (-m["class"]).alias("k")))
+    scored = rows.withColumn("_x", x).join(by, "target_id").withColumn("prediction", (-F.array_max(margin)["k"]).cast("double"))
+    return scored.drop("_m", "_x").select(*rows.columns, "prediction")
+
+
+def evaluate_per_target(rows: DataFrame, targets, fraction: float = 0.8, seed: int = 0,
+                        num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER,
+                        parallelism: int = 8) -> DataFrame:
+    """(target_id, n_train, n_test, accuracy) with one fitted model per target;
+    scored and measured for all targets in one join and one aggregate. ``rows``
+    must be a stored table."""
+    from .als import in_train
+
+    models = fit_per_target(rows, targets, fraction, seed, num_classes, max_iter, parallelism)
+    train = in_train(fraction, seed, SPLIT_KEY)
+    hit = F.when(~F.col("_train"), (F.col("prediction") == F.col("label")).cast("double"))
+    return predict_per_target(models, rows).withColumn("_train", train).groupBy("target_id").agg(
+        F.count_if("_train").alias("n_train"), F.count_if(~F.col("_train")).alias("n_test"), F.avg(hit).alias("accuracy"))

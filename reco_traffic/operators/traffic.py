@@ -86,15 +86,39 @@ def lookback_window(totals: DataFrame, as_of, hours: float = 5, bucket: str = "1
                     col: str = "minute") -> DataFrame:
     """Rows whose bucket is a label bucket of the look-back ending at ``as_of``."""
     first, last = label_range(as_of, hours, bucket, lags)
-    return totals.where((F.col(col) >= first) & (F.col(col) <= last))
+    return between(totals, first, last, col)
+
+
+DAY = "day"
+
+
+def between(totals: DataFrame, first, last, col: str = "minute") -> DataFrame:
+    """Rows with ``col`` in [first, last]. Of a store partitioned by ``day``
+    only the days touched are read: the range is put on that column as well."""
+    out = totals.where((F.col(col) >= first) & (F.col(col) <= last))
+    if DAY in totals.columns:
+        out = out.where((F.col(DAY) >= F.to_date(first)) & (F.col(DAY) <= F.to_date(last)))
+    return out
 
 
 def latest_minutes(totals: DataFrame, cameras: Sequence[str], start, end) -> DataFrame:
-    """The per-bucket values of some cameras in [start, end]. With the store
-    partitioned by day this prunes to the days touched."""
+    """The per-bucket values of some cameras in [start, end]. A store with a
+    ``day`` partition column is read for the days touched only."""
     lo = F.to_timestamp_ntz(F.lit(str(start)))
     hi = F.to_timestamp_ntz(F.lit(str(end)))  # literal bounds reach the scan as pushed filters
-    return totals.where(F.col("camera_id").isin(list(cameras)) & (F.col("minute") >= lo) & (F.col("minute") <= hi))
+    return between(totals.where(F.col("camera_id").isin(list(cameras))), lo, hi)
+
+
+def lag_table(totals: DataFrame, lags: int = 3, bucket: str = "1 minute") -> DataFrame:
+    """(camera_id, minute, v1..v<lags>): per camera and label bucket L its
+    average speed at L-1, L-2, ... (NULL without data). One partial aggregate
+    over lags rows per total."""
+    step = bucket_seconds(bucket)
+    avg = average_speed(totals).select("camera_id", "minute", F.col("avg_speed").alias("v"))
+    shifted = avg.withColumn("lag", F.explode(F.sequence(F.lit(1), F.lit(lags)))).select(
+        "camera_id", (F.col("minute") + F.expr(f"make_dt_interval(0, 0, 0, lag * {step})")).alias("minute"), "lag", "v")
+    return shifted.groupBy("camera_id", "minute").agg(
+        *[F.max(F.when(F.col("lag") == j, F.col("v"))).alias(f"v{j}") for j in range(1, lags + 1)])
 
 
 def lagged_features(
@@ -116,27 +140,30 @@ def lagged_features(
     lags * R values, bucket-major (L-lags first) then by ``pos``. A target
     without data at L gives no row; a related camera without data at L-j
     contributes ``missing``. With ``as_of`` only label buckets of that
-    look-back are produced.
+    look-back are produced, and only the totals they need are read: labels in
+    [first, last], features in [first - lags, last - 1].
+
+    The lags of a camera are gathered once (``lag_table``), then joined to the
+    related cameras of each target.
     """
-    step = bucket_seconds(bucket)
-    avg = average_speed(totals).select("camera_id", "minute", "avg_speed")
-    label_rows = avg.select(F.col("camera_id").alias("target_id"), "minute", F.col("avg_speed").alias("label_v"))
+    labels, before = totals, totals
     if as_of is not None:
-        label_rows = lookback_window(label_rows, as_of, hours, bucket, lags)
-    # the (target, related, lag) slots: relations x lags, a per-row generator
-    slots = relations.select(
-        "target_id", "related_id", "pos", F.explode(F.sequence(F.lit(1), F.lit(lags))).alias("lag"))
-    wanted = label_rows.join(slots, "target_id").withColumn(
-        "fminute", F.col("minute") - F.expr(f"make_dt_interval(0, 0, 0, lag * {step})"))
-    feat = avg.select(F.col("camera_id").alias("related_id"), F.col("minute").alias("fminute"),
-                      F.col("avg_speed").alias("v"))
-    filled = wanted.join(feat, ["related_id", "fminute"], "left").select(
-        "target_id", "minute", "label_v", "lag", "pos",
-        F.coalesce(F.col("v"), F.lit(float(missing))).alias("v"))
-    slot = F.struct((F.lit(lags) - F.col("lag")).alias("k"), F.col("pos").alias("p"), F.col("v").alias("v"))
+        first, last = label_range(as_of, hours, bucket, lags)
+        back = lambda n: F.expr(f"make_dt_interval(0, 0, 0, {n * bucket_seconds(bucket)})")
+        labels, before = between(totals, first, last), between(totals, first - back(lags), last - back(1))
+    labels = average_speed(labels).select(F.col("camera_id").alias("target_id"), "minute",
+                                          F.col("avg_speed").alias("label_v"))
+    wanted = labels.join(relations.select("target_id", "related_id", "pos"), "target_id")
+    feat = lag_table(before, lags, bucket).withColumnRenamed("camera_id", "related_id")
+    values = [F.coalesce(F.col(f"v{j}"), F.lit(float(missing))) for j in range(lags, 0, -1)]
+    filled = wanted.join(feat, ["related_id", "minute"], "left").select(
+        "target_id", "minute", "label_v", F.struct("pos", F.array(*values).alias("v")).alias("s"))
+    # one struct per related camera: bounded by the graph
     rows = filled.groupBy("target_id", "minute").agg(
-        F.max("label_v").alias("label_v"), F.array_sort(F.collect_list(slot)).alias("_s"))
-    values = F.transform(F.col("_s"), lambda x: x["v"])
-    feats = array_to_vector(values) if as_vector else values
-    return rows.select(
-        "target_id", "minute", congestion_class(F.col("label_v"), width, top).alias("label"), feats.alias("features"))
+        F.max("label_v").alias("label_v"), F.array_sort(F.collect_list("s")).alias("_s"))
+    def at(k: int):
+        return F.transform("_s", lambda x: x["v"][k])
+
+    feats = F.flatten(F.array(*[at(k) for k in range(lags)]))
+    return rows.select("target_id", "minute", congestion_class(F.col("label_v"), width, top).alias("label"),
+                       (array_to_vector(feats) if as_vector else feats).alias("features"))

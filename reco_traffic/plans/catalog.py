@@ -11,12 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.columns import congestion_class, cosine_similarity, epoch_seconds
+from ..functions.columns import congestion_class, cosine_similarity, dot, epoch_seconds
 from ..operators import als, congestion, parse, scoring, similarity, stats, traffic
 from ..session import scratch_path
 from ..sources import readers, writers
@@ -222,6 +222,62 @@ def q_parse_car_event(spark, sf):
     return parse.parse_car_event(writers.to_event_json(cams))
 
 
+# Lines derived from the tables, every one whose id is a multiple of 7 broken:
+# the accepted rows and the rejected lines together are all of the input.
+
+
+@register("rejected_rating_messages", with_ctes(
+    "select user_id, item_id, ts, case when item_id % 7 = 0 then user_id || '|' || item_id || '|x|' || ts end as rejected"
+    " from ratings", ratings=fx.SQL_RATINGS))
+def q_rejected_rating_messages(spark, sf):
+    """Accepted messages, and rejected ones with their raw text."""
+    r = fx.ratings(spark, sf)
+    score = F.when(F.col("item_id") % 7 == 0, F.lit("x")).otherwise(F.col("rating").cast("string"))
+    msgs = r.select(F.concat_ws("|", F.col("user_id").cast("string"), F.col("item_id").cast("string"), score,
+                                F.col("ts").cast("string")).alias("value"))
+    good, bad = parse.split_rating_messages(msgs)
+    p = F.split("value", r"\|")
+    bad = bad.select(p[0].cast("int").alias("user_id"), p[1].cast("int").alias("item_id"), p[3].cast("long").alias("ts"),
+                     F.col("value").alias("rejected"))
+    return good.select("user_id", "item_id", "ts", F.lit(None).cast("string").alias("rejected")).unionByName(bad)
+
+
+@register("rejected_car_events", with_ctes(
+    "select road_id, case when cast(road_id as bigint) % 7 = 0 then 'not a time' else"
+    " strftime(event_time, '%Y-%m-%d %H:%M:%S') end as event_time, cast(road_id as bigint) % 7 = 0 as rejected,"
+    " case when cast(road_id as bigint) % 7 = 0 then null when cast(road_id as bigint) % 5 = 0 then 0"
+    " else cast(floor(speed) as int) end as speed from ev", ev=fx.SQL_CAR_EVENTS))
+def q_rejected_car_events(spark, sf):
+    """Events whose time doesn't parse are rejected; those without a speed
+    count with speed 0."""
+    n = F.col("road_id").cast("long")
+    ev = fx.car_events(spark, sf).select(
+        "camera_id", "car_id", "road_id",
+        F.when(n % 7 == 0, F.lit("not a time")).otherwise(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")).alias("event_time"),
+        F.when(n % 5 != 0, F.floor("speed").cast("int")).alias("speed"))
+    good, bad = parse.split_car_events(writers.to_event_json(ev))
+    bad = bad.select(F.get_json_object("value", "$.road_id").alias("road_id"),
+                     F.get_json_object("value", "$.event_time").alias("event_time"), F.lit(True).alias("rejected"),
+                     F.lit(None).cast("int").alias("speed"))
+    return good.select("road_id", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("event_time"),
+                       F.lit(False).alias("rejected"), "speed").unionByName(bad)
+
+
+@register("rejected_csv_rows", with_ctes(
+    "select case when item_id % 7 <> 0 then user_id end as user_id, case when item_id % 7 <> 0 then ts end as ts,"
+    " case when item_id % 7 = 0 then user_id || ',' || item_id || ',bad,' || ts end as rejected from ratings",
+    ratings=fx.SQL_RATINGS))
+def q_rejected_csv_rows(spark, sf):
+    path = scratch_path(spark, "broken-csv")
+    r = fx.ratings(spark, sf)
+    score = F.when(F.col("item_id") % 7 == 0, F.lit("bad")).otherwise(F.col("rating").cast("string"))
+    writers.write_table(r.select("user_id", "item_id", score.alias("rating"), "ts"), path, format="csv",
+                        options={"header": "true"})
+    good, bad = readers.read_csv_with_rejects(spark, path, schemas.RATINGS)
+    return good.select("user_id", "ts", F.lit(None).cast("string").alias("rejected")).unionByName(
+        bad.select(F.lit(None).cast("int").alias("user_id"), F.lit(None).cast("long").alias("ts"), F.col("value").alias("rejected")))
+
+
 # ------------------------------------------------------------ similarity
 
 
@@ -389,6 +445,13 @@ def fixture_totals(spark, sf):
     return traffic.camera_minute_totals(fx.car_events(spark, sf), bucket=TEST_BUCKET)
 
 
+def stored_totals(spark, sf):
+    """The totals as the stream stores them: partitioned by day."""
+    path = scratch_path(spark, "totals-by-day")
+    writers.write_table(fixture_totals(spark, sf).withColumn("day", F.to_date("minute")), path, partition_by=["day"])
+    return spark.read.parquet(path)
+
+
 @register("camera_minute_totals", with_ctes(
     "select camera_id, minute, round(speed_total, 6) as speed_total, car_count from h", **TRAFFIC_CTES))
 def q_camera_minute_totals(spark, sf):
@@ -420,7 +483,7 @@ def q_congestion_label(spark, sf):
     f" where minute >= timestamp '{TEST_AS_OF}' - interval 30 minute - interval {TEST_HOURS - 3} hour"
     f" and minute <= timestamp '{TEST_AS_OF}' - interval 30 minute + interval 2 hour", **TRAFFIC_CTES))
 def q_lookback_window(spark, sf):
-    out = traffic.lookback_window(fixture_totals(spark, sf), TEST_AS_OF, hours=TEST_HOURS, bucket=TEST_BUCKET)
+    out = traffic.lookback_window(stored_totals(spark, sf), TEST_AS_OF, hours=TEST_HOURS, bucket=TEST_BUCKET)
     return out.select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
 
 
@@ -429,7 +492,7 @@ def q_lookback_window(spark, sf):
     " where camera_id in ('click', 'view') and minute between timestamp '2024-01-10 00:00:00'"
     " and timestamp '2024-01-15 00:00:00'", **TRAFFIC_CTES))
 def q_latest_minutes(spark, sf):
-    out = traffic.latest_minutes(fixture_totals(spark, sf), ["click", "view"], "2024-01-10 00:00:00",
+    out = traffic.latest_minutes(stored_totals(spark, sf), ["click", "view"], "2024-01-10 00:00:00",
                                  "2024-01-15 00:00:00")
     return out.select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
 
@@ -464,9 +527,15 @@ def q_lagged_features(spark, sf):
 
 
 # ------------------------------------------------------------ models
-# Fitted models cannot be reproduced in SQL: these entries get the rows-only
-# check; their invariants are unit-tested. rmse and accuracy themselves are
-# checked by SQL on deterministic predictors.
+# A fitted model's numbers can't be reproduced in SQL. Its output is held
+# against a direct computation from the same factors or coefficients in Spark,
+# row by row; SQL derives from the tables which rows there must be, and that
+# all of them agree. Splits use md5, which SQL has, so they are compared whole.
+
+SPLIT_KEY = ["user_id", "item_id", "ts"]
+MD5_SPLIT = "('0x' || md5(concat_ws('|', '0', {}))[1:8])::bigint % 1000000 < 800000"
+RATING_SPLIT_SQL = MD5_SPLIT.format("user_id::varchar, item_id::varchar, ts::varchar")
+ROW_SPLIT_SQL = MD5_SPLIT.format("target_id, strftime(minute, '%Y-%m-%d %H:%M:%S')")
 
 
 def _als_model(spark, sf, rank=als.DEFAULT_RANK):
@@ -474,51 +543,115 @@ def _als_model(spark, sf, rank=als.DEFAULT_RANK):
                        seed=0)
 
 
-@register("fit_als")
+def _factor_check(factors, key):
+    finite = F.forall("features", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return factors.select(key, F.size("features").alias("n_factors"), finite.alias("finite"))
+
+
+def _close(a, b):
+    return F.abs(a - b) <= F.lit(1e-4) * (F.lit(1.0) + F.abs(b))
+
+
+@register("fit_als", with_ctes(
+    f"select distinct user_id, {als.DEFAULT_RANK}::int as n_factors, true as finite from ratings",
+    ratings=fx.SQL_RATINGS))
 def q_fit_als(spark, sf):
-    """User factors of the fitted model (one row per rating user)."""
-    return als.user_factors(_als_model(spark, sf))
+    """The fitted model's user vectors: one per rating user, of full rank."""
+    return _factor_check(als.user_factors(_als_model(spark, sf)), "user_id")
 
 
-@register("item_factors")
+@register("item_factors", with_ctes(
+    f"select distinct item_id, {als.DEFAULT_RANK}::int as n_factors, true as finite from ratings",
+    ratings=fx.SQL_RATINGS))
 def q_item_factors(spark, sf):
-    return als.item_factors(_als_model(spark, sf))
+    return _factor_check(als.item_factors(_als_model(spark, sf)), "item_id")
 
 
-@register("score_pairs")
-def q_score_pairs(spark, sf):
-    r = fx.ratings(spark, sf)
-    return als.score_pairs(_als_model(spark, sf), r)
+def _direct(model, pairs):
+    """pairs plus ``direct``: the dot product of the user's and item's vectors."""
+    u = als.user_factors(model).withColumnRenamed("features", "_u")
+    i = als.item_factors(model).withColumnRenamed("features", "_i")
+    return pairs.join(u, "user_id").join(i, "item_id").withColumn("direct", dot("_u", "_i")).drop("_u", "_i")
 
 
-@register("recommend_for_users")
-def q_recommend_for_users(spark, sf):
-    return als.recommend_for_users(_als_model(spark, sf), k=20)
+@register("score_pairs", with_ctes(
+    "select user_id, item_id, true as agrees from ratings", ratings=fx.SQL_RATINGS))
+def q_score_pairs(spark, sf):
+    """Every rated pair's prediction against its vectors' dot product."""
+    model = _als_model(spark, sf)
+    scored = als.score_pairs(model, fx.ratings(spark, sf))
+    return _direct(model, scored).select("user_id", "item_id", _close(F.col("prediction"), F.col("direct")).alias("agrees"))
 
 
-@register("similar_items_from_factors")
+@register("recommend_for_users", with_ctes(
+    "select distinct user_id, true as agrees, true as ordered, true as bounded from ratings", ratings=fx.SQL_RATINGS))
+def q_recommend_for_users(spark, sf):
+    """Per user: scores equal the dot products, descend with the rank, are
+    positive, of different items, and 20 at most."""
+    model = _als_model(spark, sf)
+    recs = _direct(model, als.recommend_for_users(model, k=20))
+    before = F.lag("score").over(Window.partitionBy("user_id").orderBy("rank"))
+    recs = recs.withColumn("_down", F.coalesce(before >= F.col("score"), F.lit(True)))
+    by = recs.groupBy("user_id").agg(
+        F.bool_and(_close(F.col("score"), F.col("direct"))).alias("agrees"),
+        F.bool_and("_down").alias("ordered"),
+        ((F.count("*") <= 20) & (F.count("*") == F.countDistinct("item_id")) & (F.min("score") > 0)
+         & (F.max("rank") == F.count("*"))).alias("bounded"))
+    users = fx.ratings(spark, sf).select("user_id").distinct()
+    return users.join(by, "user_id", "left").fillna(True).select("user_id", "agrees", "ordered", "bounded")
+
+
+@register("similar_items_from_factors", with_ctes(
+    "select distinct item_id, true as agrees, true as mutual from ratings", ratings=fx.SQL_RATINGS))
 def q_similar_items_from_factors(spark, sf):
-    """The reference's item-similarity job: ALS item factors, cosine > 0.6."""
-    return similarity.similar_items(als.item_factors(_als_model(spark, sf)), threshold=0.6)
-
-
-@register("split_train_test")
+    """The reference's item-similarity job (ALS item factors, cosine > 0.6).
+    Per item: each similarity equals the cosine of the two vectors and is above
+    the threshold, and each pair stands in both directions."""
+    f = als.item_factors(_als_model(spark, sf))
+    path = scratch_path(spark, "factors")
+    writers.write_table(f, path)
+    f = readers.read_table(spark, path)
+    sim = similarity.similar_items(f, threshold=0.6)
+    back = sim.select(F.col("other_id").alias("item_id"), F.col("item_id").alias("other_id"), F.lit(True).alias("_back"))
+    sim = sim.join(back, ["item_id", "other_id"], "left")
+    sim = sim.join(f.select("item_id", F.col("features").alias("_a")), "item_id")
+    sim = sim.join(f.select(F.col("item_id").alias("other_id"), F.col("features").alias("_b")), "other_id")
+    cos = cosine_similarity("_a", "_b")
+    by = sim.groupBy("item_id").agg(F.bool_and(_close(F.col("sim"), cos) & (F.col("sim") > 0.6)).alias("agrees"),
+                                    F.bool_and(F.col("_back").isNotNull()).alias("mutual"))
+    return f.select("item_id").join(by, "item_id", "left").fillna(True).select("item_id", "agrees", "mutual")
+
+
+@register("split_train_test", with_ctes(
+    f"select user_id, item_id, rating, ts, case when {RATING_SPLIT_SQL} then 'train' else 'test' end as part from ratings",
+    ratings=fx.SQL_RATINGS))
 def q_split_train_test(spark, sf):
-    train, test = als.split_train_test(fx.ratings(spark, sf), 0.8, seed=0, key=["user_id", "item_id", "ts"])
+    train, test = als.split_train_test(fx.ratings(spark, sf), 0.8, seed=0, key=SPLIT_KEY)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-# a small grid keeps the registered check affordable; the function's default
-# grid is the reference's 4 x 4
-@register("grid_search_als")
+def _grid(spark, sf):
+    train, test = als.split_train_test(fx.ratings(spark, sf), 0.8, seed=0, key=SPLIT_KEY)
+    return als.grid_search_als(train, test, seed=0, parallelism=4)
+
+
+@register("grid_search_als",
+          f"select r.rank, g.reg_param, true as measured from {fx.sql_values([(r,) for r in als.GRID_RANKS], ['rank'], 'r')},"
+          f" (select reg_param::double as reg_param from {fx.sql_values([(g,) for g in als.GRID_REGS], ['reg_param'], 'x')}) g")
 def q_grid_search_als(spark, sf):
-    train, test = als.split_train_test(fx.ratings(spark, sf), 0.8, seed=0, key=["user_id", "item_id", "ts"])
-    return als.grid_search_als(train, test, ranks=[5, 10], regs=[0.1, 0.01], iterations=5, seed=0, parallelism=4)
+    """The reference's 4 x 4 grid, each point with a finite, positive error."""
+    fine = F.col("rmse").isNotNull() & (F.col("rmse") > 0) & (F.col("rmse") < 100)
+    return _grid(spark, sf).select("rank", "reg_param", fine.alias("measured"))
 
 
-@register("best_params")
+@register("best_params", "select true as in_grid, true as least")
 def q_best_params(spark, sf):
-    return als.best_params(q_grid_search_als(spark, sf))
+    grid = _grid(spark, sf)
+    best = als.best_params(grid)
+    least = grid.agg(F.min("rmse").alias("_least"))
+    return best.join(F.broadcast(least), F.lit(True)).select(
+        (F.col("rank").isin(als.GRID_RANKS) & F.col("reg_param").isin(als.GRID_REGS)).alias("in_grid"),
+        (F.col("rmse") == F.col("_least")).alias("least"))
 
 
 @register("rmse", with_ctes(
@@ -539,32 +672,51 @@ def _training_rows(spark, sf):
     return traffic.lagged_features(fixture_totals(spark, sf), fx.relations(spark), lags=3, bucket=TEST_BUCKET)
 
 
-@register("fit_congestion_classifier")
-def q_fit_congestion_classifier(spark, sf):
-    """Intercepts and coefficients of one model per target camera."""
-    out = []
-    for t, model, _ in congestion.fit_per_target(_training_rows(spark, sf)):
-        mat = model.coefficientMatrix.toArray().tolist()
-        icpt = model.interceptVector.toArray().tolist()
-        out += [(t, i, icpt[i], mat[i]) for i in range(len(mat))]
-    return spark.createDataFrame(out, "target_id string, class int, intercept double, coefficients array<double>")
+def _stored_rows(spark, sf):
+    """The training rows, written once: every fit reads them."""
+    path = scratch_path(spark, "training-rows")
+    writers.write_table(_training_rows(spark, sf), path)
+    return spark.read.parquet(path)
 
 
-@register("predict_congestion")
-def q_predict_congestion(spark, sf):
-    """Predictions of each target's model on its held-out rows."""
-    parts = [congestion.predict_congestion(m, test).select("target_id", "minute", "label", "prediction")
-             for _, m, test in congestion.fit_per_target(_training_rows(spark, sf))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+TRAINING_CTES = dict(
+    TRAFFIC_CTES,
+    g="select t.camera_id as target_id, t.minute, t.v from a t"
+      f" where t.camera_id in (select target_id from {fx.sql_relations()})",
+)
+
+
+@register("fit_congestion_classifier", with_ctes(
+    f"select distinct target_id, c::int as class, {N_SLOTS} as n_coefficients, true as finite"
+    f" from g, range({congestion.DEFAULT_CLASSES}) as k(c) where {ROW_SPLIT_SQL}", **TRAINING_CTES))
+def q_fit_congestion_classifier(spark, sf):
+    """One model per target: a finite weight per class and feature."""
+    m = congestion.fit_per_target(_stored_rows(spark, sf), fx.TEST_CAMERAS)
+    finite = F.forall(F.array_append("coefficients", F.col("intercept")), lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return m.select("target_id", "class", F.size("coefficients").alias("n_coefficients"), finite.alias("finite"))
 
 
-@register("congestion_accuracy")
+@register("predict_congestion", with_ctes(
+    f"select target_id, minute, {_class_sql('v')} as label, true as a_class from g where not ({ROW_SPLIT_SQL})",
+    **TRAINING_CTES))
+def q_predict_congestion(spark, sf):
+    """Every target's held-out rows with a prediction of its model."""
+    rows = _stored_rows(spark, sf)
+    models = congestion.fit_per_target(rows, fx.TEST_CAMERAS)
+    _, test = als.split_train_test(rows, 0.8, 0, congestion.SPLIT_KEY)
+    out = congestion.predict_per_target(models, test)
+    fine = F.col("prediction").isin([float(k) for k in range(congestion.DEFAULT_CLASSES)])
+    return out.select("target_id", "minute", "label", fine.alias("a_class"))
+
+
+@register("congestion_accuracy", with_ctes(
+    f"select target_id, count(*) filter (where {ROW_SPLIT_SQL}) as n_train,"
+    f" count(*) filter (where not ({ROW_SPLIT_SQL})) as n_test, true as a_share from g group by target_id",
+    **TRAINING_CTES))
 def q_congestion_accuracy(spark, sf):
     """Held-out accuracy of each target camera's model."""
-    return congestion.evaluate_per_target(_training_rows(spark, sf))
+    out = congestion.evaluate_per_target(_stored_rows(spark, sf), fx.TEST_CAMERAS)
+    return out.select("target_id", "n_train", "n_test", F.col("accuracy").between(0.0, 1.0).alias("a_share"))
 
 
 # accuracy of the persistence predictor: class of the target's own previous bucket
@@ -583,86 +735,82 @@ def q_accuracy(spark, sf):
 
 
 # ------------------------------------------------------------ streams
-# The input is cut into time-ordered chunks; each chunk is appended to the
-# source folder and drained by a restart of the same query from its
-# checkpoint (trigger availableNow). Without late data the final view equals
-# the batch answer, so the batch SQL is the oracle.
+# The input is written once, cut into chunks; the chunks are put into the
+# source folder one by one, each drained by a restart of the same query from
+# its checkpoint (trigger availableNow), so the batch SQL is the oracle.
 
 STREAM_CHUNKS = 3
 
 
-def _time_chunks(df, ts_col, n=STREAM_CHUNKS):
-    """n filters covering [min, max] of ts_col in equal, disjoint ranges."""
-    numeric = dict(df.dtypes)[ts_col] in ("int", "bigint")
-    x = F.col(ts_col) if numeric else epoch_seconds(ts_col)
-    lo, hi = df.agg(F.min(x), F.max(x)).first()
-    if lo is None:
-        return []
-    cuts = [lo + (hi - lo + 1) * i // n for i in range(n)] + [hi + 1]
-    return [(x >= cuts[i]) & (x < cuts[i + 1]) for i in range(n)]
-
-
-def _drain_in_chunks(spark, rows, ts_col, to_lines, start_query):
-    """Append each time chunk of ``rows`` (as text lines) to a fresh source
-    folder and run ``start_query(source)`` to completion after each."""
-    src = scratch_path(spark, "stream-source")
-    for i, cond in enumerate(_time_chunks(rows, ts_col)):
-        to_lines(rows.where(cond)).write.mode("append").text(f"{src}/chunk={i}")
-        q = start_query(f"{src}/chunk=*")
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(str(q.exception()))
-
-
-def _stream_session(spark):
-    """A child session (same cluster, own SQL settings) for the stateful
-    stream: its state partitions are fixed for the life of the checkpoint and
-    sized to the state (here the cores), not to the caller's batch shuffle
-    setting. The caller's session is left as it is."""
-    child = spark.newSession()
-    child.conf.set("spark.sql.shuffle.partitions", str(max(1, spark.sparkContext.defaultParallelism)))
-    return child
+def _drain_in_chunks(spark, lines, start_query):
+    """``lines`` (value, chunk): write them in one pass, then move chunk after
+    chunk into a fresh source folder and run the query to completion."""
+    staged, src = scratch_path(spark, "stream-chunks"), scratch_path(spark, "stream-source")
+    lines.select("value", "chunk").write.partitionBy("chunk").text(staged)
+    jvm = spark.sparkContext._jvm
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(staged).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(at(src))
+    for i in range(STREAM_CHUNKS):
+        if fs.exists(at(f"{staged}/chunk={i}")):
+            fs.rename(at(f"{staged}/chunk={i}"), at(f"{src}/chunk={i}"))
+            q = start_query(f"{src}/chunk=*")
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
 
 
 @register("stream_camera_minutes", ORACLES["camera_minute_totals"])
 def q_stream_camera_minutes(spark, sf):
+    """Chunks are dealt by a hash of the event, so every chunk after the first
+    is full of late events; all of them count."""
     out, ckpt = scratch_path(spark, "minute-totals"), scratch_path(spark, "minute-totals-ckpt")
-    stream_spark = _stream_session(spark)
 
     def start(src):
-        events = parse.parse_car_event(readers.read_stream(stream_spark, "text", path=src), speed_type="double")
-        return streams.stream_camera_minutes(events, out, ckpt, bucket=TEST_BUCKET, watermark="2 hours",
-                                             trigger={"availableNow": True})
+        return streams.stream_camera_minutes(readers.read_stream(spark, "text", path=src), out, ckpt, bucket=TEST_BUCKET,
+                                             trigger={"availableNow": True}, speed_type="double", compact_every=2)
 
-    _drain_in_chunks(spark, fx.car_events(spark, sf), "event_time",
-                     lambda d: writers.to_event_json(d, ["camera_id", "car_id", "event_time", "speed", "road_id"]),
-                     start)
+    ev = fx.car_events(spark, sf)
+    lines = writers.to_event_json(ev, ["camera_id", "car_id", "event_time", "speed", "road_id"])
+    chunk = F.pmod(F.xxhash64("value"), F.lit(STREAM_CHUNKS)).cast("int")
+    _drain_in_chunks(spark, lines.withColumn("chunk", chunk), start)
     view = streams.minute_totals_view(spark, out)
     return view.select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
 
 
-# Bucket-pruned history pays off only when a batch's users touch a small share
-# of the buckets (large history, buckets >> users per batch). Here every batch
-# touches every bucket, so the registered stream runs unbucketed; the bucketed
-# path is checked against it in tests/test_models_streams.py.
-STREAM_USER_BUCKETS = None
+# Parts of the stored history; a micro-batch reads those of its users.
+STREAM_USER_BUCKETS = 16
 
 
 def _stream_lists(spark, sf):
-    """Run the recommendation stream over time-ordered chunks of the rating
-    messages and return the final per-user view."""
+    """Ratings before the middle of the time range are the stored history,
+    bucketed by user; the rest are streamed in time order. Returns the view of
+    the users' lists: of users in the stream, as of their last rating."""
     sim = stored_similarity(spark, sf, fx.TEST_CANDIDATE_THRESHOLD)
     out, ckpt = scratch_path(spark, "stream-recs"), scratch_path(spark, "stream-recs-ckpt")
+    path, hpath = scratch_path(spark, "ratings"), scratch_path(spark, "history")
+    writers.write_table(fx.ratings(spark, sf), path)
+    ratings = readers.read_table(spark, path, schemas.RATINGS)
+    first = ratings.groupBy("user_id").agg(F.max("ts").alias("_last"))
+    lo, hi = ratings.agg(F.min("ts"), F.max("ts")).first()
+    if lo is None:
+        return streams.user_recs_view(spark, out)
+    middle, step = (lo + hi) // 2, (hi - (lo + hi) // 2) // STREAM_CHUNKS + 1
+    # a user whose last rating is old streams that rating in the first chunk
+    old = (F.col("ts") <= middle) & ~((F.col("_last") <= middle) & (F.col("ts") == F.col("_last")))
+    marked = ratings.join(first, "user_id").withColumn("_old", old)
+    scoring.write_history(marked.where("_old"), hpath, STREAM_USER_BUCKETS)
+    history = spark.read.schema(T.StructType([*schemas.RATINGS.fields, T.StructField(scoring.USER_BUCKET, T.IntegerType())])).parquet(hpath)
+    cols = [f.name for f in schemas.RATINGS.fields]
+    chunk = F.greatest(F.lit(0), F.floor((F.col("ts") - middle) / step)).cast("int")
+    lines = marked.where("not _old").select(F.concat_ws("|", *[F.col(c).cast("string") for c in cols]).alias("value"), chunk.alias("chunk"))
 
     def start(src):
-        msgs = readers.read_stream(spark, "text", path=src)
-        return streams.stream_recommend(msgs, sim, None, out, ckpt, min_sim=fx.TEST_SCORE_THRESHOLD,
-                                        trigger={"availableNow": True}, history_buckets=STREAM_USER_BUCKETS)
-
-    def lines(d):
-        return d.select(F.concat_ws("|", *[F.col(c).cast("string") for c in d.columns]).alias("value"))
+        return streams.stream_recommend(readers.read_stream(spark, "text", path=src), sim, history, out, ckpt,
+                                        min_sim=fx.TEST_SCORE_THRESHOLD, trigger={"availableNow": True},
+                                        history_buckets=STREAM_USER_BUCKETS, compact_every=2)
 
-    _drain_in_chunks(spark, fx.ratings(spark, sf), "ts", lines, start)
+    _drain_in_chunks(spark, lines, start)
     return streams.user_recs_view(spark, out)
 
 
@@ -703,11 +851,9 @@ def q_nest_recs(spark, sf):
     "select item_id, cast(row_number() over (partition by item_id order by sim desc, other_id) as int) as rank,"
     " other_id, round(sim, 6) as sim from sim", sim=sql_similarity(fx.TEST_SIM_THRESHOLD)))
 def q_similar_items_nested(spark, sf):
-    """Per item, all neighbours above the threshold as one ordered list."""
-    nested = similarity.item_similarity_lists(fixture_similarity(spark, sf, fx.TEST_SIM_THRESHOLD))
-    return nested.select("item_id", F.posexplode("recs").alias("pos", "rec")).select(
-        "item_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("rec.item_id").alias("other_id"),
-        r6("rec.score").alias("sim"))
+    """Per item, all neighbours above the threshold in order."""
+    ranked = similarity.ranked_neighbours(fixture_similarity(spark, sf, fx.TEST_SIM_THRESHOLD))
+    return ranked.select("item_id", "rank", "other_id", r6("sim").alias("sim"))
 
 
 @register("candidate_adjust_counts", with_ctes(
@@ -726,6 +872,6 @@ def q_candidate_adjust_counts(spark, sf):
     f" and t.minute <= timestamp '{TEST_AS_OF}' - interval 30 minute + interval 2 hour"))
 def q_lagged_features_lookback(spark, sf):
     """Training rows of the look-back ending at the as-of time only."""
-    rows = traffic.lagged_features(fixture_totals(spark, sf), fx.relations(spark), lags=3, bucket=TEST_BUCKET,
+    rows = traffic.lagged_features(stored_totals(spark, sf), fx.relations(spark), lags=3, bucket=TEST_BUCKET,
                                    as_of=TEST_AS_OF, hours=TEST_HOURS)
     return _flat_features(rows)

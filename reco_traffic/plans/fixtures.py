@@ -6,7 +6,7 @@ from the given parquet tables so that every query's work grows with them.
 
 ratings   orders JOIN lineitem  (customer rates part)
 items     part                  (genres = type + name words, '|'-separated)
-tags      returned lineitems    (tag = order priority)
+tags      lineitem              (tag = order priority)
 car events  events              (camera = event_type, speed = value)
 factors   embeddings            (vec_id doubles as item id)
 """
@@ -64,8 +64,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id int, item_id int, tag string, ts bigint)."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag")
-    li = li.where(F.col("l_returnflag") == "R")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("o_custkey").cast("int").alias("user_id"),
         F.col("l_partkey").cast("int").alias("item_id"),
@@ -118,8 +117,7 @@ from part"""
 SQL_TAGS = """
 select cast(o_custkey as int) as user_id, cast(l_partkey as int) as item_id,
        o_orderpriority as tag, cast(epoch(o_orderdate) as bigint) as ts
-from lineitem join orders on l_orderkey = o_orderkey
-where l_returnflag = 'R'"""
+from lineitem join orders on l_orderkey = o_orderkey"""
 
 SQL_CAR_EVENTS = """
 select event_type as camera_id, cast(user_id as varchar) as car_id, ts as event_time,

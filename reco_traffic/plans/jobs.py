@@ -20,8 +20,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import schemas
 from ..operators import als, congestion, similarity, stats, traffic
+from ..session import get_session, scratch_path, shuffle_partitions_for
 from ..sources import readers, writers
+from ..streaming import streams
 
 # The reference's collection names.
 ITEMS_TABLE = "Movie"
@@ -52,6 +55,9 @@ def load_catalog(spark: SparkSession, items_csv: str, ratings_csv: str, tags_csv
     for name, df in [(ITEMS_TABLE, items), (RATINGS_TABLE, ratings), (TAGS_TABLE, tags)]:
         writers.write_table(df, _path(out, name), format, options)
         written[name] = _path(out, name)
+    # the documents come from the stored tables: the text is parsed once
+    items = readers.read_table(spark, _path(out, ITEMS_TABLE), schemas.ITEMS, format, options)
+    tags = readers.read_table(spark, _path(out, TAGS_TABLE), schemas.TAGS, format, options)
     docs = stats.items_with_tags(items, stats.item_tags(tags))
     writers.write_search_docs(docs, _path(out, ITEM_DOCS_INDEX), "item_id", docs_format, docs_options)
     written[ITEM_DOCS_INDEX] = _path(out, ITEM_DOCS_INDEX)
@@ -121,40 +127,69 @@ def replay_camera_events(spark: SparkSession, text_path: str, out: str | None =
 def run_congestion_training(totals: DataFrame, relations: DataFrame, as_of=None, hours: float = 5,
                             bucket: str = "1 minute", targets=None, fraction: float = 0.8, seed: int = 0,
                             parallelism: int = 8) -> DataFrame:
-    """Per target camera: training rows of the look-back, one multinomial
-    classifier, held-out accuracy -> (target_id, n_train, n_test, accuracy)."""
+    """Per target camera: training rows of the look-back (stored once), one
+    multinomial classifier, held-out accuracy -> (target_id, n_train, n_test,
+    accuracy). ``targets`` defaults to those of the configured graph."""
     rows = traffic.lagged_features(totals, relations, 3, bucket, as_of, hours)
-    return congestion.evaluate_per_target(rows, targets, fraction, seed, parallelism=parallelism)
+    path = scratch_path(rows.sparkSession, "training-rows")
+    writers.write_table(rows, path)
+    if targets is None:
+        targets = [r[0] for r in relations.select("target_id").distinct().orderBy("target_id").collect()]  # a parameter table
+    return congestion.evaluate_per_target(rows.sparkSession.read.parquet(path), targets, fraction, seed,
+                                          parallelism=parallelism)
 
 
-def main(argv=None) -> int:
-    """``python -m reco_traffic.plans.jobs <job> ...`` for the batch jobs."""
-    from ..session import get_session
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the inputs, from the file system's own summary."""
+    jvm, total = spark.sparkContext._jvm, 0
+    for p in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(p)
+        total += hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(hpath).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, *paths: str, growth: float = 4.0) -> None:
+    """Shuffle partitions from the size of the inputs, taken to grow by
+    ``growth`` when decoded; never fewer than the session has cores."""
+    n = shuffle_partitions_for(int(growth * input_bytes(spark, *paths)), cores=spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+
 
+def main(argv=None) -> int:
+    """``python -m reco_traffic.plans.jobs <job> ...``."""
     ap = argparse.ArgumentParser(prog="reco_traffic.plans.jobs")
     sub = ap.add_subparsers(dest="job", required=True)
-    p = sub.add_parser("load")
-    p.add_argument("items_csv")
-    p.add_argument("ratings_csv")
-    p.add_argument("tags_csv")
-    p.add_argument("out")
-    p = sub.add_parser("statistics")
-    p.add_argument("tables")
-    p.add_argument("out")
-    p = sub.add_parser("offline")
-    p.add_argument("tables")
-    p.add_argument("out")
-    p = sub.add_parser("tune")
-    p.add_argument("tables")
-    p = sub.add_parser("replay")
-    p.add_argument("text")
-    p.add_argument("out")
+
+    def job(name, *args):
+        p = sub.add_parser(name)
+        for x in args:
+            p.add_argument(x)
+        return p
+
+    job("load", "items_csv", "ratings_csv", "tags_csv", "out")
+    job("statistics", "tables", "out")
+    job("offline", "tables", "out")
+    job("tune", "tables")
+    job("replay", "text", "out")
+    p = job("traffic", "messages", "out", "checkpoint")
+    p.add_argument("--bucket", default="1 minute")
+    q = job("recommend", "messages", "similarity", "history", "out", "checkpoint")
+    for x in (p, q):
+        x.add_argument("--format", default="text")
+        x.add_argument("--option", action="append", default=[], help="name=value of the stream source")
+        x.add_argument("--once", action="store_true", help="drain what is there and stop")
+    p = job("congestion", "totals", "relations", "out")
+    p.add_argument("--as-of", default="now")
+    p.add_argument("--hours", type=float, default=5)
+    p.add_argument("--bucket", default="1 minute")
     a = ap.parse_args(argv)
     owned = SparkSession.getActiveSession() is None
     spark = get_session()
     if a.job == "load":
+        size_shuffles(spark, a.items_csv, a.ratings_csv, a.tags_csv)
         load_catalog(spark, a.items_csv, a.ratings_csv, a.tags_csv, a.out)
     elif a.job in ("statistics", "offline", "tune"):
+        size_shuffles(spark, a.tables)
         ratings = spark.read.parquet(_path(a.tables, RATINGS_TABLE))
         if a.job == "statistics":
             run_statistics(spark.read.parquet(_path(a.tables, ITEMS_TABLE)), ratings, a.out)
@@ -166,6 +201,21 @@ def main(argv=None) -> int:
             best.show()
     elif a.job == "replay":
         replay_camera_events(spark, a.text, a.out)
+    elif a.job in ("traffic", "recommend"):
+        options = dict(x.split("=", 1) for x in a.option)
+        source = readers.read_stream(spark, a.format, options, None if a.format == "kafka" else a.messages)
+        trigger = {"availableNow": True} if a.once else None
+        if a.job == "traffic":
+            query = streams.stream_camera_minutes(source.select("value"), a.out, a.checkpoint, a.bucket,
+                                                  trigger or streams.TRAFFIC_TRIGGER, on_error="drop")
+        else:
+            query = streams.stream_recommend(source, spark.read.parquet(a.similarity), spark.read.parquet(a.history), a.out,
+                                             a.checkpoint, trigger=trigger or streams.RECOMMEND_TRIGGER, on_error="drop")
+        query.awaitTermination()
+    elif a.job == "congestion":
+        totals = streams.minute_totals_view(spark, a.totals)
+        relations = readers.read_table(spark, a.relations, schemas.RELATIONS)
+        writers.write_table(run_congestion_training(totals, relations, a.as_of, a.hours, a.bucket), a.out)
     if owned:
         spark.stop()
     return 0

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,11 +21,13 @@ BASE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
 
+_local_root: str | None = None
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "reco_traffic",
@@ -39,9 +42,11 @@ def get_session(
     roughly 128-256 MB at the target data size; AQE coalesces small ones.
     """
     builder = SparkSession.builder.appName(app_name)
+    conf = dict(BASE_CONF)
     if master:
         builder = builder.master(master)
-    conf = dict(BASE_CONF)
+        if master.startswith("local"):
+            conf["spark.ui.enabled"] = "false"  # a cluster's own setting is left alone
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if driver_memory:
@@ -58,15 +63,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a folder every executor can reach and it is
-    used as given. Only when it is unset (local tests) a fresh temporary
-    folder is made and registered, so lineage cutting and streaming
-    checkpoints still work.
+    used as given; without it, a cluster run is refused, since a machine-local
+    folder would be empty for every other executor. Only with a ``local``
+    master (tests) a fresh temporary folder is made, registered, and removed
+    when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="reco-traffic-ckpt-")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        global _local_root
+        root = _local_root = _local_root or tempfile.mkdtemp(prefix="reco-traffic-ckpt-")
+        atexit.register(shutil.rmtree, root, True)
         try:
             spark.conf.set("spark.checkpoint.dir", root)
         except Exception:  # noqa: BLE001 - a session that refuses it still gets setCheckpointDir below
@@ -76,6 +86,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder made under ``scratch_path`` once nothing reads it."""
+    if not path.startswith(checkpoint_root(spark)):
+        raise ValueError(f"{path} is no scratch folder")
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
@@ -88,7 +106,3 @@ def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 200 * 2**20,
     coalesces the ones that turn out small."""
     by_size = -(-int(shuffle_bytes) // int(target_bytes))
     return max(1, by_size, int(cores or 1))
-
-
-def cpu_count() -> int:
-    return int(os.environ.get("BENCH_CPUS") or os.cpu_count() or 8)

@@ -32,36 +32,61 @@ def keep_rows(df: DataFrame, cond: Column) -> DataFrame:
     return df.select(F.inline(F.when(cond, F.array(row))))
 
 
-def require_columns(df: DataFrame, required: Sequence[str], on_error: str = "fail", what: str = "row") -> DataFrame:
-    """Enforce non-NULL ``required`` columns.
-
-    ``fail`` raises inside the task that meets the first bad row (lazy, no
-    extra pass); ``drop`` filters such rows out (see ``rejected_rows`` for the
-    complement).
+def accept(df: DataFrame, ok: Column, message: Column, columns: Sequence[str], on_error: str) -> DataFrame:
+    """``columns`` of the rows where ``ok`` holds. ``fail`` raises ``message``
+    inside the task that meets the first other row; ``drop`` leaves such rows
+    out (the ``split_*`` and ``*_with_rejects`` functions return them apart).
+
+    The check sits in a generator. A projection would be pruned away when the
+    caller selects other columns or only counts; a generator decides on the
+    number of rows, so it runs whatever is selected.
     """
     _check_on_error(on_error)
+    rows = F.array(F.struct(*[F.col(c) for c in columns]))
+    if on_error == "drop":
+        return df.select(F.inline(F.when(ok, rows)))
+    kind = T.ArrayType(T.StructType([T.StructField(f.name, f.dataType, f.nullable) for f in df.schema if f.name in columns]))
+    order = [f.name for f in kind.elementType.fields]
+    rows = F.array(F.struct(*[F.col(c) for c in order]))
+    return df.select(F.inline(F.when(ok, rows).otherwise(F.raise_error(message).cast(kind)))).select(*columns)
+
+
+def _all_present(required: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for c in required:
+        cond = cond & F.col(c).isNotNull()
+    return cond
+
+
+def require_columns(df: DataFrame, required: Sequence[str], on_error: str = "fail", what: str = "row") -> DataFrame:
+    """Enforce non-NULL ``required`` columns: ``fail`` raises in the task that
+    meets the first bad row, whatever is selected; ``drop`` leaves such rows
+    out (``rejected_rows`` returns them)."""
+    _check_on_error(on_error)
     if not required:
         return df
-    if on_error == "drop":
-        cond = F.lit(True)
-        for c in required:
-            cond = cond & F.col(c).isNotNull()
-        return keep_rows(df, cond)
-    cols = []
-    for name in df.columns:
-        c = F.col(name)
-        if name in required:
-            c = F.when(c.isNull(), F.raise_error(F.lit(f"{what}: required column '{name}' is NULL"))).otherwise(c)
-        cols.append(c.alias(name))
-    return df.select(*cols)
+    names = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
+    return accept(df, _all_present(required), F.concat(F.lit(f"{what}: required column is NULL: "), names), df.columns,
+                  on_error)
 
 
 def rejected_rows(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Rows that ``require_columns(..., on_error="drop")`` removes."""
-    cond = F.lit(False)
-    for c in required:
-        cond = cond | F.col(c).isNull()
-    return df.where(cond)
+    """Rows that ``require_columns(..., on_error="drop")`` leaves out."""
+    return keep_rows(df, ~_all_present(required))
+
+
+CORRUPT = "_corrupt_record"
+
+
+def _csv_lines(spark: SparkSession, path: str, schema: T.StructType, options: dict | None) -> DataFrame:
+    """The declared fields and the raw text of records that don't parse. Every
+    field is read whatever the caller selects: the checks below refer to all."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(full).option("header", True).option("mode", "PERMISSIVE") \
+        .option("columnNameOfCorruptRecord", CORRUPT)
+    for k, v in (options or {}).items():
+        reader = reader.option(k, v)
+    return reader.csv(path)
 
 
 def read_csv_typed(
@@ -74,18 +99,32 @@ def read_csv_typed(
 ) -> DataFrame:
     """Header CSV read positionally into ``schema`` (no inference).
 
-    A field that does not convert fails the read (``fail``, Spark FAILFAST) or
-    drops the row (``drop``, DROPMALFORMED). Spark reads an empty field as NULL
-    even in FAILFAST, so required columns are checked as well (all by default).
+    A record that doesn't convert, or lacks a required field (all by default;
+    an empty field is NULL), fails the read (``fail``) or is left out
+    (``drop``; ``read_csv_with_rejects`` returns it).
     """
-    _check_on_error(on_error)
-    mode = "FAILFAST" if on_error == "fail" else "DROPMALFORMED"
-    reader = spark.read.schema(schema).option("header", True).option("mode", mode)
-    for k, v in (options or {}).items():
-        reader = reader.option(k, v)
-    df = reader.csv(path)
-    req = list(schema.fieldNames()) if required is None else list(required)
-    return require_columns(df, req, on_error, what=f"csv {path}")
+    return read_csv_with_rejects(spark, path, schema, required, options)[0] if on_error == "drop" else _accepted(
+        _csv_lines(spark, path, schema, options), schema, required, on_error, path)
+
+
+def _accepted(df, schema, required, on_error, path):
+    names = schema.fieldNames()
+    ok = F.col(CORRUPT).isNull() & _all_present(names if required is None else required)
+    shown = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*names)))
+    return accept(df, ok, F.concat(F.lit(f"csv {path}: bad record: "), shown), names, on_error)
+
+
+def read_csv_with_rejects(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str] | None = None,
+                          options: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected): rejected has the raw record (``value``) and a
+    ``reason``. Rows and rejected records together are all records."""
+    df = _csv_lines(spark, path, schema, options)
+    names = schema.fieldNames()
+    ok = F.col(CORRUPT).isNull() & _all_present(names if required is None else required)
+    bad = keep_rows(df, ~ok).select(
+        F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*names))).alias("value"),
+        F.when(F.col(CORRUPT).isNotNull(), "does not convert").otherwise("required field is empty").alias("reason"))
+    return accept(df, ok, F.lit(""), names, "drop"), bad
 
 
 def read_items_csv(spark: SparkSession, path: str, **kw) -> DataFrame:
@@ -135,27 +174,35 @@ def _strip_quotes(c: Column) -> Column:
 CAMERA_TEXT_FIELDS = {"camera_id": 0, "car_id": 2, "event_time": 4, "speed": 6, "road_id": 13}
 
 
-def parse_camera_lines(lines: DataFrame, col: str = "value", on_error: str = "drop") -> DataFrame:
+def _camera_parts(lines: DataFrame, col: str) -> tuple[DataFrame, Column]:
+    width = max(CAMERA_TEXT_FIELDS.values()) + 1
+    body = lines.where(~F.coalesce(F.col(col).startswith(";"), F.lit(False))).select(
+        F.split(F.col(col), ",").alias("_p"), F.col(col).alias("_raw"))
+    typed = body.select(*[_strip_quotes(F.get("_p", i)).alias(n) for n, i in CAMERA_TEXT_FIELDS.items()],
+                        (F.coalesce(F.size("_p"), F.lit(0)) >= width).alias("_ok"), "_raw")
+    return typed, F.col("_ok")
+
+
+def parse_camera_lines(lines: DataFrame, col: str = "value", on_error: str = "fail") -> DataFrame:
     """Comma-separated camera lines -> (camera_id, car_id, event_time, speed, road_id) strings.
 
-    Lines starting with ';' are comments. A line with fewer than 14 fields is
-    rejected (``drop``) or fails the task (``fail``). Surrounding single
-    quotes are stripped from every kept field.
+    Lines starting with ';' are comments. A line with fewer than 14 fields
+    fails the task (``fail``) or is left out (``drop``; ``split_camera_lines``
+    returns it). Surrounding single quotes are stripped from every kept field.
     """
-    _check_on_error(on_error)
-    width = max(CAMERA_TEXT_FIELDS.values()) + 1
-    body = lines.where(~F.col(col).startswith(";")).select(F.split(F.col(col), ",").alias("_p"), F.col(col))
-    parts = F.col("_p")
-    if on_error == "fail":
-        parts = F.when(F.size(parts) >= width, parts).otherwise(
-            F.raise_error(F.concat(F.lit("camera line has too few fields: "), F.col(col))).cast("array<string>")
-        )
-    else:
-        body = keep_rows(body, F.size(parts) >= width)
-    return body.select(*[_strip_quotes(F.get(parts, i)).alias(name) for name, i in CAMERA_TEXT_FIELDS.items()])
-
-
-def read_camera_text(spark: SparkSession, path: str, on_error: str = "drop") -> DataFrame:
+    typed, ok = _camera_parts(lines, col)
+    message = F.concat(F.lit("camera line has too few fields: "), F.coalesce("_raw", F.lit("NULL")))
+    return accept(typed, ok, message, list(CAMERA_TEXT_FIELDS), on_error)
+
+
+def split_camera_lines(lines: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(events, rejected): rejected holds the short lines, in column ``col``."""
+    typed, ok = _camera_parts(lines, col)
+    return (accept(typed, ok, F.lit(""), list(CAMERA_TEXT_FIELDS), "drop"),
+            keep_rows(typed, ~ok).select(F.col("_raw").alias(col)))
+
+
+def read_camera_text(spark: SparkSession, path: str, on_error: str = "fail") -> DataFrame:
     """Camera event text file(s) -> string columns of ``parse_camera_lines``."""
     return parse_camera_lines(spark.read.text(path), "value", on_error)
 
@@ -180,7 +227,9 @@ def read_stream(
     if schema is not None:
         reader = reader.schema(schema)
     opts = dict(options or {})
-    if starting and format == "kafka":
+    if starting:
+        if format != "kafka":
+            raise ValueError(f"starting={starting!r} needs format='kafka': a {format} source reads all files")
         opts.setdefault("startingOffsets", starting)
     for k, v in opts.items():
         reader = reader.option(k, v)

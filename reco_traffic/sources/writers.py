@@ -28,13 +28,16 @@ def write_table(
 
 
 def one_row_per_key(df: DataFrame, key: str) -> DataFrame:
-    """Keep one row per key: the greatest row (deterministic). ``max`` of a
-    struct is aggregated map-side first, so a hot key costs one partial row per
-    partition."""
+    """Keep one row per key: the greatest row (deterministic). Keys are counted
+    first, by hash and with partial sums; only rows of keys that occur twice or
+    more are compared (a maximum over structs sorts its input)."""
     others = [c for c in df.columns if c != key]
     if not others:
         return df.select(key).distinct()
-    return df.groupBy(key).agg(F.max(F.struct(*others)).alias("_row")).select(key, "_row.*")
+    n = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = df.join(n, F.col(key).eqNullSafe(F.col("_k"))).drop("_k")
+    again = counted.where("_n > 1").groupBy(key).agg(F.max(F.struct(*others)).alias("_row")).select(key, "_row.*")
+    return counted.where("_n = 1").select(key, *others).unionByName(again)
 
 
 def write_search_docs(

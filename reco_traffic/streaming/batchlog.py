@@ -1,28 +1,42 @@
-"""Keyed batch log: the upsert / replace sink for plain files.
-
-Each micro-batch overwrites its own directory ``<path>/batch_id=N``; a retry
-of batch N rewrites the same directory, so output is idempotent and the
-stream is effectively exactly-once with the checkpoint. The read view keeps,
-per key, the row of the greatest ``batch_id`` (``max_by``, partially
-aggregated before the shuffle). ``compact`` folds old batches into one so the
-view does not read an ever-growing number of directories.
+"""Batch log: the upsert / replace / append sink for plain files.
+
+Each micro-batch overwrites its own directory ``<path>/batch_id=N``; a retry of
+batch N rewrites the same directory, so output is idempotent and the stream is
+effectively exactly-once with the checkpoint.
+
+So that readers need not open every batch ever written, runs of batches are
+folded: ``<path>/_folds/LO-HI`` holds batches LO..HI as one, written once and
+never changed. Nothing is deleted or renamed on the commit path. A fold counts
+only when its ``_SUCCESS`` is there, and a reader takes the widest committed
+folds plus the batches they leave over; so a run that stops at any moment
+leaves the same view. Folds are tiered: every ``every`` batches one of
+``every``, every ``every``^2 batches one of those, and so on; each batch is
+rewritten once per tier. ``vacuum`` removes what wider folds cover, later.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH_COL = "batch_id"
+FOLDS = "_folds"
+#: Batches per fold; tiers hold its powers.
+FOLD_EVERY = 32
 
 
 def batch_dir(path: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}"
 
 
+def fold_dir(path: str, low: int, high: int) -> str:
+    return f"{path.rstrip('/')}/{FOLDS}/{int(low)}-{int(high)}"
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] | None = None) -> None:
     """Overwrite the directory of one batch (idempotent on retry)."""
     w = df.write.mode("overwrite")
@@ -37,38 +51,64 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
+def _committed(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Names of directories with a ``_SUCCESS`` (one glob, no scan)."""
+    fs, _ = _fs(spark, path)
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{pattern}/_SUCCESS"))
+    return [st.getPath().getParent().getName() for st in found or []]
+
+
 def batch_ids(spark: SparkSession, path: str) -> list[int]:
-    """Committed batch ids under ``path`` (a directory listing, not a scan)."""
-    fs, root = _fs(spark, path)
-    if not fs.exists(root):
-        return []
-    out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(BATCH_COL + "="):
-            if fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(int(name.split("=", 1)[1]))
+    """Committed batches that still have a directory of their own."""
+    return sorted(int(n.split("=", 1)[1]) for n in _committed(spark, path, f"{BATCH_COL}=*"))
+
+
+def folds(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """Committed folds (low, high)."""
+    names = _committed(spark, path, f"{FOLDS}/*")
+    return sorted(tuple(map(int, n.split("-"))) for n in names if re.fullmatch(r"\d+-\d+", n))
+
+
+def segments(spark: SparkSession, path: str, before: int | None = None) -> list[tuple[int, str]]:
+    """(newest batch, directory) of what a reader opens: the widest folds, then
+    the batches outside of them; optionally only batches < ``before``."""
+    last = float("inf") if before is None else before - 1
+    taken: list[tuple[int, int]] = []
+    for low, high in sorted(folds(spark, path), key=lambda f: f[0] - f[1]):
+        if high <= last and all(high < a or low > b for a, b in taken):
+            taken.append((low, high))
+    out = [(high, fold_dir(path, low, high)) for low, high in taken]
+    out += [(i, batch_dir(path, i)) for i in batch_ids(spark, path)
+            if i <= last and not any(a <= i <= b for a, b in taken)]
     return sorted(out)
 
 
 def read_log(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
-    """All committed rows (with ``batch_id``), optionally only batches < ``before``.
-
-    The batch filter is on the partition column, so it prunes directories.
-    """
-    ids = batch_ids(spark, path)
-    if before is not None:
-        ids = [i for i in ids if i < before]
+    """All committed rows with ``batch_id`` (of a fold: its newest), optionally
+    only batches < ``before``."""
     full = T.StructType(list(schema.fields) + [T.StructField(BATCH_COL, T.LongType())])
-    if not ids:
+    parts = segments(spark, path, before)
+    if not parts:
         return spark.createDataFrame([], full)
-    return spark.read.option("basePath", path).schema(full).parquet(*[batch_dir(path, i) for i in ids])
+    out = None
+    plain = [p for i, p in parts if f"/{FOLDS}/" not in p]
+    if plain:
+        out = spark.read.option("basePath", path).schema(full).parquet(*plain)
+    for i, p in parts:
+        if f"/{FOLDS}/" in p:  # at most every-1 per tier
+            one = spark.read.schema(schema).parquet(p).withColumn(BATCH_COL, F.lit(i).cast("long")).select(full.names)
+            out = one if out is None else out.unionByName(one)
+    return out
 
 
 def latest_per_key(log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per key, the row of the newest batch (an empty array value survives)."""
-    values = [c for c in log.columns if c not in keys and c != BATCH_COL]
-    return log.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("_v")).select(*keys, "_v.*")
+    """Per key, the row of the newest batch (an empty array value survives).
+
+    The newest batch id is a plain numeric maximum, so it is aggregated by hash
+    before the shuffle; the rows are then joined back by key and batch.
+    """
+    newest = log.groupBy(*keys).agg(F.max(BATCH_COL).alias(BATCH_COL))
+    return log.join(newest, [*keys, BATCH_COL]).drop(BATCH_COL).select([c for c in log.columns if c != BATCH_COL])
 
 
 def read_view(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
@@ -76,50 +116,52 @@ def read_view(spark: SparkSession, path: str, schema: T.StructType, keys: Sequen
     return latest_per_key(read_log(spark, path, schema), keys)
 
 
-def compact(spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] | None,
-            upto: int | None = None, partition_by: Sequence[str] | None = None) -> int | None:
-    """Fold batches <= ``upto`` (default: all committed) into ``batch_id=upto``.
+def keep_latest(keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """A fold for keyed logs: the newest row of each key."""
+    return lambda log: latest_per_key(log, keys)
 
-    With ``keys`` only the newest row per key is kept (a keyed view); without,
-    all rows are kept (an append-only log). The folded data is written to a
-    staging directory first, then the old batch directories are removed and
-    the staging directory renamed; a run interrupted after the removal
-    finishes the rename on the next call, so call ``compact`` before reading
-    the log. Returns the batch id holding the folded data.
-    """
-    fs, root = _fs(spark, path)
-    staging = root.suffix("/_compact_staging")
-    target_name = root.suffix("/_compact_target")
-    jvm = spark.sparkContext._jvm
-    if fs.exists(staging) and fs.exists(target_name):
-        # resume an interrupted compaction
-        tgt = int(spark.read.text(target_name.toString()).first()[0])
-        _finish(spark, fs, root, staging, target_name, tgt)
-    ids = batch_ids(spark, path)
-    if upto is not None:
-        ids = [i for i in ids if i <= upto]
-    if len(ids) <= 1:
-        return ids[-1] if ids else None
-    tgt = ids[-1]
-    log = spark.read.option("basePath", path).schema(
-        T.StructType(list(schema.fields) + [T.StructField(BATCH_COL, T.LongType())])
-    ).parquet(*[batch_dir(path, i) for i in ids])
-    folded = latest_per_key(log, keys) if keys else log.drop(BATCH_COL)
-    w = folded.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(staging.toString())
-    spark.createDataFrame([(str(tgt),)], "v string").write.mode("overwrite").text(target_name.toString())
-    for i in ids:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(batch_dir(path, i)), True)
-    _finish(spark, fs, root, staging, target_name, tgt)
-    return tgt
 
+def keep_all(log: DataFrame) -> DataFrame:
+    """A fold for append-only logs: every row."""
+    return log.drop(BATCH_COL)
 
-def _finish(spark, fs, root, staging, target_name, tgt: int) -> None:
-    jvm = spark.sparkContext._jvm
-    dest = jvm.org.apache.hadoop.fs.Path(batch_dir(root.toString(), tgt))
-    if fs.exists(dest):
-        fs.delete(dest, True)
-    fs.rename(staging, dest)
-    fs.delete(target_name, True)
+
+def fold(spark: SparkSession, path: str, schema: T.StructType, how: Callable[[DataFrame], DataFrame], low: int,
+         high: int, partition_by: Sequence[str] | None = None) -> bool:
+    """Write batches low..high as one immutable fold. A committed fold stays as
+    it is; an unfinished one is written anew. False if there is nothing to do."""
+    if (low, high) in folds(spark, path):
+        return False
+    inside = [i for i, _ in segments(spark, path, high + 1) if low <= i <= high]
+    if not inside:
+        return False
+    log = read_log(spark, path, schema, high + 1).where(F.col(BATCH_COL) >= low)
+    w = how(log).write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(fold_dir(path, low, high))
+    return True
+
+
+def fold_tiers(spark: SparkSession, path: str, schema: T.StructType, how: Callable[[DataFrame], DataFrame],
+               batch_id: int, every: int = FOLD_EVERY, partition_by: Sequence[str] | None = None) -> None:
+    """The folds due before batch ``batch_id``: those of the last every,
+    every^2, ... batches if ``batch_id`` is a multiple."""
+    size = every
+    while every > 1 and batch_id > 0 and batch_id % size == 0:
+        fold(spark, path, schema, how, batch_id - size, batch_id - 1, partition_by)
+        size *= every
+
+
+def vacuum(spark: SparkSession, path: str, before: int | None = None) -> int:
+    """Remove batches and folds that a wider committed fold covers, up to batch
+    ``before`` (exclusive). Run it apart from the stream and only for batches
+    that no reader can still have listed. Returns the directories removed."""
+    last = float("inf") if before is None else before - 1
+    wide = folds(spark, path)
+    gone = [batch_dir(path, i) for i in batch_ids(spark, path) if any(a <= i <= b <= last for a, b in wide)]
+    gone += [fold_dir(path, *f) for f in wide if any(a <= f[0] and f[1] <= b <= last and (a, b) != f for a, b in wide)]
+    fs, _ = _fs(spark, path)
+    for p in gone:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p), True)
+    return len(gone)
