@@ -11,8 +11,8 @@ product with the piece ("dot"); a new bin opens if none is feasible.
 Pieces of one length are alike in every dimension, so the greedy rule is run
 over the histogram of lengths: bins in one state and pieces of one length move
 as counts. The histogram has at most ``capacity`` rows whatever the corpus is,
-and is the only thing the driver sees. Its result, runs "pieces a..b of length
-L go to sequences from s at offset o", is joined to the pieces, which are
+and is the only thing the driver sees. Its result, runs "pieces a..b of length L
+go, p to each, to sequences from s at offset o", is joined to the pieces, which are
 numbered within (length, hash bucket), so a very common length is spread over
 ``buckets`` tasks. The packing equals the sequential greedy one over the whole
 corpus.
@@ -102,8 +102,14 @@ def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer: st
 
 def pack_lengths(counts: dict[int, int], capacity: int = 2048, max_docs: int | None = None, max_cost: int | None = None, weights=(1.0, 0.05, 0.05), rule: str = "norm"):
     """Vector best fit over a histogram of lengths. Returns runs (length,
-    first, count, sequence, offset): pieces first.. of that length go, one
-    each, to sequences sequence.. at that offset."""
+    first, count, sequence, offset, per): pieces first.. of that length go,
+    ``per`` to a sequence, one after the other from that offset on, to
+    sequences sequence..
+
+    By the norm rule a bin that was best stays best for the next piece of the
+    same length, until it has no room; by the dot rule it falls behind the
+    others of its state. So equal pieces are placed together either way.
+    """
     max_docs = max_docs or capacity
     max_cost = max_cost or capacity * capacity
     if counts and (min(counts) < 1 or max(counts) > capacity or max(counts) ** 2 > max_cost):
@@ -123,14 +129,21 @@ def pack_lengths(counts: dict[int, int], capacity: int = 2048, max_docs: int | N
                 rest = room[live] - need
                 score = (rest * rest * w).sum(1) if rule == "norm" else -(room[live] * need * w).sum(1)
                 g = int(live[np.argmin(score)])
-                n = min(left, int(many[g]))
-                at, state = int(first[g]), room[g] - need
-                many[g] -= n
-                first[g] += n
+                bins_there, at, before = int(many[g]), int(first[g]), room[g].copy()
             else:
-                n, at, state = left, bins, full - need
-                bins += n
-            runs.append((length, done, n, at, int(capacity - state[0] - length)))
+                g, bins_there, at, before = -1, left, bins, full
+            per = int((before // need).min()) if rule == "norm" else 1
+            used = min(bins_there, -(-left // per))
+            if used * per > left:  # the last bin isn't filled: by itself
+                used, per = (used - 1, per) if used > 1 else (1, left)
+            n = used * per
+            if g >= 0:
+                many[g] -= used
+                first[g] += used
+            else:
+                bins += used
+            state = before - per * need
+            runs.append((length, done, n, at, int(capacity - before[0]), per))
             left, done = left - n, done + n
             if state[0] >= 1 and state[1] >= 1:
                 if groups == len(many):
@@ -139,7 +152,7 @@ def pack_lengths(counts: dict[int, int], capacity: int = 2048, max_docs: int | N
                     room[:k], first[:k], many[:k], many[k:], groups = room[keep], first[keep], many[keep], 0, k
                     if 2 * k > len(many):
                         room, many, first = (np.concatenate([x, np.zeros_like(x)]) for x in (room, many, first))
-                room[groups], many[groups], first[groups] = state, n, at
+                room[groups], many[groups], first[groups] = state, used, at
                 groups += 1
     return runs
 
@@ -169,10 +182,10 @@ def pack(parts: DataFrame, capacity: int = 2048, buckets: int = 64, **options) -
             seq, off = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
             for x in np.unique(length):
                 rows = np.flatnonzero(length == x)
-                begin, _, at, offset = plan.value[int(x)]
+                begin, _, at, offset, per = plan.value[int(x)]
                 run = np.searchsorted(begin, rank[rows], "right") - 1
-                seq[rows] = at[run] + rank[rows] - begin[run]
-                off[rows] = offset[run]
+                seq[rows] = at[run] + (rank[rows] - begin[run]) // per[run]
+                off[rows] = offset[run] + (rank[rows] - begin[run]) % per[run] * x
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(seq), pa.array(off)], names=[*names, "sequence_id", "offset"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema.fields)
