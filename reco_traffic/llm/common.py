@@ -136,6 +136,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forest(u: np.ndarray, w: np.ndarray):
+    """The edges as stars: (smallest of its component, other) for every node."""
+    nodes, at = np.unique(np.concatenate([u, w]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    low = np.arange(len(nodes))
+    while True:
+        before = low.copy()
+        m = np.minimum(low[a], low[b])
+        np.minimum.at(low, a, m)
+        np.minimum.at(low, b, m)
+        low = low[low]
+        if (low == before).all():
+            break
+    other = np.flatnonzero(low != np.arange(len(nodes)))
+    return nodes[low[other]], nodes[other]
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): the smallest node reachable, for every node of an edge.
     Alternating star contractions; each round joins and aggregates with partial

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ann_block import rows, safe_cosine, unit, usable
-from .common import components, written
+from .common import components, forest, written
 
 THRESHOLD = 0.95
 WIDTH = 8
@@ -150,23 +150,6 @@ def links(vectors: DataFrame, width: int, threshold: float = THRESHOLD, block: i
     return left.groupBy(*keys).cogroup(right.groupBy(*(f"{k}_" for k in keys))).applyInArrow(run, "node long, links long, to long")
 
 
-def forest(u: np.ndarray, w: np.ndarray):
-    """The edges as stars: (smallest of its component, other) for every node."""
-    nodes, at = np.unique(np.concatenate([u, w]), return_inverse=True)
-    a, b = at[: len(u)], at[len(u) :]
-    low = np.arange(len(nodes))
-    while True:
-        before = low.copy()
-        m = np.minimum(low[a], low[b])
-        np.minimum.at(low, a, m)
-        np.minimum.at(low, b, m)
-        low = low[low]
-        if (low == before).all():
-            break
-    other = np.flatnonzero(low != np.arange(len(nodes)))
-    return nodes[low[other]], nodes[other]
-
-
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row per vec_id."""
     ids = vectors.select(F.col("vec_id").cast("long").alias("vec_id")).distinct()

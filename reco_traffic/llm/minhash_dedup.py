@@ -12,10 +12,11 @@ the time at which all registers are surely filled are never made.
 Bands of the signature find candidates; the overlap of the whole multisets
 decides (similarity 0.8 or more). Documents with the same words in the same
 order are collapsed first and come back as members. In a bucket no pairs are
-listed: round by round its documents are held against one pivot, and those that
-join the pivot's class leave the bucket's open work; after ``rounds`` rounds all
-pairs that are still open, i.e. in different classes and not yet compared, are
-compared. So no candidate link between classes is lost.
+listed: first its documents are held against its smallest one. Where a bucket
+still has several classes, the documents outside the smallest class are held
+against all of the bucket, inside tasks that return only edges connecting what
+the links connect; a crowded bucket is split into tiles of ``crowd`` documents.
+So no candidate link between classes is lost.
 
 Documents without words have no copies. A row with a null doc_id takes no part:
 it is a class of its own, class_id null. Rows that repeat a doc_id are one
@@ -30,10 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, chunks, components, i64, mix, prefix_hash, range_hash, split_words, text_buffers, word_hashes, written
+from .common import U, chunks, components, forest, i64, mix, prefix_hash, range_hash, split_words, text_buffers, word_hashes, written
 
 SHINGLE = 5
 BANDS, ROWS = 25, 5
+CROWD = 1024
 _STEP = U(0x9E3779B97F4A7C15)
 _PLACE = mix(np.arange(11, 11 + SHINGLE, dtype=U)) | U(1)
 
@@ -124,28 +126,100 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
     return docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null").mapInArrow(run, "doc_id long, e1 long, e2 long, bands array<long>")
 
 
+def item_sets(docs: DataFrame) -> DataFrame:
+    """(node, items): the multiset of shingles as sorted 64-bit values, one per
+    shingle and occurrence, of docs (node, text)."""
+
+    def run(batches):
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                text, h, occ, _ = bags(*shingles(*text_buffers(part.column(1)))[:2])
+                items = mix(h + mix(occ.astype(U) + U(5)))
+                order = np.lexsort((items, text))
+                cut = np.searchsorted(text, np.arange(part.num_rows + 1))
+                items = items[order]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([items[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["node", "items"])
+
+    return docs.select("node", "text").mapInArrow(run, "node long, items binary")
+
+
 def similar(pairs: DataFrame, threshold: float) -> DataFrame:
-    """Of (a, b, text_a, text_b), the (a, b) whose multisets overlap enough."""
+    """Of (a, b, items_a, items_b), the (a, b) whose multisets overlap enough."""
 
     def run(batches):
         for batch in batches:
-            for half in chunks(batch, "text_a", 1 << 20):
-                for part in chunks(half, "text_b", 1 << 20):
-                    n = part.num_rows
-                    sizes, sets = [], []
-                    for c in (2, 3):
-                        t, h, occ, _ = bags(*shingles(*text_buffers(part.column(c)))[:2])
-                        sizes.append(np.bincount(t, minlength=n))
-                        sets.append((t, mix(h + mix(occ.astype(U) + U(5)) + mix(t.astype(U) + U(1 << 40)))))
-                    common = np.bincount(sets[0][0][np.isin(sets[0][1], sets[1][1])], minlength=n)
-                    union = sizes[0] + sizes[1] - common
-                    good = pa.array(np.flatnonzero((union > 0) & (common >= threshold * union - 1e-9)))
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(good), part.column(1).take(good)], names=["a", "b"])
-
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
-
-
-def classes(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS, rounds: int = 3) -> DataFrame:
+            keep = []
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), U) for c in (2, 3))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if enough(common, len(x), len(y), threshold):
+                    keep.append(i)
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
+
+    return pairs.select("a", "b", "items_a", "items_b").mapInArrow(run, "a long, b long")
+
+
+def enough(common, size_a, size_b, threshold: float):
+    union = size_a + size_b - common
+    return (union > 0) & (common >= threshold * union - 1e-9)
+
+
+def overlaps(left: list, right: list, width: int = 4096) -> np.ndarray:
+    """How many items each of left shares with each of right: products of 0/1
+    matrices over the items that both sides hold, ``width`` items at a time."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    both = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+
+    def cells(sets):
+        items = np.concatenate(sets)
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.searchsorted(both, items)
+        hit = at < len(both)
+        hit[hit] = both[at[hit]] == items[hit]
+        order = np.argsort(at[hit], kind="stable")
+        return row[hit][order], at[hit][order]
+
+    (ra, ca), (rb, cb) = cells(left), cells(right)
+    for lo in range(0, len(both), width):
+        a, b = np.zeros((len(left), width), np.float32), np.zeros((len(right), width), np.float32)
+        for m, rows, cols in ((a, ra, ca), (b, rb, cb)):
+            part = slice(*np.searchsorted(cols, [lo, lo + width]))
+            m[rows[part], cols[part] - lo] = 1
+        out += a @ b.T
+    return out
+
+
+def open_links(open_: DataFrame, sets: DataFrame, threshold: float, crowd: int) -> DataFrame:
+    """(a, b): edges that connect what the links between different classes in
+    one bucket connect. ``open_`` is (key, node, root, low): documents of
+    buckets with several classes; low is the bucket's smallest class. Those of
+    other classes are held against all, tile by tile."""
+    out = F.col("root") != F.col("low")
+    size = open_.groupBy("key").agg(F.count("*").alias("n"), F.count(F.when(out, 1)).alias("m"))
+    parts = size.select("key", F.ceil(F.col("m") / crowd).cast("int").alias("p"), F.ceil(F.col("n") / crowd).cast("int").alias("q"))
+    o = open_.join(parts, "key")
+    spot = lambda parts, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
+    left = o.where(out).select("key", "node", "root", spot("p", 1).alias("i"), every("q").alias("j")).join(sets, "node")
+    right = o.select("key", "node", "root", spot("q", 2).alias("j"), every("p").alias("i")).join(sets, "node")
+    right = right.toDF(*(f"{c}_" for c in right.columns))
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        if not len(a) or not len(b):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        side = lambda t, x: (t.column(f"node{x}").to_numpy(), t.column(f"root{x}").to_numpy(), [np.frombuffer(s.as_buffer(), U) for s in t.column(f"items{x}")])
+        (na, roots_a, sa), (nb, roots_b, sb) = side(a, ""), side(b, "_")
+        la, lb = np.array([len(x) for x in sa], float), np.array([len(x) for x in sb], float)
+        good = enough(overlaps(sa, sb), la[:, None], lb[None, :], threshold) & (roots_a[:, None] != roots_b[None, :])
+        i, j = np.nonzero(good)
+        u, w = forest(na[i], nb[j])
+        return pa.table({"a": pa.array(u, pa.int64()), "b": pa.array(w, pa.int64())})
+
+    return left.groupBy("key", "i", "j").cogroup(right.groupBy("key_", "i_", "j_")).applyInArrow(run, "a long, b long")
+
+
+def classes(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS, crowd: int = CROWD) -> DataFrame:
     """(doc_id, class_id): class_id is the smallest doc_id of the class; every
     document with an id is listed once."""
     sig = written(signatures(docs, bands, rows), "signatures")
@@ -154,32 +228,19 @@ def classes(docs: DataFrame, threshold: float = 0.8, bands: int = BANDS, rows: i
     reps = sig.join(exact.select("e1", "e2", F.col("rep").alias("doc_id")), ["e1", "e2", "doc_id"], "left_semi").select(F.col("doc_id").alias("node"), F.explode("bands").alias("key")).distinct()
     shared = reps.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1")
     bucket = written(reps.join(shared.select("key", "pivot"), "key"), "buckets")
-    texts = written(docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(bucket.select("node").distinct(), "node", "left_semi"), "texts")
-
-    def compare(pairs: DataFrame) -> DataFrame:
-        p = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        return written(similar(p, threshold).distinct(), "links")
-
-    pairs = written(bucket.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
-    seen, links = pairs, compare(pairs)
-    for turn in range(1, rounds + 1):
-        root = components(links)
-        at = bucket.select("key", "node").join(root, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        split = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n"), F.min(F.xxhash64("node", F.lit(turn))).alias("first")).where("lo < hi and n > 2")
-        at = written(at.join(split.select("key", "first"), "key"), "open")
-        if turn < rounds:
-            pivot = at.where(F.xxhash64("node", F.lit(turn)) == F.col("first")).select("key", F.col("node").alias("p"), F.col("root").alias("p_root"))
-            pairs = at.join(pivot, "key").where("root <> p_root").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
-        else:
-            other = at.select("key", F.col("node").alias("p"), F.col("root").alias("p_root"))
-            pairs = at.join(other, "key").where("node < p and root <> p_root").select(F.col("node").alias("a"), F.col("p").alias("b"))
-        pairs = written(pairs.distinct().join(seen, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if turn < rounds:
-                continue
-            break
-        seen, links = seen.unionByName(pairs), links.unionByName(compare(pairs))
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(bucket.select("node").distinct(), "node", "left_semi")
+    sets = written(item_sets(texts), "sets")
+
+    pairs = bucket.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a").join(sets.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b")
+    links = written(similar(pairs, threshold).distinct(), "links")
     root = written(components(links), "roots")
+    at = bucket.select("key", "node").join(root, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    split = at.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low < high and n > 2")
+    rest = written(at.join(split.select("key", "low"), "key"), "open")
+    more = written(open_links(rest, sets, threshold, crowd).distinct(), "links")
+    if not more.isEmpty():
+        root = written(components(links.unionByName(more)), "roots")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     known = member.join(root.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("class_id"))
     alone = root.join(member.select(F.col("doc_id").alias("node")), "node", "left_anti").select(F.col("node").alias("doc_id"), F.col("root").alias("class_id"))
