@@ -50,7 +50,7 @@ def block_slices(width: int, block: int):
 
 
 def probes(vectors: DataFrame, width: int, threshold: float, block: int, axes: int, cell: float) -> DataFrame:
-    """(node, n, v, block, c0, c1, home): each vector in the cells it touches
+    """(node, n, v, block, cell, home): each vector in the cells it touches
     in every block."""
     turn, cuts = rotation(width), block_slices(width, block)
     budget = 2 - 2 * threshold
@@ -75,13 +75,14 @@ def probes(vectors: DataFrame, width: int, threshold: float, block: int, axes: i
                         step = np.arange(len(rep)) - np.repeat(np.cumsum(n) - n, n)
                         at_row, at_cell = at_row[rep], np.column_stack([at_cell[rep], lo[at_row[rep], k] + step])
                     picks.append(at_row)
-                    full = np.zeros((len(at_row), 2), np.int64)
+                    full = np.zeros((len(at_row), axes), np.int64)  # the last block may be narrower
                     full[:, : at_cell.shape[1]] = at_cell
-                    out.append(np.column_stack([np.full(len(at_row), b), full, (at_cell == own[at_row]).all(axis=1)]))
+                    out.append(np.column_stack([np.full(len(at_row), b), (at_cell == own[at_row]).all(axis=1), full]))
                 pick, more = pa.array(np.concatenate(picks)), np.concatenate(out)
-                yield pa.RecordBatch.from_arrays([part.column(c).take(pick) for c in ("node", "n", "v")] + [pa.array(more[:, 0].astype(np.int32)), pa.array(more[:, 1]), pa.array(more[:, 2]), pa.array(more[:, 3] > 0)], names=["node", "n", "v", "block", "c0", "c1", "home"])
+                cells = pa.ListArray.from_arrays(pa.array(np.arange(len(more) + 1, dtype=np.int32) * axes), pa.array(more[:, 2:].reshape(-1)))
+                yield pa.RecordBatch.from_arrays([part.column(c).take(pick) for c in ("node", "n", "v")] + [pa.array(more[:, 0].astype(np.int32)), cells, pa.array(more[:, 1] > 0)], names=["node", "n", "v", "block", "cell", "home"])
 
-    return vectors.select("node", "n", "v").mapInArrow(run, "node long, n long, v array<float>, block int, c0 long, c1 long, home boolean".replace("float", kind))
+    return vectors.select("node", "n", "v").mapInArrow(run, "node long, n long, v array<float>, block int, cell array<long>, home boolean".replace("float", kind))
 
 
 def linked(own: tuple, other: tuple, b: int, turn: np.ndarray, cuts, threshold: float):
@@ -107,7 +108,7 @@ def links(vectors: DataFrame, width: int, threshold: float = THRESHOLD, block: i
     linked vector, and edges that connect what the links connect. Vectors hold
     node, n and v, different from each other."""
     p = written(probes(vectors, width, threshold, block, axes, cell), "probes")
-    key = ["block", "c0", "c1"]
+    key = ["block", "cell"]
     split = p.groupBy(*key).agg(F.count("*").alias("rows"), F.count(F.when(F.col("home"), 1)).alias("homes")).where("homes > 0")
     split = split.select(*key, F.ceil(F.col("homes") / crowd).cast("int").alias("a"), F.ceil(F.col("rows") / crowd).cast("int").alias("b"))
     p = p.join(split, key)
