@@ -76,3 +76,51 @@ def test_cli_replay(spark, sf_small):
     out = scratch_path(spark, "cli-json")
     assert jobs.main(["replay", text, out]) == 0
     assert spark.read.text(out).count() == fx.car_events(spark, sf_small).count()
+
+
+def test_cli_streams_and_training(spark, sf_small):
+    """The three streaming and training jobs by their command lines."""
+    from reco_traffic.streaming import streams
+
+    msgs, out, ckpt = (scratch_path(spark, x) for x in ("cli-msgs", "cli-totals", "cli-ckpt"))
+    ev = fx.car_events(spark, sf_small).withColumn("speed", F.floor("speed").cast("int"))
+    writers.write_event_json(ev, msgs, columns=["camera_id", "car_id", "event_time", "speed", "road_id"])
+    assert jobs.main(["traffic", msgs, out, ckpt, "--bucket", "1 hour", "--once"]) == 0
+    view = streams.minute_totals_view(spark, out)
+    assert view.agg(F.sum("car_count")).first()[0] == ev.count()
+
+    graph, acc = scratch_path(spark, "cli-graph"), scratch_path(spark, "cli-accuracy")
+    writers.write_table(fx.relations(spark), graph)
+    assert jobs.main(["congestion", out, graph, acc, "--as-of", "2024-01-20 12:30:00", "--hours", "240", "--bucket", "1 hour"]) == 0
+    assert spark.read.parquet(acc).columns == ["target_id", "n_train", "n_test", "accuracy"]
+
+    lines, sim, hist, recs, ckpt2 = (scratch_path(spark, x) for x in ("cli-lines", "cli-sim", "cli-hist", "cli-recs", "cli-ckpt2"))
+    spark.createDataFrame([("1|10|4.0|5",), ("bad",)], "value string").write.text(lines)
+    writers.write_table(spark.createDataFrame([(10, 11, 0.9), (11, 10, 0.9)], "item_id int, other_id int, sim double"), sim)
+    writers.write_table(spark.createDataFrame([(2, 11, 5.0, 1)], fx_ratings_schema()), hist)
+    assert jobs.main(["recommend", lines, sim, hist, recs, ckpt2, "--once"]) == 0
+    assert [r["user_id"] for r in streams.user_recs_view(spark, recs).collect()] == [1]
+    assert [r["value"] for r in streams.rejected_view(spark, recs).collect()] == ["bad"]
+
+
+def fx_ratings_schema():
+    from reco_traffic import schemas
+
+    return schemas.RATINGS
+
+
+def test_scratch_is_refused_off_local(monkeypatch, spark):
+    """Without spark.checkpoint.dir only a local master gets a folder."""
+    import types
+
+    import pytest
+
+    from reco_traffic import session
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    context = types.SimpleNamespace(master="yarn", getConf=lambda: Conf(), getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(types.SimpleNamespace(conf=Conf(), sparkContext=context))

@@ -75,6 +75,46 @@ def test_grid_and_best(ratings):
     assert best["rmse"] == min(r["rmse"] for r in g if r["rmse"] is not None)
 
 
+def test_one_pass_scoring_equals_the_fitted_models(spark, tmp_path):
+    """Predictions by the model table equal model.transform of each target's
+    own fit; the number of scoring plans does not follow the targets."""
+    import random
+
+    from pyspark.ml.functions import array_to_vector
+
+    rng = random.Random(1)
+    data = [(t, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), float(min(10, max(0, int(x * k)))), [x, y])
+            for k, t in enumerate("ab", 2) for i in range(120) for x, y in [(rng.random() * 4, rng.random())]]
+    rows = spark.createDataFrame(data, "target_id string, minute timestamp_ntz, label double, f array<double>")
+    rows.select("target_id", "minute", "label", array_to_vector("f").alias("features")).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    models = congestion.fit_per_target(rows, ["a", "b", "none"], max_iter=30)
+    got = {(r["target_id"], r["minute"]): r["prediction"] for r in congestion.predict_per_target(models, rows).collect()}
+    assert len(got) == 240
+    train, _ = als.split_train_test(rows, 0.8, 0, congestion.SPLIT_KEY)
+    for t in "ab":
+        m = congestion.fit_congestion_classifier(train.where(F.col("target_id") == t), max_iter=30, partitions=1)
+        for r in congestion.predict_congestion(m, rows.where(F.col("target_id") == t)).collect():
+            assert got[(t, r["minute"])] == r["prediction"]
+    res = {r["target_id"]: r for r in congestion.evaluate_per_target(rows, ["a", "b"], max_iter=30).collect()}
+    assert {t: res[t]["n_train"] + res[t]["n_test"] for t in "ab"} == {"a": 120, "b": 120}
+
+
+def test_recommendations_equal_brute_force(ratings, model):
+    import numpy as np
+
+    users = {r[0]: np.array(r[1]) for r in als.user_factors(model).collect()}
+    items = als.item_factors(model).collect()
+    ids, m = np.array([r[0] for r in items]), np.array([r[1] for r in items])
+    got = {}
+    for r in als.recommend_for_users(model, k=5).collect():
+        got.setdefault(r["user_id"], []).append((r["rank"], r["item_id"], r["score"]))
+    for u, v in users.items():
+        scores = m @ v
+        best = np.sort(scores[scores > 0])[::-1][:5]
+        assert np.allclose([s for _, _, s in sorted(got.get(u, []))], best, atol=1e-4)
+
+
 def test_classifier_keeps_eleven_classes(spark):
     from pyspark.ml.functions import array_to_vector
 
@@ -89,19 +129,75 @@ def test_classifier_keeps_eleven_classes(spark):
 
 # ---------------------------------------------------------------- batch log
 
-def test_batch_log_idempotent_and_compact(spark):
+def _recs(*xs):
+    return [{"item_id": i, "score": float(i)} for i in xs]
+
+
+def test_batch_log_idempotent(spark):
     path = scratch_path(spark, "log-test")
     s = streams.RECS_LOG_SCHEMA
-    recs = lambda *xs: [{"item_id": i, "score": float(i)} for i in xs]
-    batchlog.write_batch(spark.createDataFrame([(1, recs(5, 6)), (2, recs(7))], s), path, 0)
+    batchlog.write_batch(spark.createDataFrame([(1, _recs(5, 6)), (2, _recs(7))], s), path, 0)
     batchlog.write_batch(spark.createDataFrame([(1, [])], s), path, 1)
     batchlog.write_batch(spark.createDataFrame([(1, [])], s), path, 1)  # retry of batch 1
     view = {r["user_id"]: r["recs"] for r in batchlog.read_view(spark, path, s, ["user_id"]).collect()}
     assert view[1] == [] and [x["item_id"] for x in view[2]] == [7]
-    assert batchlog.compact(spark, path, s, ["user_id"]) == 1
-    assert batchlog.batch_ids(spark, path) == [1]
-    view2 = {r["user_id"]: r["recs"] for r in batchlog.read_view(spark, path, s, ["user_id"]).collect()}
-    assert view2 == view
+
+
+LOG = "user_id int, n long"
+
+
+def _log(spark, batches=9):
+    from pyspark.sql.types import StructType
+
+    path, schema = scratch_path(spark, "log"), StructType.fromDDL(LOG)
+    for i in range(batches):
+        batchlog.write_batch(spark.createDataFrame([(i % 3, i), (7, i)], schema), path, i)
+    return path, schema
+
+
+@pytest.mark.parametrize("keyed", [True, False])
+def test_folds_leave_the_view_as_it_is_wherever_they_stop(spark, keyed):
+    """A fold is stopped after each of its steps: before it is written, with
+    files but no commit, committed, and after each removal of the vacuum."""
+    path, schema = _log(spark)
+    how = batchlog.keep_latest(["user_id"]) if keyed else batchlog.keep_all
+
+    def view():
+        log = batchlog.read_log(spark, path, schema)
+        out = batchlog.latest_per_key(log, ["user_id"]) if keyed else log.drop(batchlog.BATCH_COL)
+        return sorted(tuple(r) for r in out.collect())
+
+    fs, _ = batchlog._fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    before = view()
+    assert len(before) == (4 if keyed else 18)
+    # written, not committed
+    how(batchlog.read_log(spark, path, schema, 3)).write.parquet(batchlog.fold_dir(path, 0, 2))
+    fs.delete(jvm.org.apache.hadoop.fs.Path(batchlog.fold_dir(path, 0, 2) + "/_SUCCESS"), False)
+    assert batchlog.folds(spark, path) == [] and view() == before
+    # the next run writes it anew and commits
+    for n in range(1, 9):
+        batchlog.fold_tiers(spark, path, schema, how, n, 3)
+        batchlog.fold_tiers(spark, path, schema, how, n, 3)  # a retry of the batch
+        assert view() == before
+    batchlog.fold_tiers(spark, path, schema, how, 9, 3)
+    assert batchlog.folds(spark, path) == [(0, 2), (0, 8), (3, 5), (6, 8)] and view() == before
+    assert [p for p in batchlog.segments(spark, path)] == [(8, batchlog.fold_dir(path, 0, 8))]
+    # removal of covered batches, stopped after each
+    for i in range(9):
+        assert view() == before
+        fs.delete(jvm.org.apache.hadoop.fs.Path(batchlog.batch_dir(path, i)), True)
+    assert batchlog.vacuum(spark, path) == 3 and view() == before
+    assert batchlog.folds(spark, path) == [(0, 8)]
+    batchlog.write_batch(spark.createDataFrame([(7, 99)], schema), path, 9)
+    assert (7, 99) in view()
+
+
+def test_reading_before_a_batch_ignores_folds_beyond_it(spark):
+    path, schema = _log(spark, 6)
+    batchlog.fold(spark, path, schema, batchlog.keep_all, 0, 5)
+    assert batchlog.read_log(spark, path, schema, 3).count() == 6
+    assert batchlog.read_log(spark, path, schema, 6).count() == 12
 
 
 # ---------------------------------------------------------------- streams
@@ -135,39 +231,45 @@ def test_stream_recommend_replaces_and_restarts(spark):
     assert batchlog.batch_ids(spark, f"{out}/recs") == [0, 1]
 
 
-def test_stream_recommend_compacts_logs(spark):
+def test_stream_recommend_folds_logs_and_keeps_rejects(spark):
     sim = spark.createDataFrame([(10, 11, 0.9), (11, 10, 0.9)], "item_id int, other_id int, sim double")
     out, ckpt = scratch_path(spark, "recs"), scratch_path(spark, "ckpt")
 
     def start(src):
         return streams.stream_recommend(spark.readStream.text(src), sim, None, out, ckpt, min_sim=0.5,
-                                        trigger={"availableNow": True}, compact_every=2)
+                                        trigger={"availableNow": True}, compact_every=2, on_error="drop")
 
-    # user 2 rated 10 in batch 0; in batch 2 (after compaction of 0..1) 11 must
+    # user 2 rated 10 in batch 0; in batch 2 (after folding 0..1) 11 must
     # still count as rated and 10 as a recent
-    _run_chunks(spark, [["2|10|4.0|1"], ["3|11|5.0|2"], ["2|11|2.0|3"]], start)
-    assert batchlog.batch_ids(spark, f"{out}/ratings") == [1, 2]
+    _run_chunks(spark, [["2|10|4.0|1", "broken"], ["3|11|5.0|2"], ["2|11|2.0|3", "2|x|1|1"]], start)
+    assert batchlog.folds(spark, f"{out}/ratings") == [(0, 1)]
     view = {r["user_id"]: r["recs"] for r in streams.user_recs_view(spark, out).collect()}
     assert view[2] == [] and [x["item_id"] for x in view[3]] == [10]
+    assert sorted((r["batch_id"], r["value"]) for r in streams.rejected_view(spark, out).collect()) == [(0, "broken"), (2, "2|x|1|1")]
+
 
+def test_stream_camera_minutes_equals_batch_with_late_events(spark):
+    import random
 
-def test_stream_camera_minutes_equals_batch(spark):
-    from reco_traffic.operators import parse, traffic
+    from reco_traffic.operators import traffic
 
     base = dt.datetime(2024, 1, 1, 0, 0, 0)
-    evs = [(f"c{i % 2}", base + dt.timedelta(seconds=20 * i), 10 + i) for i in range(30)]
+    evs = [(f"c{i % 2}", base + dt.timedelta(seconds=1700 * i), 10 + i) for i in range(60)]  # 28 hours
+    random.Random(2).shuffle(evs)
     lines = [f'{{"camera_id":"{c}","event_time":"{t}","speed":"{s}"}}' for c, t, s in evs]
     out, ckpt = scratch_path(spark, "tot"), scratch_path(spark, "tot-ckpt")
 
     def start(src):
-        e = parse.parse_car_event(spark.readStream.text(src))
-        return streams.stream_camera_minutes(e, out, ckpt, watermark="5 minutes", trigger={"availableNow": True})
+        return streams.stream_camera_minutes(spark.readStream.text(src), out, ckpt, trigger={"availableNow": True},
+                                             compact_every=2, on_error="drop")
 
-    _run_chunks(spark, [lines[:10], lines[10:20], lines[20:]], start)
+    _run_chunks(spark, [lines[:20] + ['{"camera_id":"c1","speed":"4"}'], lines[20:40], ["junk"], lines[40:]], start)
     got = sorted(tuple(r) for r in streams.minute_totals_view(spark, out).collect())
     df = spark.createDataFrame(evs, "camera_id string, event_time timestamp_ntz, speed int")
     want = sorted(tuple(r) for r in traffic.camera_minute_totals(df).collect())
     assert got == want
+    assert sorted(r["value"] for r in streams.rejected_view(spark, out).collect()) == ["junk", '{"camera_id":"c1","speed":"4"}']
+    assert batchlog.folds(spark, out) == [(0, 1)]
 
 
 def test_stream_recommend_with_bucketed_history(spark):
@@ -196,28 +298,6 @@ def test_stream_recommend_with_bucketed_history(spark):
     assert [u for u, _ in views[0]] == [1, 2, 3]
 
 
-def test_compact_resumes_after_interruption(spark):
-    """A fold stopped after the old batches were removed (staging written,
-    target recorded) is finished by the next call before anything else."""
-    path = scratch_path(spark, "log-resume")
-    s = streams.RECS_LOG_SCHEMA
-    batchlog.write_batch(spark.createDataFrame([(1, [{"item_id": 5, "score": 5.0}])], s), path, 0)
-    batchlog.write_batch(spark.createDataFrame([(2, [])], s), path, 1)
-    # simulate the crash: staging holds the folded view, old dirs are gone
-    folded = batchlog.read_view(spark, path, s, ["user_id"])
-    folded.write.parquet(f"{path}/_compact_staging")
-    spark.createDataFrame([("1",)], "v string").write.text(f"{path}/_compact_target")
-    fs, _ = batchlog._fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    for i in (0, 1):
-        fs.delete(jvm.org.apache.hadoop.fs.Path(batchlog.batch_dir(path, i)), True)
-    assert batchlog.batch_ids(spark, path) == []
-    batchlog.compact(spark, path, s, ["user_id"])
-    assert batchlog.batch_ids(spark, path) == [1]
-    view = sorted((r["user_id"], len(r["recs"])) for r in batchlog.read_view(spark, path, s, ["user_id"]).collect())
-    assert view == [(1, 1), (2, 0)]
-
-
 def test_stream_camera_minutes_arrival_time(spark):
     """Keyed by processing time, every event of one micro-batch lands in the
     bucket of that batch."""
@@ -241,15 +321,16 @@ def test_stream_camera_events_json(spark):
     from reco_traffic.operators import parse
 
     good = ",".join(["c1", "x", "car", "x", "2014-08-20 13:00:00", "x", "40"] + ["x"] * 6 + ["r9"])
-    out, ckpt = scratch_path(spark, "json-out"), scratch_path(spark, "json-ckpt")
+    out, ckpt, rejected = (scratch_path(spark, x) for x in ("json-out", "json-ckpt", "json-rejected"))
 
     def start(src):
-        return streams.stream_camera_events_json(spark.readStream.text(src), ckpt, out,
-                                                 trigger={"availableNow": True})
+        return streams.stream_camera_events_json(spark.readStream.text(src), ckpt, out, trigger={"availableNow": True},
+                                                 on_error="drop", rejected=rejected)
 
     _run_chunks(spark, [[";comment", good, "short,line"], [good]], start)
-    back = parse.parse_car_event(spark.read.text(out)).collect()
+    back = parse.parse_car_event(spark.read.text(f"{out}/*")).collect()
     assert len(back) == 2 and all(r["speed"] == 40 and r["camera_id"] == "c1" for r in back)
+    assert [r["value"] for r in batchlog.read_log(spark, rejected, spark.read.text(f"{out}/*").select("value").schema).collect()] == ["short,line"]
 
 
 def test_minute_totals_range_read_prunes_days(spark):
@@ -259,10 +340,7 @@ def test_minute_totals_range_read_prunes_days(spark):
     out, ckpt = scratch_path(spark, "tot-days"), scratch_path(spark, "tot-days-ckpt")
 
     def start(src):
-        from reco_traffic.operators import parse
-
-        e = parse.parse_car_event(spark.readStream.text(src))
-        return streams.stream_camera_minutes(e, out, ckpt, bucket="30 minutes", trigger={"availableNow": True})
+        return streams.stream_camera_minutes(spark.readStream.text(src), out, ckpt, bucket="30 minutes", trigger={"availableNow": True})
 
     _run_chunks(spark, [lines], start)
     assert streams.minute_totals_view(spark, out).count() == 8

@@ -131,6 +131,46 @@ def test_recent_ratings_k_and_as_of(spark):
     assert scoring.recent_ratings(hist, 20).count() == 20
 
 
+def test_recent_ratings_three_ways(spark):
+    """Broadcast events, salted history and a plain computation agree, also
+    when later ratings exist; the limit runs below the history's shuffle."""
+    import random
+
+    rng = random.Random(1)
+    data = [(rng.choice([1, 1, 1, 2, 3]), rng.randrange(50), float(rng.randrange(5)), rng.randrange(40)) for _ in range(400)]
+    hist = spark.createDataFrame(data, schemas.RATINGS)
+    ev = spark.createDataFrame([(1, 0, 1.0, 20), (2, 0, 1.0, 39)], schemas.RATINGS)
+    want = []
+    for u, t in ((1, 20), (2, 39)):
+        own = sorted((r for r in data if r[0] == u and r[3] <= t), key=lambda r: (-r[3], r[1], -r[2]))
+        want += own[:7]
+    small = scoring.recent_ratings(hist, 7, ev)
+    split = scoring.recent_ratings(hist, 7, ev, broadcast_events=1, salts=4)
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    assert key(small) == key(split) == sorted(want)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = scoring.recent_ratings(hist, 7, ev)._jdf.queryExecution().executedPlan().toString().split("\n")
+        limits = [i for i, x in enumerate(plan) if "WindowGroupLimit" in x]
+        exchange = [i for i, x in enumerate(plan) if "Exchange hashpartitioning" in x]
+        assert len(exchange) == 1 and limits[0] < exchange[0] < limits[-1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_evidence_joins_candidates_to_recents_first(spark):
+    """The similarity table is joined on both items, never on the candidate's
+    alone."""
+    cand = spark.createDataFrame([(1, 10)], "user_id int, item_id int")
+    rec = spark.createDataFrame([(1, 11, 4.0, 1)], schemas.RATINGS)
+    sim = spark.createDataFrame([(10, 11, 0.9)], SIM)
+    out = scoring.candidate_evidence(cand, rec, sim)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.split("\n") if "Join Inner" in x]
+    assert len(joins) == 2 and sum("item_id" in j and "_r" in j for j in joins) == 1 and sum("user_id" in j for j in joins) == 1
+    assert out.count() == 1
+
+
 def test_latest_event_per_user(spark):
     ev = spark.createDataFrame([(1, 10, 4.0, 5), (1, 11, 2.0, 7), (1, 9, 2.0, 7), (2, 3, 1.0, 1)], schemas.RATINGS)
     assert rows(scoring.latest_event_per_user(ev), "user_id", "item_id") == [(1, 9), (2, 3)]
@@ -153,32 +193,78 @@ def test_parse_rating_message(spark):
 
 
 def test_parse_car_event_speeds(spark):
-    msgs = ['{"camera_id":"c","speed":"33"}', '{"camera_id":"c","speed":33}', '{"camera_id":"c","speed":"x"}',
-            '{"camera_id":"c"}']
+    t = '"event_time":"2024-01-01 00:00:00"'
+    msgs = [f'{{"camera_id":"c",{t},"speed":"33"}}', f'{{"camera_id":"c",{t},"speed":33}}',
+            f'{{"camera_id":"c",{t},"speed":"x"}}', f'{{"camera_id":"c",{t}}}', '{"camera_id":"c","speed":"1"}']
     df = spark.createDataFrame([(m,) for m in msgs], "value string")
-    assert [r["speed"] for r in parse.parse_car_event(df).collect()] == [33, 33]
+    # a missing speed counts as 0; a speed or time that doesn't parse is rejected
+    assert [r["speed"] for r in parse.parse_car_event(df, on_error="drop").collect()] == [33, 33, 0]
+    assert [r["speed"] for r in parse.parse_car_event(df, on_error="drop", need_time=False).collect()] == [33, 33, 0, 1]
+    with pytest.raises(Exception):
+        parse.parse_car_event(df).collect()
+    good, bad = parse.split_car_events(df)
+    assert good.count() == 3 and sorted(r[0] for r in bad.collect()) == sorted([msgs[2], msgs[4]])
 
 
 def test_camera_text_lines(spark):
-    from reco_traffic.sources.readers import parse_camera_lines
+    from reco_traffic.sources.readers import parse_camera_lines, split_camera_lines
 
     good = ",".join(["'c1'", "x", "car", "x", "2014-08-20 13:00:00", "x", "'40'"] + ["x"] * 6 + ["r9"])
     short = ",".join(["c2"] + ["x"] * 12)
-    df = spark.createDataFrame([(";comment",), (good,), (short,)], "value string")
-    out = parse_camera_lines(df).collect()
+    df = spark.createDataFrame([(";comment",), (good,), (short,), (None,)], "value string")
+    out = parse_camera_lines(df, on_error="drop").collect()
     assert [tuple(r) for r in out] == [("c1", "car", "2014-08-20 13:00:00", "40", "r9")]
+    accepted, rejected = split_camera_lines(df)
+    assert accepted.count() == 1 and {r[0] for r in rejected.collect()} == {short, None}
     with pytest.raises(Exception):
-        parse_camera_lines(df, on_error="fail").collect()
+        parse_camera_lines(df).collect()
+
+
+def _bad_inputs(spark, folder):
+    from reco_traffic.sources import readers
+
+    files = {"items": "item_id,title,genres\n1,a,b\n2,,c\n", "ratings": "u,i,r,t\n1,2,3.5,100\n1,3,bad,101\n",
+             "tags": "u,i,tag,t\n1,2,x,100\n5,6,y\n"}
+    out = {}
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text)
+        out[name] = getattr(readers, f"read_{name}_csv")(spark, str(folder / f"{name}.csv"))
+    msgs = spark.createDataFrame([("1|2|4.5|100",), ("1|2|x|100",)], "value string")
+    out["rating messages"] = parse.parse_rating_message(msgs)
+    out["camera text"] = readers.parse_camera_lines(spark.createDataFrame([("a,b",)], "value string"))
+    events = spark.createDataFrame([('{"camera_id":"c","speed":"x"}',)], "value string")
+    out["car events"] = parse.parse_car_event(events)
+    return out
+
+
+@pytest.mark.parametrize("name, column", [("items", "item_id"), ("ratings", "user_id"), ("tags", "user_id"),
+                                          ("rating messages", "item_id"), ("camera text", "car_id"),
+                                          ("car events", "road_id")])
+def test_fail_fails_whatever_is_selected(spark, tmp_path, name, column):
+    df = _bad_inputs(spark, tmp_path)[name]
+    with pytest.raises(Exception):
+        df.select(column).collect()
+    with pytest.raises(Exception):
+        df.count()
 
 
-def test_csv_required_columns(spark, tmp_path):
-    from reco_traffic.sources.readers import read_ratings_csv
+def test_csv_rejects(spark, tmp_path):
+    from reco_traffic.sources.readers import read_csv_with_rejects, read_ratings_csv
 
     p = tmp_path / "r.csv"
-    p.write_text("userId,movieId,rating,timestamp\n1,2,3.5,100\n1,,4.0,101\n")
+    p.write_text("userId,movieId,rating,timestamp\n1,2,3.5,100\n1,,4.0,101\n3,4,bad,5\n7,8\n")
     assert read_ratings_csv(spark, str(p), on_error="drop").count() == 1
-    with pytest.raises(Exception):
-        read_ratings_csv(spark, str(p)).collect()
+    good, bad = read_csv_with_rejects(spark, str(p), schemas.RATINGS)
+    assert good.count() == 1
+    assert sorted((r["value"], r["reason"]) for r in bad.collect()) == [
+        ("1,,4.0,101", "required field is empty"), ("3,4,bad,5", "does not convert"), ("7,8", "does not convert")]
+
+
+def test_starting_needs_a_topic(spark):
+    from reco_traffic.sources.readers import read_stream
+
+    with pytest.raises(ValueError):
+        read_stream(spark, "text", path="/tmp", starting="latest")
 
 
 # ---------------------------------------------------------------- traffic
@@ -241,10 +327,21 @@ def test_rejected_outputs(spark):
     good, bad = parse.split_rating_messages(df)
     assert rows(good) == [(1, 2, 4.5, 100)]
     assert rows(bad) == [("1|2|4.5",), ("x|2|4.5|100",)]
-    ev = spark.createDataFrame([('{"camera_id":"c","speed":"33"}',), ('{"camera_id":"c","speed":"x"}',)], "value string")
-    g2, b2 = parse.split_car_events(ev)
-    assert [r["speed"] for r in g2.collect()] == [33]
-    assert rows(b2) == [('{"camera_id":"c","speed":"x"}',)]
+
+
+def test_traffic_reads_prune_days_on_every_scan(spark, tmp_path):
+    tot = _totals(spark, [(c, f"2024-01-{d:02d} {h:02d}:00:00", 10 * d + h, 1) for c in "ab" for d in range(1, 9) for h in range(24)])
+    tot.selectExpr("*", "to_date(minute) as day").write.partitionBy("day").parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    rel = spark.createDataFrame([("a", "a", 0), ("a", "b", 1)], schemas.RELATIONS)
+    feats = lambda t: traffic.lagged_features(t, rel, bucket="1 hour", as_of="2024-01-05 01:30:00", hours=6, as_vector=False)
+    for df, scans in ((feats(stored), 2), (traffic.latest_minutes(stored, ["a"], "2024-01-02 00:00:00", "2024-01-03 00:00:00"), 1),
+                      (traffic.lookback_window(stored, "2024-01-05 01:30:00", 6, "1 hour"), 1)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        found = [x.split("]")[0] for x in plan.split("PartitionFilters: ")[1:]]
+        assert len(found) == scans and all("day" in x for x in found), plan
+    key = lambda df: sorted((r["target_id"], r["minute"], r["label"], tuple(r["features"])) for r in df.collect())
+    assert key(feats(stored)) == key(feats(tot)) and len(key(feats(tot))) == 6
 
 
 def test_lookback_now(spark):
