@@ -17,4 +17,9 @@ QUERIES = {
     "op10_run_length_dedup": run_length_dedup.query,
 }
 
-ORACLES = {"op8_source_mix": source_mix.ORACLE}
+ORACLES = {
+    "op5_warc_bundles": warc_bundles.ORACLE,
+    "op6_embedding_dedup": embedding_dedup.ORACLE,
+    "op7_minhash_dedup": minhash_dedup.ORACLE,
+    "op8_source_mix": source_mix.ORACLE,
+}

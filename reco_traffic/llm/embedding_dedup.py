@@ -173,3 +173,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, **options)
 
 def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLE = f"""
+with recursive v as (select vec_id, embedding::double[] as e from embeddings where embedding is not null),
+u as (select * from v where len([x for x in e if x is null or not isfinite(x)]) = 0 and len([x for x in e if x <> 0]) > 0),
+l as (select a.vec_id as a, b.vec_id as b from u a join u b on a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= {THRESHOLD}),
+r as (select vec_id as a, vec_id as b from embeddings union select r.a, l.b from r join l on l.a = r.b),
+c as (select a as vec_id, min(b) as component_id from r group by a),
+n as (select a as vec_id, count(distinct b) as n from l group by a)
+select c.vec_id, coalesce(n.n, 0)::bigint as n_links, component_id, c.vec_id = component_id as kept from c left join n using (vec_id)
+"""

@@ -261,3 +261,17 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return classes(docs).withColumn("kept", F.expr("doc_id = class_id"))
+
+
+#: All pairs that share a shingle, by exact overlap.
+ORACLE = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+s as (select doc_id, unnest([array_to_string(w[i + 1:i + 5], ' ') for i in range(greatest(len(w) - 4, 1))]) as s from w where len(w) > 0),
+c as (select doc_id, s, count(*) as n from s group by all),
+t as (select doc_id, sum(n) as n from c group by doc_id),
+o as (select a.doc_id as a, b.doc_id as b, sum(least(a.n, b.n)) as n from c a join c b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+l as (select a, b from o join t x on x.doc_id = a join t y on y.doc_id = b where o.n >= 0.8 * (x.n + y.n - o.n) - 1e-9),
+r as (select doc_id as a, doc_id as b from documents union select r.a, l.b from r join l on l.a = r.b)
+select a as doc_id, min(b) as class_id, a = min(b) as kept from r group by a
+"""

@@ -228,3 +228,16 @@ def fetch(bundles: DataFrame, record_ids: DataFrame) -> DataFrame:
 
 def query(spark, sf_dir: str) -> DataFrame:
     return read_records(write_bundles(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
+ORACLE = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, html, octet_length(encode(html))::bigint as payload_bytes, sha1(html) as hex,
+        array_to_string([lpad(bin(('0x' || h)::int), 4, '0') for h in string_split(sha1(html), '')], '') as bits from p),
+f as (select html, min(page_id) as first from d group by html)
+select page_id, payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ('0b' || substr(bits, i * 5 + 1, 5))::int, 1) for i in range(32)], '') as payload_digest,
+  case when page_id > first then 'revisit' else 'response' end as record_type,
+  case when page_id > first then first end as refers_to
+from d join f using (html)
+"""
