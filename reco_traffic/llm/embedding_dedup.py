@@ -37,7 +37,7 @@ THRESHOLD = 0.95
 WIDTH = 8
 AXES = 2
 CELL = 3.0  # cell edge in block radii
-CROWD = 8192
+CROWD = 32768
 CHUNK = 1024
 
 
@@ -92,8 +92,12 @@ def linked(own: tuple, other: tuple, b: int, turn: np.ndarray, cuts, threshold:
     (node, v, x), (node2, v2, x2) = own, other
     share = lambda c: budget * (c.stop - c.start) / width + 1e-9
     y, y2 = x[:, cuts[b]], x2[:, cuts[b]]
-    near = (y * y).sum(1)[:, None] + (y2 * y2).sum(1)[None, :] - 2 * (y @ y2.T)
-    i, j = np.nonzero((near <= share(cuts[b]) + 1e-7) & (node[:, None] < node2[None, :]))
+    # squared block distances as one product, in single precision with room for its error
+    a = np.column_stack([y, (y * y).sum(1), np.ones(len(y))]).astype(np.float32)
+    c = np.column_stack([-2 * y2, np.ones(len(y2)), (y2 * y2).sum(1)]).astype(np.float32)
+    i, j = np.divmod(np.flatnonzero(a @ c.T <= np.float32(share(cuts[b]) + 1e-5)), len(y2))
+    first = node[i] < node2[j]
+    i, j = i[first], j[first]
     good = safe_cosine(v[i], v2[j]) >= threshold
     i, j = i[good], j[good]
     for c in cuts[:b]:
