@@ -3,11 +3,13 @@
 A text is cut into sentences: a line end always ends one; ``.``, ``!`` or ``?``
 before white space ends one of at least ``MIN_SENTENCE`` words; a sentence over
 ``MAX_SENTENCE`` words counts as several of that many words. A sentence is
-compared by its lower-cased words. Every run of ``span`` consecutive sentences
-with at least ``min_words`` words is hashed. Hashes are joined over the whole
-corpus; the first place of a span, by (doc_id, position), stays, and sentences
-covered by any non-first span are removed, also within one document. A passage
-of over 50 words has at least four sentences here, so a span lies inside it.
+compared by its lower-cased words. From every sentence on, and back from every
+sentence, the shortest run of at least ``span`` sentences and ``min_words`` words
+is hashed. Hashes are joined over the whole corpus; the first place of a span, by
+(doc_id, position), stays, and sentences covered by any non-first span are
+removed, also within one document. A passage of over 50 words holds the spans
+from its first and back from its last sentence, so it is caught whole; a line
+that many documents share, but of fewer words, stays.
 
 Spans are counted with partial sums and travel as (hash, document, position),
 so a passage that a third of all documents share sends one row per document.
@@ -23,10 +25,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import IS_WORD, U, chunks, i64, keyed, prefix_hash, range_hash, split_words, text_buffers, word_hashes, written
 
-SPAN, MIN_WORDS = 3, 10
+SPAN, MIN_WORDS = 3, 30
 MIN_SENTENCE, MAX_SENTENCE = 4, 16
 _END = np.zeros(256, bool)
 _END[[46, 33, 63]] = True
@@ -78,8 +81,23 @@ def sentences(raw: np.ndarray, off: np.ndarray):
     return text[begin], begin, end, low, ws, we
 
 
+def runs(text: np.ndarray, begin: np.ndarray, end: np.ndarray, span: int, min_words: int):
+    """(first, last) sentence of every span, each once."""
+    n = np.arange(len(text))
+    last = np.maximum(np.searchsorted(end, begin + min_words), n + span - 1)
+    on = last < len(text)
+    ahead = n[on], last[on]
+    first = np.minimum(np.searchsorted(begin, end - min_words, "right") - 1, n - span + 1)
+    back = first[first >= 0], n[first >= 0]
+    a, b = (np.concatenate(x) for x in zip(ahead, back))
+    same = text[a] == text[b]
+    pair = np.unique(a[same] * (len(text) + 1) + b[same])
+    return pair // (len(text) + 1), pair % (len(text) + 1)
+
+
 def spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, _h, at, hash): every span of docs (doc_id, _h, text)."""
+    """(doc_id, _h, at, n, hash): every span of docs (doc_id, _h, text): its
+    first sentence and how many."""
 
     def run(batches):
         for batch in batches:
@@ -89,73 +107,82 @@ def spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> Data
                 if len(text) < span:
                     continue
                 words = prefix_hash(word_hashes(low, ws, we))
-                a = np.arange(len(text) - span + 1)
-                b = a + span - 1
-                ok = (text[a] == text[b]) & (end[b] - begin[a] >= min_words)
-                a, b = a[ok], b[ok]
+                a, b = runs(text, begin, end, span, min_words)
                 at = a - np.searchsorted(text, text[a])
                 rows = pa.array(text[a])
-                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array(at.astype(np.int32)), i64(range_hash(words, begin[a], end[b]))], names=["doc_id", "_h", "at", "hash"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array(at.astype(np.int32)), pa.array((b - a + 1).astype(np.int32)), i64(range_hash(words, begin[a], end[b]))], names=["doc_id", "_h", "at", "n", "hash"])
 
-    return docs.select(F.col("doc_id").cast("long"), "_h", "text").mapInArrow(run, "doc_id long, _h long, at int, hash long")
+    return docs.select(F.col("doc_id").cast("long"), "_h", "text").mapInArrow(run, "doc_id long, _h long, at int, n int, hash long")
 
 
 def repeated(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, _h, at): the non-first places of every repeated span."""
+    """(doc_id, _h, at, n): the non-first places of every repeated span."""
     found = written(spans(keyed(docs, "text"), span, min_words).distinct(), "spans")
     twice = found.groupBy("hash").count().where("count > 1").select("hash")
     again = written(found.join(twice, "hash"), "again")
-    first = again.groupBy("hash").agg(F.min(F.struct("doc_id", "_h", "at")).alias("first"))
-    return again.join(first, "hash").where(~F.struct("doc_id", "_h", "at").eqNullSafe(F.col("first"))).select("doc_id", "_h", "at").distinct()
+    # written, so that a passage with very many places can be split over tasks in the join
+    first = written(again.groupBy("hash").agg(F.min(F.struct("doc_id", "_h", "at")).alias("first")), "first")
+    return again.join(first, "hash").where(~F.struct("doc_id", "_h", "at").eqNullSafe(F.col("first"))).select("doc_id", "_h", "at", "n").distinct()
 
 
-def remove(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """Rows of docs with repeated sentences taken out of text and n_chars, if
-    there, set anew where text changed."""
-    gone = repeated(docs, span, min_words).groupBy("doc_id", "_h").agg(F.collect_set("at").alias("_at"))  # of one document
+def cut(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
+    """Rows of docs with ``_text``, what stays, and ``_runs``, the byte ranges
+    [start, end) removed: null where nothing is."""
+    gone = repeated(docs, span, min_words).groupBy("doc_id", "_h").agg(F.collect_set(F.struct("at", "n")).alias("_at"))  # of one document
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("_h").alias("_key"), "_at")
     h = F.xxhash64("doc_id", "text")
     d = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (h == gone["_key"]), "left")
-
-    names = docs.columns
+    names, schema = docs.columns, docs.schema
+    ranges = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
         for batch in batches:
             for part in chunks(batch, "text"):
-                k = part.schema.get_field_index("text")
-                cut = part.column(part.schema.get_field_index("_at"))
-                texts = part.column(k).to_pylist()
-                for i in np.flatnonzero(~np.asarray(cut.is_null())):
-                    texts[i] = without(texts[i], cut[int(i)].as_py(), span)
-                cols = [pa.array(texts, part.column(k).type) if c == "text" else part.column(j) for j, c in enumerate(part.schema.names) if c != "_at"]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+                texts, at = part.column(part.schema.get_field_index("text")), part.column(part.schema.get_field_index("_at"))
+                out = [without(t.as_py(), [(x["at"], x["n"]) for x in a.as_py()]) for t, a in zip(texts, at)]
+                cols = [part.column(part.schema.get_field_index(c)) for c in names]
+                yield pa.RecordBatch.from_arrays([*cols, pa.array([x for x, _ in out], pa.string()), pa.array([r for _, r in out], ranges)], names=[*names, "_text", "_runs"])
 
     # untouched rows need no Python
-    changed = d.where("_at is not null").select(*[docs[c] for c in docs.columns], "_at").mapInArrow(run, docs.schema)
+    own = [docs[c] for c in names]
+    kind = "array<struct<start: long, end: long>>"
+    full = T.StructType([*schema.fields, T.StructField("_text", T.StringType()), T.StructField("_runs", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
+    changed = d.where("_at is not null").select(*own, "_at").mapInArrow(run, full)
+    return d.where("_at is null").select(*own, F.col("text").alias("_text"), F.lit(None).cast(kind).alias("_runs")).unionByName(changed)
+
+
+def remove(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
+    """Rows of docs with repeated sentences taken out of text; n_chars, if
+    there, is set anew where text changed."""
+    new = {"text": F.col("_text").cast(docs.schema["text"].dataType)}
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return d.where("_at is null").select(*[docs[c] for c in docs.columns]).unionByName(changed)
+        new["n_chars"] = F.when(F.col("_runs").isNull(), F.col("n_chars")).otherwise(F.length("_text")).cast(docs.schema["n_chars"].dataType)
+    return cut(docs, span, min_words).select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
-def without(text: str, at, span: int = SPAN) -> str:
-    """The text without the sentences of the spans that begin at ``at``. A
-    sentence reaches to the first word of the next one; leading white space or
-    marks of the text belong to its first sentence."""
+def without(text: str, spans):
+    """The text without the sentences of the spans (first, number), and the
+    byte ranges removed. A sentence reaches to the first word of the next
+    one; what stands before the first word belongs to the first sentence."""
     raw = np.frombuffer(text.encode(), np.uint8)
     _, begin, end, _, ws, _ = sentences(raw, np.array([0, len(raw)]))
     gone = np.zeros(len(begin) + 1, np.int64)
-    at = np.array(sorted(at))
+    at, n = np.array(sorted(spans)).T
     np.add.at(gone, at, 1)
-    np.add.at(gone, np.minimum(at + span, len(begin)), -1)
+    np.add.at(gone, at + n, -1)
     gone = np.cumsum(gone)[:-1] > 0
     edges = np.append(ws[begin], len(raw))
     edges[0] = 0
     keep = np.repeat(~gone, np.diff(edges))
-    return raw[keep].tobytes().decode()
+    turn = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
+    removed = [{"start": int(edges[a]), "end": int(edges[b])} for a, b in zip(np.flatnonzero(turn == 1), np.flatnonzero(turn == -1))]
+    return raw[keep].tobytes().decode(), removed
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """The places removed and what stays: one row per document."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "n_chars")
-    left = remove(docs)
-    return left.select("doc_id", F.col("n_chars").alias("n_chars_kept"), F.sha2(F.encode(F.coalesce("text", F.lit("")), "utf-8"), 256).alias("kept_sha256"))
+    """One row per document: what stays of it and how much went."""
+    out = cut(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    size = lambda c: F.octet_length(F.coalesce(F.col(c), F.lit(""))).cast("long")
+    spans = F.when(F.col("_runs").isNull(), F.lit(0)).otherwise(F.size("_runs")).cast("long")
+    return out.select("doc_id", size("text").alias("n_bytes"), (size("text") - size("_text")).alias("n_removed"), spans.alias("n_spans"),
+                      F.sha2(F.encode(F.coalesce("_text", F.lit("")), "utf-8"), 256).alias("kept_sha256"), F.col("_text").alias("text"))

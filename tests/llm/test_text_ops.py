@@ -322,13 +322,17 @@ def test_spans_equal_brute_force(spark):
     docs = spark.createDataFrame([(i, t, 7) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
     first, gone = {}, collections.defaultdict(set)
     pieces = [cut(t) for t in texts]
+    places = []
     for i, p in enumerate(pieces):
-        for k in range(len(p) - S.SPAN + 1):
-            run = tuple(w for s in p[k : k + S.SPAN] for w in s)
-            if len(run) >= S.MIN_WORDS:
-                if run in first and first[run] != (i, k):
-                    gone[i] |= set(range(k, k + S.SPAN))
-                first.setdefault(run, (i, k))
+        long = lambda a, b: b - a >= S.SPAN and sum(map(len, p[a:b])) >= S.MIN_WORDS  # noqa: E731, B023
+        pairs = {min(((a, b) for b in range(a + 1, len(p) + 1) if long(a, b)), default=None) for a in range(len(p))}
+        pairs |= {max(((a, b) for a in range(b) if long(a, b)), default=None) for b in range(1, len(p) + 1)}
+        places += [(i, *x) for x in pairs - {None}]
+    for i, a, b in sorted(places):
+        run = tuple(w for s in pieces[i][a:b] for w in s)
+        if run in first and first[run] != (i, a):
+            gone[i] |= set(range(a, b))
+        first.setdefault(run, (i, a))
     got = {r["doc_id"]: r for r in S.remove(docs).collect()}
     for i, t in enumerate(texts):
         want = [w for k, s in enumerate(pieces[i]) if k not in gone[i] for w in s]
