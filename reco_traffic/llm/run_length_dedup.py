@@ -107,30 +107,41 @@ def contexts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
 
 
 def suffix_order(code: np.ndarray, end: np.ndarray, group: np.ndarray, reach: int):
-    """Suffixes of each group's contexts in order, by prefix doubling. code:
-    1 to 256; end: where each position's context ends; equal suffixes stand in
-    the order of their contexts."""
+    """Suffixes of each group's contexts in order, by prefix doubling: a rank
+    is the place of the first suffix that is equal so far; each round sorts
+    only those that share theirs. code: 1 to 256; end: where each position's
+    context ends; equal suffixes stand in the order of their contexts."""
     n = len(code)
     at = np.arange(n)
-    key = group.astype(U)
-    _, rank = np.unique(key, return_inverse=True)
-    wide = np.zeros(n, U)
-    for j in range(7):
-        inside = at + j < end
-        wide = (wide << U(9)) | np.where(inside, code[np.minimum(at + j, n - 1)], 0).astype(U)
-    order = np.lexsort((wide, rank))
+    size = 5  # characters of 9 bits, below 18 bits for the group
+    if len(group) and group.max() >= 1 << 18:
+        raise ValueError("too many groups in a block")
+    wide = group.astype(np.int64)
+    for j in range(size):
+        wide <<= 9
+        wide[: n - j] += np.where(at[: n - j] + j < end[: n - j], code[j:], 0)
+    order = np.argsort(wide)
     new = np.ones(n, bool)
-    new[1:] = (wide[order][1:] != wide[order][:-1]) | (rank[order][1:] != rank[order][:-1])
+    new[1:] = wide[order[1:]] != wide[order[:-1]]
     rank = np.empty(n, np.int64)
-    rank[order] = np.cumsum(new)
-    size = 7
-    while size < reach and not new.all():
-        follow = np.where(at + size < end, rank[np.minimum(at + size, n - 1)], 0)
-        pair = rank * (n + 1) + follow
-        order = np.argsort(pair, kind="stable")
-        sorted_pair = pair[order]
-        new[1:] = sorted_pair[1:] != sorted_pair[:-1]
-        rank[order] = np.cumsum(new)
+    rank[order] = np.maximum.accumulate(np.where(new, at, 0))
+    alone = np.append(new[1:], True) & new
+    tied = order[~alone]
+    while size < reach and len(tied):
+        follow = np.where(tied + size < end[tied], rank[np.minimum(tied + size, n - 1)] + 1, 0)
+        pair = rank[tied] * (n + 1) + follow
+        by = np.argsort(pair)
+        tied, pair = tied[by], pair[by]
+        here = np.arange(len(tied))
+        block = rank[tied]
+        head = np.ones(len(tied), bool)
+        head[1:] = block[1:] != block[:-1]
+        place = block + here - np.maximum.accumulate(np.where(head, here, 0))
+        first = np.ones(len(tied), bool)
+        first[1:] = pair[1:] != pair[:-1]
+        rank[tied] = np.maximum.accumulate(np.where(first, place, 0))
+        alone = np.append(first[1:], True) & first
+        tied = tied[~alone]
         size *= 2
     return np.argsort(rank, kind="stable")
 
