@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from reco_traffic.session import scratch_path
 
 U = np.uint64
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _bytes = np.arange(256)
 _upper = (_bytes >= 65) & (_bytes <= 90)
@@ -52,7 +52,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and its inverse mod 2**64, for i up to n."""
-    return _powers(1 << max(22, int(n + 1).bit_length()))
+    return _powers(1 << max(21, int(n + 1).bit_length()))
 
 
 def prefix_hash(codes: np.ndarray) -> np.ndarray:
