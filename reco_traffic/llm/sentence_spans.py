@@ -118,9 +118,9 @@ def spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> Data
 def repeated(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, _h, at, n): the non-first places of every repeated span."""
     found = written(spans(keyed(docs, "text"), span, min_words).distinct(), "spans")
-    twice = found.groupBy("hash").count().where("count > 1").select("hash")
+    # both written, so that Spark can split a span with very many places over tasks in the joins
+    twice = written(found.groupBy("hash").count().where("count > 1").select("hash"), "twice")
     again = written(found.join(twice, "hash"), "again")
-    # written, so that a passage with very many places can be split over tasks in the join
     first = written(again.groupBy("hash").agg(F.min(F.struct("doc_id", "_h", "at")).alias("first")), "first")
     return again.join(first, "hash").where(~F.struct("doc_id", "_h", "at").eqNullSafe(F.col("first"))).select("doc_id", "_h", "at", "n").distinct()
 
