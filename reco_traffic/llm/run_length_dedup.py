@@ -42,7 +42,7 @@ from .common import BYTE_CODE, CHUNK_BYTES, U, chunks, i64, keyed, mix, prefix_h
 LENGTH = 400
 GRAM = 128
 CROWD = 4000
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _POSITION = U((1 << 24) - 1)
 
 
