@@ -1,18 +1,31 @@
-"""Substring dedup by sliding sentence spans.
+"""Substring dedup by sentence spans and by word windows.
 
 A text is cut into sentences: a line end always ends one; ``.``, ``!`` or ``?``
 before white space ends one of at least ``MIN_SENTENCE`` words; a sentence over
-``MAX_SENTENCE`` words counts as several of that many words. A sentence is
-compared by its lower-cased words. From every sentence on, and back from every
-sentence, the shortest run of at least ``span`` sentences and ``min_words`` words
-is hashed. Hashes are joined over the whole corpus; the first place of a span, by
-(doc_id, position), stays, and sentences covered by any non-first span are
-removed, also within one document. A passage of over 50 words holds the spans
-from its first and back from its last sentence, so it is caught whole; a line
-that many documents share, but of fewer words, stays.
-
-Spans are counted with partial sums and travel as (hash, document, position),
-so a passage that a third of all documents share sends one row per document.
+``MAX_SENTENCE`` words counts as several of that many words. Words are compared
+in lower case. From every sentence on, and back from every sentence, the shortest
+run of at least ``span`` sentences and ``min_words`` words is hashed and held
+against the whole corpus.
+
+These cuts depend on what stands before, so longer passages are also found word
+by word: every window of ``WINDOW`` words that stands at an earlier place is
+repeated, wherever it begins and whatever marks it holds. Not all windows are
+hashed. Of the runs of ``GRAM`` words inside a window the one with the smallest
+hash is its mark; equal windows have equal marks, so only marks that stand at two
+places matter. Places of a mark with the same words around it (all that any
+window with this mark can hold) are settled at once; only where these differ, at
+the ends of passages, are the windows of one place of each kind compared.
+
+The first place of a span or window, by (doc_id, position), stays; words covered
+by any other are removed, also within one document, where a window that overlaps
+its first place goes only as far as it lies behind it. So a passage of over 50
+words is removed whole, at any offset in a line; a shorter one only where it holds
+a span of sentences. Fewer than ``MIN_SENTENCE`` words that a run of windows
+reaches past a line end, into a line it does not cover to its other end, stay:
+they are equal by chance more often than not.
+
+Places are counted with partial sums and travel as (hash, document, position);
+texts are read a second time for those windows.
 
 Null and empty texts have no spans and stay as they are. Rows are named by
 (doc_id, hash of id and text): rows that repeat both are one document and are
@@ -31,6 +44,8 @@ from .common import IS_WORD, U, chunks, i64, keyed, prefix_hash, range_hash, spl
 
 SPAN, MIN_WORDS = 3, 30
 MIN_SENTENCE, MAX_SENTENCE = 4, 16
+WINDOW, GRAM = 51, 25
+_LOW = (1 << 20) - 1
 _END = np.zeros(256, bool)
 _END[[46, 33, 63]] = True
 _SPACE = np.zeros(256, bool)
@@ -95,40 +110,115 @@ def runs(text: np.ndarray, begin: np.ndarray, end: np.ndarray, span: int, min_wo
     return pair // (len(text) + 1), pair % (len(text) + 1)
 
 
+def marks(prefix: np.ndarray, first: np.ndarray):
+    """(window, mark): the first word of every window, and of the run of GRAM
+    words with the smallest hash in it: the first of equal ones. Of the hash the
+    upper 44 bits count."""
+    width = WINDOW - GRAM + 1  # runs in a window
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    start = np.arange(max(len(prefix) - GRAM, 0))
+    place = (start - first[text[: len(start)]]) & _LOW
+    low = (range_hash(prefix, start, start + GRAM) & ~U(_LOW)) | place.astype(U)
+    step = 1
+    while step < width and len(low):
+        move = min(step, width - step)
+        low = np.minimum(low[:-move], low[move:])
+        step += move
+    at = np.flatnonzero(np.arange(len(low)) + WINDOW <= first[1:][text[: len(low)]])
+    return at, at + (((low[at] & U(_LOW)).astype(np.int64) - place[at]) & _LOW)
+
+
 def spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, _h, at, n, hash): every span of docs (doc_id, _h, text): its
-    first sentence and how many."""
+    """(doc_id, _h, at, n, hash, around): every span of docs (doc_id, _h, text):
+    its first word and how many; and every mark, with n = 0 and a hash of the
+    words around it."""
 
     def run(batches):
         for batch in batches:
             for part in chunks(batch, "text"):
                 raw, off = text_buffers(part.column(2))
                 text, begin, end, low, ws, we = sentences(raw, off)
-                if len(text) < span:
+                if not len(text):
                     continue
+                first = np.searchsorted(ws, off)
                 words = prefix_hash(word_hashes(low, ws, we))
                 a, b = runs(text, begin, end, span, min_words)
-                at = a - np.searchsorted(text, text[a])
-                rows = pa.array(text[a])
-                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array(at.astype(np.int32)), pa.array((b - a + 1).astype(np.int32)), i64(range_hash(words, begin[a], end[b]))], names=["doc_id", "_h", "at", "n", "hash"])
+                m = np.unique(marks(words, first)[1])
+                row = np.concatenate([text[a], np.searchsorted(first, m, "right") - 1])
+                at = np.concatenate([begin[a], m])
+                n = np.concatenate([end[b] - begin[a], np.zeros(len(m), np.int64)])
+                order = np.lexsort((at, row))
+                row, at, n = row[order], at[order], n[order]
+                code = range_hash(words, at, at + np.where(n > 0, n, GRAM))
+                around = range_hash(words, np.maximum(at - (WINDOW - GRAM), first[row]), np.minimum(at + WINDOW, first[row + 1]))
+                rows = pa.array(row)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array((at - first[row]).astype(np.int32)), pa.array(n.astype(np.int32)), i64(code), i64(np.where(n > 0, U(0), around))], names=["doc_id", "_h", "at", "n", "hash", "around"])
+
+    return docs.select(F.col("doc_id").cast("long"), "_h", "text").mapInArrow(run, "doc_id long, _h long, at int, n int, hash long, around long")
 
-    return docs.select(F.col("doc_id").cast("long"), "_h", "text").mapInArrow(run, "doc_id long, _h long, at int, n int, hash long")
+
+def windows(docs: DataFrame) -> DataFrame:
+    """(doc_id, _h, at, hash): the windows of docs (doc_id, _h, text, _marks) that
+    have one of its marks."""
+
+    def run(batches):
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                raw, off = text_buffers(part.column(2))
+                low, ws, we, first = split_words(raw, off)
+                words = prefix_hash(word_hashes(low, ws, we))
+                lists = part.column(3)
+                row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+                mark = first[row] + lists.flatten().to_numpy()
+                at, own = marks(words, first)
+                at = at[np.isin(own, mark)]
+                row = np.searchsorted(first, at, "right") - 1
+                rows = pa.array(row)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(rows), part.column(1).take(rows), pa.array((at - first[row]).astype(np.int32)), i64(range_hash(words, at, at + WINDOW))], names=["doc_id", "_h", "at", "hash"])
+
+    return docs.select("doc_id", "_h", "text", "_marks").mapInArrow(run, "doc_id long, _h long, at int, hash long")
+
+
+def later(places: DataFrame, name: str, *keys: str) -> DataFrame:
+    """Of (doc_id, _h, at, ...), those that are not the first of their keys, with
+    ``first``. Both sides are written, so that Spark can split a key with very
+    many places over tasks in the join."""
+    first = places.groupBy(*keys).agg(F.min(F.struct("doc_id", "_h", "at")).alias("first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    return places.join(written(first, name), [*keys]).where(~F.struct("doc_id", "_h", "at").eqNullSafe(F.col("first")))
 
 
 def repeated(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, _h, at, n): the non-first places of every repeated span."""
-    found = written(spans(keyed(docs, "text"), span, min_words).distinct(), "spans")
-    # both written, so that Spark can split a span with very many places over tasks in the joins
+    """(doc_id, _h, at, n, span): the words of the non-first places of every
+    repeated span (span is true) and window; at and n may reach past the text."""
+    docs = keyed(docs, "text").select(F.col("doc_id").cast("long"), "_h", "text")
+    found = written(spans(docs, span, min_words), "spans")
     twice = written(found.groupBy("hash").count().where("count > 1").select("hash"), "twice")
     again = written(found.join(twice, "hash"), "again")
-    first = written(again.groupBy("hash").agg(F.min(F.struct("doc_id", "_h", "at")).alias("first")), "first")
-    return again.join(first, "hash").where(~F.struct("doc_id", "_h", "at").eqNullSafe(F.col("first"))).select("doc_id", "_h", "at", "n").distinct()
+    spans_ = later(again.where("n > 0"), "first", "hash").select("doc_id", "_h", "at", "n", F.lit(True).alias("span")).distinct()
+
+    at = again.where("n = 0")
+    same = later(at, "first", "hash", "around")
+    # one place of each kind, of marks with several
+    kinds = written(at.groupBy("hash", "around").agg(F.min(F.struct("doc_id", "_h", "at")).alias("first")), "kinds")
+    mixed = kinds.join(kinds.groupBy("hash").count().where("count > 1").select("hash"), "hash").select("first.*")
+    mixed = mixed.groupBy("doc_id", "_h").agg(F.collect_set("at").alias("_marks")).toDF("_id", "_key", "_marks")
+    ends = windows(docs.join(mixed, docs["doc_id"].eqNullSafe(mixed["_id"]) & (docs["_h"] == mixed["_key"])))
+    ends = later(written(ends, "windows"), "first", "hash")
+
+    def gone(rows, before):
+        """From ``before`` words before at, but not into the first window."""
+        own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_h") == F.col("first._h"))
+        start = F.when(own, F.greatest(F.col("at"), F.col("first.at") + WINDOW)).otherwise(F.col("at")) - before
+        rows = rows.select("doc_id", "_h", start.alias("_from"), (F.col("at") + WINDOW).alias("_to")).where("_from < _to")
+        return rows.select("doc_id", "_h", F.col("_from").alias("at"), (F.col("_to") - F.col("_from")).alias("n"), F.lit(False).alias("span"))
+
+    return spans_.unionByName(gone(same, WINDOW - GRAM)).unionByName(gone(ends, 0))
 
 
 def cut(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
     """Rows of docs with ``_text``, what stays, and ``_runs``, the byte ranges
     [start, end) removed: null where nothing is."""
-    gone = repeated(docs, span, min_words).groupBy("doc_id", "_h").agg(F.collect_set(F.struct("at", "n")).alias("_at"))  # of one document
+    gone = repeated(docs, span, min_words).groupBy("doc_id", "_h").agg(F.collect_set(F.struct("at", "n", "span")).alias("_at"))  # of one document
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("_h").alias("_key"), "_at")
     h = F.xxhash64("doc_id", "text")
     d = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (h == gone["_key"]), "left")
@@ -139,7 +229,7 @@ def cut(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFr
         for batch in batches:
             for part in chunks(batch, "text"):
                 texts, at = part.column(part.schema.get_field_index("text")), part.column(part.schema.get_field_index("_at"))
-                out = [without(t.as_py(), [(x["at"], x["n"]) for x in a.as_py()]) for t, a in zip(texts, at)]
+                out = [without(t.as_py(), *(a.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))) for t, a in zip(texts, at)]
                 cols = [part.column(part.schema.get_field_index(c)) for c in names]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array([x for x, _ in out], pa.string()), pa.array([r for _, r in out], ranges)], names=[*names, "_text", "_runs"])
 
@@ -152,7 +242,7 @@ def cut(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFr
 
 
 def remove(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """Rows of docs with repeated sentences taken out of text; n_chars, if
+    """Rows of docs with repeated passages taken out of text; n_chars, if
     there, is set anew where text changed."""
     new = {"text": F.col("_text").cast(docs.schema["text"].dataType)}
     if "n_chars" in docs.columns:
@@ -160,22 +250,38 @@ def remove(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> Dat
     return cut(docs, span, min_words).select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
-def without(text: str, spans):
-    """The text without the sentences of the spans (first, number), and the
-    byte ranges removed. A sentence reaches to the first word of the next
-    one; what stands before the first word belongs to the first sentence."""
+def without(text: str, at, n, span):
+    """The text without the words of the spans and windows (first word, number),
+    and the byte ranges removed. A word reaches to the next one; what stands
+    before the first word belongs to it."""
     raw = np.frombuffer(text.encode(), np.uint8)
-    _, begin, end, _, ws, _ = sentences(raw, np.array([0, len(raw)]))
-    gone = np.zeros(len(begin) + 1, np.int64)
-    at, n = np.array(sorted(spans)).T
-    np.add.at(gone, at, 1)
-    np.add.at(gone, at + n, -1)
-    gone = np.cumsum(gone)[:-1] > 0
-    edges = np.append(ws[begin], len(raw))
+    _, ws, _, _ = split_words(raw, np.array([0, len(raw)]))
+    line = np.cumsum(raw == 10)[ws]
+    at = at.astype(np.int64)
+
+    def ranges(at, n):
+        turn = np.zeros(len(ws) + 1, np.int64)
+        np.add.at(turn, at, 1)
+        np.add.at(turn, at + n, -1)
+        turn = np.diff(np.concatenate([[0], (np.cumsum(turn)[:-1] > 0).astype(np.int8), [0]]))
+        return np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+
+    to = np.minimum(at + n, len(ws))
+    at = np.maximum(at, 0)
+    n = to - at
+    a, b = ranges(at[~span], n[~span])
+    # a few words past a line end, of a line that goes on
+    after = np.searchsorted(line, line[a], "right")
+    a = np.where((a > 0) & (line[a - 1] == line[a]) & (after - a < MIN_SENTENCE), after, a)
+    before = np.searchsorted(line, line[b - 1])
+    b = np.where((b < len(ws)) & (line[np.minimum(b, len(ws) - 1)] == line[b - 1]) & (b - before < MIN_SENTENCE), before, b)
+    a, b = ranges(np.concatenate([at[span], a]), np.concatenate([n[span], b - a]))
+    edges = np.append(ws, len(raw))
     edges[0] = 0
-    keep = np.repeat(~gone, np.diff(edges))
-    turn = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
-    removed = [{"start": int(edges[a]), "end": int(edges[b])} for a, b in zip(np.flatnonzero(turn == 1), np.flatnonzero(turn == -1))]
+    keep = np.ones(len(raw), bool)
+    removed = [{"start": int(edges[i]), "end": int(edges[j])} for i, j in zip(a, b)]
+    for r in removed:
+        keep[r["start"] : r["end"]] = False
     return raw[keep].tobytes().decode(), removed
 
 

@@ -354,6 +354,43 @@ def test_passages_of_fifty_words_are_caught(spark):
         assert words_of(left[i]) == words_of(texts[i].replace(passage, "\n"))
 
 
+def windows_removed(texts):
+    """The words that stay if every window of WINDOW words that stands at an
+    earlier place is removed, one window at a time."""
+    first, out = {}, []
+    for i, t in enumerate(texts):
+        w = words_of(t)
+        gone = set()
+        for a in range(len(w) - S.WINDOW + 1):
+            j, b = first.setdefault(tuple(w[a : a + S.WINDOW]), (i, a))
+            gone |= set(range(max(a, b + S.WINDOW) if i == j else a, a + S.WINDOW)) if (i, a) != (j, b) else set()
+        out.append([x for k, x in enumerate(w) if k not in gone])
+    return out
+
+
+def test_passages_without_marks_are_caught_mid_line(spark):
+    rng = random.Random(12)
+    plain = lambda n: " ".join(rng.choice(WORDS) + str(rng.randint(0, 999)) for _ in range(n))
+    shared = [plain(n) for n in (51, 60, 60, 200)]
+    texts = [" ".join(x for x in (plain(rng.randint(0, 60)), p, plain(rng.randint(0, 60))) if x) for p in shared for _ in range(12)]
+    long = plain(300).split()
+    for _ in range(12):  # near copies
+        texts.append(" ".join(w for w in long[rng.randint(0, 40) :] if rng.random() < 0.99))
+    plains = len(texts)
+    texts += ["same " * 200, "a b c " * 40, " ".join([plain(20), shared[1], shared[2], plain(5), shared[1]])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: words_of(r["text"]) for r in S.remove(docs).collect()}
+    want = windows_removed(texts)
+    for i in range(len(texts)):
+        if i < 48:
+            assert got[i] == want[i], i
+        elif i < plains:  # spans of sentences go as well
+            assert not collections.Counter(got[i]) - collections.Counter(want[i]), i
+        else:
+            assert len(got[i]) <= len(want[i]) < 60, i
+    assert all(got[i] == words_of(texts[i]) for i in range(0, 48, 12))
+
+
 def test_spans_odd_rows(spark, odd, empty):
     got = S.remove(odd).collect()
     assert len(got) == len(ODD) and S.remove(empty).count() == 0 and S.remove(odd).columns == odd.columns
