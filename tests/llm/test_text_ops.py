@@ -391,6 +391,26 @@ def test_passages_without_marks_are_caught_mid_line(spark):
     assert all(got[i] == words_of(texts[i]) for i in range(0, 48, 12))
 
 
+def test_passages_of_sentences_are_caught_at_any_offset(spark):
+    rng = random.Random(13)
+    words = lambda n: [rng.choice(WORDS) + str(rng.randint(0, 999)) for _ in range(n)]
+    close = lambda sizes: " ".join(" ".join(words(n)) + "." for n in sizes)
+    shared = [" ".join(words(20)) + ". " + " ".join(words(25)) + ". " + " ".join(words(6))]  # begins and ends inside a sentence
+    shared += [close(rng.choices(range(*sizes), k=5)) for sizes in ((8, 21), (15, 31)) for _ in range(3)]
+    shared = [p for p in shared if len(words_of(p)) >= S.WINDOW]
+    texts = []
+    for p in shared:
+        for k in range(8):  # mid-sentence, or after a sentence of 1 to 25 words
+            before = " ".join(words(rng.randint(1, 25))) + (". " if k % 2 else " ")
+            texts.append(before + p + " " + close([5, 12]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: words_of(r["text"]) for r in S.remove(docs).collect()}
+    assert len(shared) >= 5
+    for i, want in enumerate(windows_removed(texts)):
+        assert got[i] == want, i
+        assert i % 8 == 0 or len(want) == len(words_of(texts[i])) - len(words_of(shared[i // 8])), i
+
+
 def test_spans_odd_rows(spark, odd, empty):
     got = S.remove(odd).collect()
     assert len(got) == len(ODD) and S.remove(empty).count() == 0 and S.remove(odd).columns == odd.columns
