@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann_block, best_fit_packing, embedding_dedup, license_scan, minhash_dedup, quality_pu, run_length_dedup, sentence_spans, source_mix, warc_bundles
+from . import ann_block, best_fit_packing, embedding_dedup, license_scan, minhash_dedup, quality_pu, run_length_dedup, sampled_shards, sentence_spans, source_mix, target_resampling, warc_bundles
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_source_mix": source_mix.query,
     "op9_sentence_spans": sentence_spans.query,
     "op10_run_length_dedup": run_length_dedup.query,
+    "op11_sampled_shards": sampled_shards.query,
+    "op12_target_resampling": target_resampling.query,
 }
 
 ORACLES = {
