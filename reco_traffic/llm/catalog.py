@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann_block, best_fit_packing, embedding_dedup, license_scan, minhash_dedup, quality_pu, run_length_dedup, sampled_shards, sentence_spans, source_mix, target_resampling, warc_bundles
+from . import ann_block, best_fit_packing, embedding_dedup, license_scan, metric_tree_codes, minhash_dedup, quality_pu, run_length_dedup, sampled_shards, sentence_spans, source_mix, target_resampling, warc_bundles
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_run_length_dedup": run_length_dedup.query,
     "op11_sampled_shards": sampled_shards.query,
     "op12_target_resampling": target_resampling.query,
+    "op13_metric_tree_codes": metric_tree_codes.query,
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op6_embedding_dedup": embedding_dedup.ORACLE,
     "op7_minhash_dedup": minhash_dedup.ORACLE,
     "op8_source_mix": source_mix.ORACLE,
+    "op13_metric_tree_codes": metric_tree_codes.ORACLE,
 }

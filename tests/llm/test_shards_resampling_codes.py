@@ -1,0 +1,293 @@
+"""Sampled shards, target resampling and metric-tree codes against plain versions."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from reco_traffic.llm import metric_tree_codes as M
+from reco_traffic.llm import sampled_shards as S
+from reco_traffic.llm import target_resampling as R
+
+D = "doc_id long, text string, source string"
+
+
+# ---- sharding ----------------------------------------------------------------
+
+
+def plain_shards(rows, shards, law, grain=S.GRAIN):
+    """doc -> (shard, slot) by one sorted pass; identical rows in any order."""
+    size = lambda t: len((t or "").encode()) + S.EXTRA
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()[:16]
+    rec = [(md5(t or "") + md5("null" if i is None else str(i)), size(t) if law == "bytes" else 1, i, t) for i, t in rows]
+    total = sum(r[1] for r in rec)
+    heavy = sorted((r for r in rec if r[1] * shards * grain > total), key=lambda r: (-r[1], r[0]))
+    light = sorted((r for r in rec if r[1] * shards * grain <= total), key=lambda r: r[0])
+    load, out, count = [0] * shards, [], [0] * shards
+    for r in heavy:
+        s = load.index(min(load))
+        load[s] += r[1]
+        out.append((r[2], r[3], s, count[s]))
+        count[s] += 1
+    rest = sum(r[1] for r in light)
+    # the level: raise the lowest loads together until the rest is used up
+    low = sorted(load)
+    k = max(i for i in range(1, shards + 1) if rest + sum(low[:i]) >= i * low[i - 1])
+    level = rest + sum(low[:k])
+    ends, at = [], 0
+    for x in load:
+        at += max(0, level - k * x)
+        ends.append(at)
+    seen = 0
+    for r in light:
+        s = sum(2 * e <= (2 * seen + r[1]) * k for e in ends[:-1])
+        out.append((r[2], r[3], s, count[s]))
+        count[s] += 1
+        seen += r[1]
+    return Counter(out)
+
+
+def documents(seed=0, n=900):
+    rng = random.Random(seed)
+    hot = "the same text again and again " * 3
+    rows = [(i, hot if i % 3 == 0 else "w" * rng.choice([0, 1, 5, 40, 300]) + str(rng.random())) for i in range(n)]
+    rows += [(n, None), (n + 1, ""), (None, "no id"), (None, "no id"), (7, "again"), (7, "again"), (n + 2, "ü" * 3000), (n + 3, "y" * 20000)]
+    return rows
+
+
+@pytest.mark.parametrize("law", ["bytes", "rows"])
+@pytest.mark.parametrize("range_rows, draws, grain", [(1 << 18, 16, 64), (3, 2, 4)])
+def test_shards_equal_plain_version(spark, monkeypatch, law, range_rows, draws, grain):
+    monkeypatch.setattr(S, "GRAIN", grain)
+    rows = documents()
+    df = spark.createDataFrame([(i, t, "s") for i, t in rows], D)
+    got = S.shard(df, 7, law, ["doc_id", "text"], range_rows, draws).collect()
+    assert Counter((r["row"]["doc_id"], r["row"]["text"], r["shard"], r["slot"]) for r in got) == plain_shards(rows, 7, law, grain)
+    assert all(r["size"] == len((r["row"]["text"] or "").encode()) + 16 for r in got)
+    assert all(r["text_crc32"] == zlib.crc32((r["row"]["text"] or "").encode()) for r in got)
+
+
+def test_shard_sizes_are_near_and_slots_gapless(spark, sf_small):
+    got = S.query(spark, sf_small).toPandas()
+    by = got.groupby("shard").agg(n=("slot", "count"), top=("slot", "max"), each=("slot", "nunique"), bytes=("size", "sum"))
+    assert list(by.index) == list(range(40)) and (by.n == by.top + 1).all() and (by.n == by.each).all()
+    assert got["law"].eq("bytes").all() and got["grown_shard"].isna().all()
+    d = spark.read.parquet(f"{sf_small}/documents.parquet")
+    counts = [r["count"] for r in S.shard(d, law="rows", keep=["doc_id"]).groupBy("shard").count().collect()]
+    assert len(counts) == 40 and max(counts) - min(counts) <= 1
+
+
+def test_a_hot_text_is_cut_into_many_ranges(spark):
+    """Repeats of one row share text and id; the row's number still parts them."""
+    df = spark.createDataFrame([(1, "same", "s")] * 4000 + [(i, f"t{i}", "s") for i in range(2000)], D)
+    heads = S.heads(df, "bytes", ["doc_id"]).cache()
+    total = heads.agg({"weight": "sum"}).first()[0]
+    marks = S.splitters(heads, 6000, total, range_rows=50, draws=4)
+    from pyspark.sql import functions as F
+
+    most = heads.groupBy(S.below(marks, F.col("key"), "string").alias("r")).count().agg({"count": "max"}).first()[0]
+    assert most <= S.OVERFULL * 6000 / (6000 // 50) * 2
+    got = S.shard(df, 8, "rows", ["doc_id"], 50, 4).groupBy("shard").count().collect()
+    assert [r["count"] for r in got] == [750] * 8
+
+
+def test_shards_of_odd_tables(spark):
+    df = spark.createDataFrame([(1, "a", "s")], D)
+    assert S.shard(df.where("false")).count() == 0
+    clash = df.selectExpr("doc_id", "text", "source", "1 as key", "2 as weight", "3 as size", "4 as row", "5 as shard", "6 as n", "7 as `range`", "8 as slot")
+    r = S.shard(clash).first()
+    assert r["shard"] == 0 and r["slot"] == 0 and r["row"].asDict() == clash.first().asDict()
+    with pytest.raises(ValueError):
+        S.shard(df, law="other")
+
+
+def test_thresholds_fill_to_one_level():
+    k, marks = S.thresholds([10, 0, 4], 16)
+    assert (k, marks) == (3, [0, 30])  # all reach 10
+    k, marks = S.thresholds([100, 0, 4], 16)
+    assert (k, marks) == (2, [0, 20])  # 0 and 4 reach 10, 100 takes none
+
+
+def test_sharding_runs_no_python(spark, sf_small):
+    import io
+    from contextlib import redirect_stdout
+
+    with redirect_stdout(io.StringIO()) as out:
+        S.query(spark, sf_small).explain("formatted")
+    assert not re.search("Python|Arrow|Pandas", out.getvalue())
+
+
+# ---- resampling --------------------------------------------------------------
+
+WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def plain_features(text):
+    w = WORD.findall((text or "").translate(LOWER))
+    return len(w), [zlib.crc32(" ".join(w[i : i + n]).encode()) % 10000 for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+
+
+def plain_resample(docs, targets):
+    f = [plain_features(t) for _, t in docs]
+    s, t = Counter(b for _, v in f for b in v), Counter(b for x in targets for b in plain_features(x)[1])
+    a, b = sum(s.values()) + 10000, sum(t.values()) + 10000
+    g = [math.floor(1000 * math.log((t[k] + 1) * a / ((s[k] + 1) * b))) for k in range(10000)]
+    rows = []
+    for (i, _), (n, v) in zip(docs, f):
+        h = int(hashlib.sha256(f"42:{'null' if i is None else i}".encode()).hexdigest()[:8], 16)
+        w = sum(g[x] for x in v)
+        rows.append([i, len(v), w, w + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, n])
+    able = sorted((r for r in rows if r[5] >= 20), key=lambda r: (-r[3], r[0] is None, r[0] or 0))
+    for k, r in enumerate(able[: 5 * len(able) // 100]):
+        r[4] = k + 1
+    return Counter(tuple(r[:5]) for r in rows)
+
+
+def prose(seed=0, n=400):
+    rng = random.Random(seed)
+    vocabulary = ["the", "of", "ÄrzteÄ", "x9", "Élan", "日本語", "a" * 16, "b" * 17, "c" * 63, "d" * 64, "e" * 65, "f" * 300] + [f"word{i}" for i in range(400)]
+    weights = [60, 40, 5, 5, 5, 5, 5, 5, 2, 2, 2, 1] + [1] * 400
+    docs = []
+    for i in range(n):
+        w = rng.choices(vocabulary, weights, k=rng.choice([0, 1, 2, 3, 19, 20, 21, 60, 500]))
+        docs.append((i, "".join(x + rng.choice([" ", " ", "  ", ", ", "\n"]) for x in w)))
+    docs += [(n, None), (n + 1, ""), (n + 2, " .,- "), (None, "the of " * 30), (3, docs[3][1]), (n + 3, "The OF THE of " * 30000), (n + 4, "z" * 200000 + " the of " * 20)]
+    return docs
+
+
+@pytest.mark.parametrize("words, pairs, range_rows", [(R.HEAD_WORDS, R.HEAD_PAIRS, R.RANGE_ROWS), (5, 3, 20), (0, 0, 1000)])
+def test_resampling_equals_plain_version(spark, words, pairs, range_rows):
+    docs, target = prose(), ["the of the of word3 word4", "Élan of 日本語", None, ""]
+    df = spark.createDataFrame([(i, t, "s") for i, t in docs], D).repartition(3)
+    goal = spark.createDataFrame([(i, t) for i, t in enumerate(target)], "item_id long, text string")
+    got = R.resample(df, goal, head_words=words, head_pairs=pairs, range_rows=range_rows)
+    assert got.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    assert Counter(tuple(r) for r in got.collect()) == plain_resample(docs, target)
+
+
+def test_resampling_whole_table(spark, sf_small):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
+    target = [r["text"] for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").collect()]
+    assert Counter(tuple(r) for r in R.query(spark, sf_small).collect()) == plain_resample(docs, target)
+
+
+def test_resampling_odd_tables(spark):
+    none = spark.createDataFrame([], D)
+    goal = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert R.resample(none, goal).count() == 0
+    clash = spark.createDataFrame([(1, "a b c " * 10, 5, 6, 7)], "doc_id long, text string, rank int, draw int, score int")
+    got = R.resample(clash, goal.where("false")).collect()
+    assert Counter(tuple(r) for r in got) == plain_resample([(1, "a b c " * 10)], [])
+
+
+def test_crc_pieces():
+    rng = random.Random(4)
+    pieces = [bytes(rng.choices(range(256), k=k)) for k in (0, 1, 7, 63, 64, 65, 200, 5000)]
+    raw = np.frombuffer(b"".join(pieces), np.uint8)
+    ends = np.cumsum([len(p) for p in pieces])
+    starts = np.concatenate([[0], ends[:-1]])
+    crc = R.byte_crc(raw, starts, ends)
+    assert crc.tolist() == [zlib.crc32(p) for p in pieces]
+    for i, a in enumerate(pieces):
+        both = R.shift(np.full(len(pieces), crc[i]), ends - starts) ^ crc
+        assert both.tolist() == [zlib.crc32(a + b) for b in pieces]
+
+
+def test_head_words_are_told_by_their_bytes():
+    head = R.Head([b"the", b"of", b"a" * 16], [b"the of", b"of missing"])
+    text = np.frombuffer(b"the of " + b"a" * 16 + b" " + b"a" * 17 + b" th", np.uint8)
+    from reco_traffic.llm.common import split_words
+
+    low, starts, ends, _ = split_words(text, np.array([0, len(text)]))
+    assert (head.find(low, starts, ends) >= 0).tolist() == [True, True, True, False, False]
+    assert len(head.pair) == 1
+
+
+# ---- codes -------------------------------------------------------------------
+
+V = "vec_id long, embedding array<float>, label int"
+
+
+def plain_codes(rows, parts=8, entries=16, rounds=6):
+    kept = [(i, v, b) for i, v, b in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    width = -(-max((len(v) for _, v, _ in kept), default=0) // parts) * parts
+    grid = [(i, [math.floor(4096 * float(np.float32(x))) for x in v] + [0] * (width - len(v)), b) for i, v, b in kept]
+    order = sorted(range(len(kept)), key=lambda k: (grid[k][0] is None, grid[k][0] or 0, kept[k][1]))
+    w = width // parts
+    x = np.array([g[1] for g in grid], np.int64).reshape(len(grid), parts, w)
+    books = [x[order[:entries], p].copy() for p in range(parts)]
+    near = lambda p: ((x[:, p, None] - books[p][None]) ** 2).sum(2)
+    for _ in range(rounds):
+        for p in range(parts):
+            a = near(p).argmin(1)
+            for j in set(a.tolist()):
+                books[p][j] = x[a == j, p].sum(0) // (a == j).sum()
+    d = [near(p) for p in range(parts)]
+    code = np.stack([e.argmin(1) for e in d], 1)
+    error = sum(e.min(1) for e in d)
+    label = Counter()
+    for g, e in zip(grid, error.tolist()):
+        label[g[2]] += e
+    digest = hashlib.sha256(",".join(str(v) for b in books for v in b.ravel().tolist()).encode()).hexdigest()
+    return Counter((g[0], "".join(f"{c:02x}" for c in r), e, label[g[2]], digest) for g, r, e in zip(grid, code.tolist(), error.tolist()))
+
+
+def cloud(seed, n, d):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, d)) * 0.2
+    x[n // 3 : 2 * n // 3] = x[0]  # a third are one vector
+    x[2 * n // 3 :] = np.round(x[2 * n // 3 :] * 4) / 4  # ties
+    return [(int(i), [float(np.float32(v)) for v in r], int(i) % 5 if i % 7 else None) for i, r in enumerate(x)]
+
+
+@pytest.mark.parametrize("n, d, block", [(700, 64, M.BLOCK), (700, 16, 50), (5, 16, M.BLOCK), (40, 8, 7)])
+def test_codes_equal_plain_version(spark, n, d, block):
+    rows = cloud(n, n, d)
+    df = spark.createDataFrame(rows, V).repartition(3)
+    got = M.compress(df, block=block).collect()
+    assert Counter(tuple(r) for r in got) == plain_codes(rows)
+
+
+def test_codes_of_odd_tables(spark):
+    rows = cloud(1, 60, 16) + [(900, None, 0), (901, [], 0), (902, [float("nan")] + [1.0] * 15, 0), (903, [None] + [1.0] * 15, 0), (904, [float("inf")] * 16, 0),
+                               (None, [1.0] * 16, 0), (905, [1.0, -2.0], None), (3, [0.5] * 13, 2), (3, [0.25] * 13, 2), (906, [0.5] * 17, 9), (906, [0.5] * 17, 9)]
+    df = spark.createDataFrame(rows, V)
+    assert Counter(tuple(r) for r in M.compress(df).collect()) == plain_codes(rows)
+    assert M.compress(df.where("false")).count() == 0
+    assert M.compress(df.where("vec_id = 900")).count() == 0
+    clash = df.selectExpr("*", "1 as v", "2 as code", "3 as error", "4 as _label", "5 as ids", "6 as trees")
+    assert Counter(tuple(r) for r in M.compress(clash).collect()) == plain_codes(rows)
+    with pytest.raises(Exception, match="scale the vectors down"):
+        M.compress(spark.createDataFrame([(1, [1e9] * 8, 0)], V))
+
+
+def test_balls_are_owned_whole_and_candidates_shrink():
+    """On clustered parts the trees take far fewer distances than points x entries."""
+    rng = np.random.default_rng(3)
+    centres = rng.integers(-20000, 20000, (16, 8))
+    points = (centres[rng.integers(0, 16, 4000)] + rng.integers(-50, 50, (4000, 8))).astype(np.int64)
+    tree = M.Tree(M.grow(points))
+    (node, own), (point, code, error), work = tree.owned(centres)
+    assert tree.count[node].sum() + len(point) == 4000 and len(point) == 0
+    assert work < 4000 * 16 / 10
+    n, s = tree.sums(centres)
+    a = ((points[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+    assert n.tolist() == np.bincount(a, minlength=16).tolist()
+    assert (s == np.stack([points[a == j].sum(0) for j in range(16)])).all()
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_tree_equals_plain_assignment(seed):
+    rng = np.random.default_rng(seed)
+    points = rng.integers(-6, 6, (rng.integers(1, 600), 3)).astype(np.int64) * (1 if seed % 2 else 100000)
+    entries = points[rng.integers(0, len(points), 16)] + rng.integers(-1, 2, (16, 3))
+    code, error = M.Tree(M.grow(points)).codes(entries)
+    d = ((points[:, None] - entries[None]) ** 2).sum(2)
+    assert (code == d.argmin(1)).all() and (error == d.min(1)).all()
+    assert sorted(M.Tree(M.grow(points)).order.tolist()) == list(range(len(points)))
