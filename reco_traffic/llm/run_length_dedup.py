@@ -339,5 +339,6 @@ def remove(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int =
 
 
 def query(spark, sf_dir: str) -> DataFrame:
+    """The digests, then the kept text; a character cut through is replaced."""
     left = remove(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return left.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.when(F.col("removed").isNull(), F.lit(0)).otherwise(F.size("removed")).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return left.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.when(F.col("removed").isNull(), F.lit(0)).otherwise(F.size("removed")).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))

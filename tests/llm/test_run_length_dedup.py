@@ -103,3 +103,18 @@ def _batch(text):
     import pyarrow as pa
 
     return pa.RecordBatch.from_arrays([pa.array([text])], names=["text"])
+
+
+def test_query_returns_the_kept_text(spark, sf_small):
+    """Over the whole table: the text is the input less the removed bytes."""
+    import hashlib
+
+    docs = {r["doc_id"]: (r["text"] or "") for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
+    want = brute(list(docs.values()), 400)
+    got = {r["doc_id"]: r for r in R.query(spark, sf_small).collect()}
+    for (i, _), (n, runs, kept) in zip(docs.items(), want):
+        r = got[i]
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"]) == (n, n - len(kept), runs)
+        assert r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
+        assert r["text"] == kept.decode("utf-8", "replace")
+    assert any(r["n_removed"] for r in got.values())
