@@ -1,5 +1,6 @@
-"""Congestion classifier over lagged camera features (Spark ML logistic
-regression, multinomial, with intercept)."""
+"""Congestion classifier over lagged camera features: multinomial logistic
+regression with intercept. One set of rows is fitted by Spark ML, one model per
+target camera by ``softmax_fit``, all targets together."""
 
 from __future__ import annotations
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import dot
+from .softmax_fit import fit_all
 
 DEFAULT_CLASSES = 11
 
@@ -23,9 +25,9 @@ def with_class_count(rows: DataFrame, num_classes: int = DEFAULT_CLASSES, label_
 
 
 # The reference's optimizer settings (L-BFGS, 100 iterations,
-# convergence tolerance 1e-4, no regularisation, intercept).
+# convergence tolerance 1e-6, no regularisation, intercept).
 DEFAULT_MAX_ITER = 100
-DEFAULT_TOL = 1e-4
+DEFAULT_TOL = 1e-6
 
 
 def fit_congestion_classifier(
@@ -34,15 +36,12 @@ def fit_congestion_classifier(
     max_iter: int = DEFAULT_MAX_ITER,
     reg: float = 0.0,
     tol: float = DEFAULT_TOL,
-    partitions: int | None = None,
 ) -> LogisticRegressionModel:
     """Multinomial logistic regression (L-BFGS) on (label, features). Every
-    iteration is one job over all partitions; ``partitions`` coalesces a
-    training set known to be small (None: leave it as it is)."""
+    iteration is one job over all partitions."""
     lr = LogisticRegression(family="multinomial", fitIntercept=True, maxIter=max_iter, regParam=reg, tol=tol,
                             labelCol="label", featuresCol="features")
-    data = with_class_count(rows, num_classes)
-    return lr.fit(data.coalesce(partitions) if partitions else data)
+    return lr.fit(with_class_count(rows, num_classes))
 
 
 def predict_congestion(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
@@ -62,33 +61,20 @@ SPLIT_KEY = ("target_id", "minute")
 
 
 def fit_per_target(rows: DataFrame, targets, fraction: float = 0.8, seed: int = 0,
-                   num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER, parallelism: int = 8,
-                   partitions: int | None = 1) -> DataFrame:
+                   num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER, tol: float = DEFAULT_TOL) -> DataFrame:
     """One model per target camera, as the reference trains them ->
     (target_id, class, intercept, coefficients).
 
-    ``rows`` (target_id, minute, label, features) must be a stored table: every
-    fit reads it. ``targets`` are the configured cameras, a list. Each is split
-    by a repeatable hash of (target, minute) and fitted on its training part;
-    a target without training rows gives no model. Up to ``parallelism`` fits
-    run as concurrent Spark jobs; a target's look-back is small, so its fit
-    runs on ``partitions`` partitions. Only the models (targets x classes rows)
-    pass the driver.
+    ``targets`` are the configured cameras, a list. Each is split by a repeatable
+    hash of (target, minute) and fitted on its training part; a target without
+    training rows gives no model. All targets share the jobs of one fit
+    (``softmax_fit``); only the models (targets x classes rows) pass the driver.
     """
-    from .als import in_train, run_parallel
-
-    spark = rows.sparkSession
-    train = rows.where(in_train(fraction, seed, SPLIT_KEY))
-    present = {r[0] for r in train.where(F.col("target_id").isin(list(targets))).select("target_id").distinct().collect()}
-
-    def one(t):
-        model = fit_congestion_classifier(train.where(F.col("target_id") == F.lit(t)), num_classes, max_iter=max_iter,
-                                          partitions=partitions)
-        weights, bias = model.coefficientMatrix.toArray().tolist(), model.interceptVector.toArray().tolist()
-        return [(t, k, float(bias[k]), weights[k]) for k in range(len(bias))]
+    from .als import in_train
 
-    fitted = run_parallel(one, [t for t in targets if t in present], parallelism)
-    return spark.createDataFrame([r for part in fitted for r in part], MODEL_SCHEMA)
+    fitted = fit_all(rows.where(in_train(fraction, seed, SPLIT_KEY)), list(targets), num_classes, max_iter, tol)
+    models = [(t, k, float(bias[k]), weights[k].tolist()) for t, (weights, bias) in fitted.items() for k in range(num_classes)]
+    return rows.sparkSession.createDataFrame(models, MODEL_SCHEMA)
 
 
 def predict_per_target(models: DataFrame, rows: DataFrame) -> DataFrame:
@@ -104,14 +90,13 @@ def predict_per_target(models: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def evaluate_per_target(rows: DataFrame, targets, fraction: float = 0.8, seed: int = 0,
-                        num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER,
-                        parallelism: int = 8) -> DataFrame:
+                        num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER) -> DataFrame:
     """(target_id, n_train, n_test, accuracy) with one fitted model per target;
     scored and measured for all targets in one join and one aggregate. ``rows``
     must be a stored table."""
     from .als import in_train
 
-    models = fit_per_target(rows, targets, fraction, seed, num_classes, max_iter, parallelism)
+    models = fit_per_target(rows, targets, fraction, seed, num_classes, max_iter)
     train = in_train(fraction, seed, SPLIT_KEY)
     hit = F.when(~F.col("_train"), (F.col("prediction") == F.col("label")).cast("double"))
     return predict_per_target(models, rows).withColumn("_train", train).groupBy("target_id").agg(

@@ -159,10 +159,11 @@ def flatten_recs(nested: DataFrame, key: str, recs_col: str = "recs") -> DataFra
 def item_tags(tags: DataFrame, sep: str = "|") -> DataFrame:
     """Distinct tags of each item, sorted and joined with ``sep`` -> (item_id, tags).
 
-    collect_set is partially aggregated map-side, so repeated tags of a hot
-    item are de-duplicated before the shuffle.
+    Repeats go first, by hash over (item, tag) with partial aggregation, so a hot
+    item's rows are spread over all tasks and only its distinct tags meet.
     """
-    return tags.groupBy("item_id").agg(F.concat_ws(sep, F.array_sort(F.collect_set("tag"))).alias("tags"))
+    each = tags.select("item_id", "tag").distinct()
+    return each.groupBy("item_id").agg(F.concat_ws(sep, F.array_sort(F.collect_list("tag"))).alias("tags"))
 
 
 def items_with_tags(items: DataFrame, tags_per_item: DataFrame) -> DataFrame:

@@ -11,14 +11,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.columns import congestion_class, cosine_similarity, dot, epoch_seconds
-from ..operators import als, congestion, parse, scoring, similarity, stats, traffic
-from ..session import scratch_path
+from ..operators import als, als_grid, congestion, parse, scoring, similarity, stats, traffic
+from ..session import checkpoint_root, scratch_path
 from ..sources import readers, writers
 from ..streaming import streams
 from . import fixtures as fx
@@ -297,6 +297,37 @@ def q_similar_items(spark, sf):
     return fixture_similarity(spark, sf, fx.TEST_SIM_THRESHOLD).select("item_id", "other_id", r6("sim").alias("sim"))
 
 
+@register("similar_items_bounded", with_ctes(
+    "select item_id, rank, other_id, round(sim, 6) as sim from (select item_id, other_id, sim,"
+    " cast(row_number() over (partition by item_id order by sim desc, other_id) as int) as rank from sim) where rank <= 5",
+    sim=sql_similarity(fx.TEST_SIM_THRESHOLD)))
+def q_similar_items_bounded(spark, sf):
+    """Each item's five most similar, kept as bounded lists inside the blocks."""
+    sim = similarity.similar_items(fx.item_factors(spark, sf), threshold=fx.TEST_SIM_THRESHOLD, max_neighbours=5)
+    return similarity.ranked_neighbours(sim).select("item_id", "rank", "other_id", r6("sim").alias("sim"))
+
+
+@register("similar_items_lsh", with_ctes(
+    "select cast(v.vec_id as int) as item_id, count(s.other_id) as n_exact, true as exact, true as recall"
+    " from embeddings v left join sim s on s.item_id = v.vec_id group by v.vec_id", sim=sql_similarity(fx.TEST_SIM_THRESHOLD)))
+def q_similar_items_lsh(spark, sf):
+    """Neighbours by random projections against the exact ones, per item: every
+    pair found is an exact one with its similarity; and 0.9 or more of all exact
+    pairs are found."""
+    f = fx.item_factors(spark, sf)
+    path = scratch_path(spark, "lsh-pairs")
+    exact = fixture_similarity(spark, sf, fx.TEST_SIM_THRESHOLD).withColumnRenamed("sim", "_exact")
+    near = similarity.similar_items(f, threshold=fx.TEST_SIM_THRESHOLD, method="lsh")
+    writers.write_table(exact.join(near, ["item_id", "other_id"], "full"), path)
+    both = spark.read.parquet(path)
+    fine = F.col("sim").isNull() | F.coalesce(F.abs(F.col("sim") - F.col("_exact")) < 1e-9, F.lit(False))
+    by = both.groupBy("item_id").agg(F.count("_exact").alias("n"), F.bool_and(fine).alias("fine"))
+    enough = both.agg(F.count("sim") >= 0.9 * F.count("_exact")).first()[0]
+    return f.select("item_id").join(by, "item_id", "left").select(
+        "item_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_exact"), F.coalesce("fine", F.lit(True)).alias("exact"),
+        F.lit(enough).alias("recall"))
+
+
 @register("cosine_similarity",
           "select cast(a.vec_id as int) as item_id, cast(b.vec_id as int) as other_id,"
           " round(list_cosine_similarity(cast(a.embedding as double[]), cast(b.embedding as double[])), 6) as sim"
@@ -352,6 +383,21 @@ def q_recent_ratings(spark, sf):
     return scoring.recent_ratings(fx.ratings(spark, sf), k=20)
 
 
+@register("recent_ratings_as_of", with_ctes(
+    "select r.user_id, r.item_id, r.rating, r.ts from (select r.*, row_number() over (partition by r.user_id order by r.ts desc,"
+    " r.item_id asc, r.rating desc) as rn from ratings r join (select user_id, max(ts) as ts from ratings where user_id % 2 = 0"
+    " group by user_id) e on e.user_id = r.user_id and r.ts <= e.ts - 86400 * 30) r where rn <= 5", ratings=fx.SQL_RATINGS))
+def q_recent_ratings_as_of(spark, sf):
+    """Five recents of every second user thirty days before their last rating,
+    from a history stored in buckets of users, which is not shuffled."""
+    r = fx.ratings(spark, sf)
+    path = scratch_path(spark, "history-buckets")
+    table = "h_" + path.rsplit("-", 1)[-1]
+    history = scoring.store_history_table(r, table, path, 8)
+    ev = r.where("user_id % 2 = 0").groupBy("user_id").agg((F.max("ts") - 86400 * 30).alias("ts"))
+    return scoring.recent_ratings(history, 5, ev, bucketed=True)
+
+
 @register("exclude_rated", with_ctes(
     "select user_id, item_id, round(sim, 6) as sim from cand_all", **SCORING_CTES))
 def q_exclude_rated(spark, sf):
@@ -529,8 +575,8 @@ def q_lagged_features(spark, sf):
 # ------------------------------------------------------------ models
 # A fitted model's numbers can't be reproduced in SQL. Its output is held
 # against a direct computation from the same factors or coefficients in Spark,
-# row by row; SQL derives from the tables which rows there must be, and that
-# all of them agree. Splits use md5, which SQL has, so they are compared whole.
+# row by row, where a row that is missing disagrees; SQL derives from the tables
+# which rows there must be, their counts, and that all of them agree. Splits use md5, which SQL has, so they are compared whole.
 
 SPLIT_KEY = ["user_id", "item_id", "ts"]
 MD5_SPLIT = "('0x' || md5(concat_ws('|', '0', {}))[1:8])::bigint % 1000000 < 800000"
@@ -543,28 +589,38 @@ def _als_model(spark, sf, rank=als.DEFAULT_RANK):
                        seed=0)
 
 
-def _factor_check(factors, key):
-    finite = F.forall("features", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return factors.select(key, F.size("features").alias("n_factors"), finite.alias("finite"))
-
-
 def _close(a, b):
     return F.abs(a - b) <= F.lit(1e-4) * (F.lit(1.0) + F.abs(b))
 
 
 @register("fit_als", with_ctes(
-    f"select distinct user_id, {als.DEFAULT_RANK}::int as n_factors, true as finite from ratings",
+    f"select user_id, {als.DEFAULT_RANK}::int as n_factors, count(*) as n_ratings, true as stationary from ratings group by user_id",
     ratings=fx.SQL_RATINGS))
 def q_fit_als(spark, sf):
-    """The fitted model's user vectors: one per rating user, of full rank."""
-    return _factor_check(als.user_factors(_als_model(spark, sf)), "user_id")
+    """One vector per rating user. Users are solved last, so each vector x solves
+    its normal equations with the item vectors: in its own direction, over the
+    user's ratings r and predictions p, sum(p (p - r)) + reg n |x|^2 = 0."""
+    model, ratings = _als_model(spark, sf), fx.ratings(spark, sf)
+    p = _direct(model, ratings.select("user_id", "item_id", "rating"))
+    by = p.groupBy("user_id").agg(F.count("*").alias("n_ratings"), F.sum(F.col("direct") * (F.col("direct") - F.col("rating"))).alias("_g"),
+                                  F.sum(F.col("direct") * F.col("direct")).alias("_s"))
+    u = als.user_factors(model).join(by, "user_id")
+    rest = F.col("_g") + F.lit(als.DEFAULT_REG) * F.col("n_ratings") * dot("features", "features")
+    return u.select("user_id", F.size("features").alias("n_factors"), "n_ratings",
+                    (F.abs(rest) <= F.lit(1e-3) * (F.lit(1.0) + F.col("_s"))).alias("stationary"))
 
 
 @register("item_factors", with_ctes(
-    f"select distinct item_id, {als.DEFAULT_RANK}::int as n_factors, true as finite from ratings",
+    f"select item_id, {als.DEFAULT_RANK}::int as n_factors, count(*) as n_ratings, true as agrees from ratings group by item_id",
     ratings=fx.SQL_RATINGS))
 def q_item_factors(spark, sf):
-    return _factor_check(als.item_factors(_als_model(spark, sf)), "item_id")
+    """Each item's vector gives, with the vectors of the users who rated it, the
+    model's own predictions."""
+    model, ratings = _als_model(spark, sf), fx.ratings(spark, sf)
+    own = model.transform(ratings.select("user_id", "item_id"))
+    by = _direct(model, own).groupBy("item_id").agg(
+        F.count("*").alias("n_ratings"), F.bool_and(_close(F.col("prediction").cast("double"), F.col("direct"))).alias("agrees"))
+    return als.item_factors(model).join(by, "item_id").select("item_id", F.size("features").alias("n_factors"), "n_ratings", "agrees")
 
 
 def _direct(model, pairs):
@@ -584,42 +640,64 @@ def q_score_pairs(spark, sf):
 
 
 @register("recommend_for_users", with_ctes(
-    "select distinct user_id, true as agrees, true as ordered, true as bounded from ratings", ratings=fx.SQL_RATINGS))
+    "select distinct user_id, true as agrees from ratings", ratings=fx.SQL_RATINGS))
 def q_recommend_for_users(spark, sf):
-    """Per user: scores equal the dot products, descend with the rank, are
-    positive, of different items, and 20 at most."""
+    """Per user: the list has the scores of Spark ML's own full product, rank by
+    rank, its items' dot products are those scores, and no item comes twice. A
+    rank that one of the two lists lacks is a mismatch."""
     model = _als_model(spark, sf)
-    recs = _direct(model, als.recommend_for_users(model, k=20))
-    before = F.lag("score").over(Window.partitionBy("user_id").orderBy("rank"))
-    recs = recs.withColumn("_down", F.coalesce(before >= F.col("score"), F.lit(True)))
-    by = recs.groupBy("user_id").agg(
-        F.bool_and(_close(F.col("score"), F.col("direct"))).alias("agrees"),
-        F.bool_and("_down").alias("ordered"),
-        ((F.count("*") <= 20) & (F.count("*") == F.countDistinct("item_id")) & (F.min("score") > 0)
-         & (F.max("rank") == F.count("*"))).alias("bounded"))
+    own = _direct(model, als.recommend_for_users(model, k=20))
+    full = model.recommendForAllUsers(20).select("user_id", F.posexplode("recommendations").alias("pos", "r")).select(
+        "user_id", (F.col("pos") + 1).alias("rank"), F.col("r.rating").cast("double").alias("_full")).where("_full > 0")
+    both = own.join(full, ["user_id", "rank"], "full")
+    fine = _close(F.col("score"), F.col("_full")) & _close(F.col("score"), F.col("direct"))
+    by = both.groupBy("user_id").agg((F.bool_and(F.coalesce(fine, F.lit(False))) & (F.count("item_id") == F.countDistinct("item_id"))).alias("agrees"))
     users = fx.ratings(spark, sf).select("user_id").distinct()
-    return users.join(by, "user_id", "left").fillna(True).select("user_id", "agrees", "ordered", "bounded")
+    # a user in neither list has no positive prediction
+    return users.join(by, "user_id", "left").select("user_id", F.coalesce("agrees", F.lit(True)).alias("agrees"))
+
+
+def _plain_neighbours(f, threshold, tiles=4):
+    """(item_id, n, total): neighbours above the threshold and the sum of their
+    cosines, by plain products of every tile with every other."""
+    import numpy as np
+    import pandas as pd
+
+    v = f.select("item_id", "features", F.pmod("item_id", F.lit(tiles)).alias("t"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
+    left, right = v.withColumn("o", every), v.select("item_id", "features", every.alias("t"), F.col("t").alias("o"))
+
+    def count(a, b):
+        x, y = (np.array(d["features"].tolist(), float).reshape(len(d), -1) for d in (a, b))
+        if not len(x) or not len(y):
+            return pd.DataFrame({"item_id": [], "n": [], "total": []})
+        with np.errstate(invalid="ignore", divide="ignore"):
+            s = (x @ y.T) / np.sqrt((x * x).sum(1))[:, None] / np.sqrt((y * y).sum(1))[None]
+        hit = (s > threshold) & (a["item_id"].to_numpy()[:, None] != b["item_id"].to_numpy()[None])
+        return pd.DataFrame({"item_id": a["item_id"], "n": hit.sum(1), "total": np.where(hit, s, 0).sum(1)})
+
+    each = left.groupBy("t", "o").cogroup(right.groupBy("t", "o")).applyInPandas(count, "item_id int, n long, total double")
+    return each.groupBy("item_id").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
 @register("similar_items_from_factors", with_ctes(
     "select distinct item_id, true as agrees, true as mutual from ratings", ratings=fx.SQL_RATINGS))
 def q_similar_items_from_factors(spark, sf):
     """The reference's item-similarity job (ALS item factors, cosine > 0.6).
-    Per item: each similarity equals the cosine of the two vectors and is above
-    the threshold, and each pair stands in both directions."""
+    Per item: as many neighbours, of the same similarities in sum, as plain
+    products of all vectors give, and each pair stands in both directions."""
     f = als.item_factors(_als_model(spark, sf))
     path = scratch_path(spark, "factors")
     writers.write_table(f, path)
     f = readers.read_table(spark, path)
     sim = similarity.similar_items(f, threshold=0.6)
     back = sim.select(F.col("other_id").alias("item_id"), F.col("item_id").alias("other_id"), F.lit(True).alias("_back"))
-    sim = sim.join(back, ["item_id", "other_id"], "left")
-    sim = sim.join(f.select("item_id", F.col("features").alias("_a")), "item_id")
-    sim = sim.join(f.select(F.col("item_id").alias("other_id"), F.col("features").alias("_b")), "other_id")
-    cos = cosine_similarity("_a", "_b")
-    by = sim.groupBy("item_id").agg(F.bool_and(_close(F.col("sim"), cos) & (F.col("sim") > 0.6)).alias("agrees"),
-                                    F.bool_and(F.col("_back").isNotNull()).alias("mutual"))
-    return f.select("item_id").join(by, "item_id", "left").fillna(True).select("item_id", "agrees", "mutual")
+    by = sim.join(back, ["item_id", "other_id"], "left").groupBy("item_id").agg(
+        F.count("*").alias("_n"), F.sum("sim").alias("_s"), F.bool_and(F.col("_back").isNotNull()).alias("_mutual"))
+    both = _plain_neighbours(f, 0.6).join(by, "item_id", "left")
+    n, total = F.coalesce("_n", F.lit(0)), F.coalesce("_s", F.lit(0.0))
+    return both.select("item_id", ((n == F.col("n")) & _close(total, F.col("total"))).alias("agrees"),
+                       (F.coalesce("_mutual", F.lit(False)) | (F.col("n") == 0)).alias("mutual"))
 
 
 @register("split_train_test", with_ctes(
@@ -630,28 +708,65 @@ def q_split_train_test(spark, sf):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-def _grid(spark, sf):
-    train, test = als.split_train_test(fx.ratings(spark, sf), 0.8, seed=0, key=SPLIT_KEY)
-    return als.grid_search_als(train, test, seed=0, parallelism=4)
+def _held_out(spark, sf):
+    return als.split_train_test(fx.ratings(spark, sf), 0.8, seed=0, key=SPLIT_KEY)
 
 
-@register("grid_search_als",
-          f"select r.rank, g.reg_param, true as measured from {fx.sql_values([(r,) for r in als.GRID_RANKS], ['rank'], 'r')},"
-          f" (select reg_param::double as reg_param from {fx.sql_values([(g,) for g in als.GRID_REGS], ['reg_param'], 'x')}) g")
-def q_grid_search_als(spark, sf):
-    """The reference's 4 x 4 grid, each point with a finite, positive error."""
-    fine = F.col("rmse").isNotNull() & (F.col("rmse") > 0) & (F.col("rmse") < 100)
-    return _grid(spark, sf).select("rank", "reg_param", fine.alias("measured"))
+def _trial_path(spark, sf):
+    """One trial table for all queries on the same tables."""
+    return f"{checkpoint_root(spark)}/als-trials"
+
+
+_KNOWN_PAIRS_SQL = (
+    "select count(*) as n from ratings r where not ({0}) and exists (select 1 from ratings t where t.user_id = r.user_id and {1})"
+    " and exists (select 1 from ratings t where t.item_id = r.item_id and {1})").format(
+    RATING_SPLIT_SQL, MD5_SPLIT.format("t.user_id::varchar, t.item_id::varchar, t.ts::varchar"))
 
 
-@register("best_params", "select true as in_grid, true as least")
+@register("grid_search_als", with_ctes(
+    f"select r.rank, g.reg_param, k.n as n_test, true as agrees from {fx.sql_values([(r,) for r in als.GRID_RANKS], ['rank'], 'r')},"
+    f" (select reg_param::double as reg_param from {fx.sql_values([(g,) for g in als.GRID_REGS], ['reg_param'], 'x')}) g, k",
+    ratings=fx.SQL_RATINGS, k=_KNOWN_PAIRS_SQL))
+def q_grid_search_als(spark, sf):
+    """The reference's 4 x 4 grid, fitted anew. Each point's error is held
+    against one computed from its vectors by joins, over the held-out ratings
+    whose user and item were trained."""
+    train, test = _held_out(spark, sf)
+    pairs = test.select("user_id", "item_id", "rating")
+    direct = []
+
+    def check(dealt, points, users, items):
+        on = ["rank", "reg_param"]
+        u = als_grid.point_factors(users, points).select(F.col("id").alias("user_id"), *on, F.col("features").alias("_u"))
+        i = als_grid.point_factors(items, points).select(F.col("id").alias("item_id"), *on, F.col("features").alias("_i"))
+        p = pairs.join(u, "user_id").join(i, ["item_id", *on])
+        error = F.pow(dot("_u", "_i") - F.col("rating"), 2)
+        path = scratch_path(spark, "als-check")
+        p.groupBy(*on).agg(F.sqrt(F.avg(error)).alias("direct"), F.count("*").alias("n")).write.parquet(path)
+        direct.append(spark.read.parquet(path))
+
+    grid = als.grid_search_als(train, test, seed=0, on_pass=check)
+    want = direct[0]
+    for d in direct[1:]:
+        want = want.unionByName(d)
+    fine = _close(F.col("rmse"), F.col("direct")) & (F.col("n") == F.col("n_test"))
+    return grid.join(want, ["rank", "reg_param"]).select("rank", "reg_param", "n_test", fine.alias("agrees"))
+
+
+@register("best_params", with_ctes(
+    f"select {len(als.GRID_RANKS) * len(als.GRID_REGS)}::bigint as n_points, k.n as n_test, true as in_grid, true as least from k",
+    ratings=fx.SQL_RATINGS, k=_KNOWN_PAIRS_SQL))
 def q_best_params(spark, sf):
-    grid = _grid(spark, sf)
-    best = als.best_params(grid)
-    least = grid.agg(F.min("rmse").alias("_least"))
-    return best.join(F.broadcast(least), F.lit(True)).select(
-        (F.col("rank").isin(als.GRID_RANKS) & F.col("reg_param").isin(als.GRID_REGS)).alias("in_grid"),
-        (F.col("rmse") == F.col("_least")).alias("least"))
+    """The best point of the trial table, which the grid fills or goes on
+    filling where points are missing, against the least error in it."""
+    train, test = _held_out(spark, sf)
+    path = _trial_path(spark, sf)
+    grid = als.grid_search_als(train, test, seed=0, trials=path)
+    stored = als.read_trials(spark, path).where((F.col("data") == als.data_key(train, test)) & (F.col("seed") == 0))
+    least = stored.agg(F.min("rmse").alias("_least"), F.countDistinct("rank", "reg_param").alias("n_points"))
+    return als.best_params(grid).join(least, F.col("rmse") == F.col("_least"), "left").select(
+        "n_points", "n_test", (F.col("rank").isin(als.GRID_RANKS) & F.col("reg_param").isin(als.GRID_REGS)).alias("in_grid"),
+        F.col("_least").isNotNull().alias("least"))
 
 
 @register("rmse", with_ctes(
@@ -686,37 +801,81 @@ TRAINING_CTES = dict(
 )
 
 
+def _margins(models, rows):
+    """Rows with ``_m``, the margins of their target's classes in order, by a
+    join of rows and single classes."""
+    x = vector_to_array("features")
+    each = rows.select("target_id", "minute", "label", x.alias("_x")).join(models, "target_id")
+    m = F.struct("class", (F.col("intercept") + dot("coefficients", "_x")).alias("g"))
+    return each.groupBy("target_id", "minute", "label").agg(F.sort_array(F.collect_list(m)).alias("_s")).select(
+        "target_id", "minute", "label", F.transform("_s", lambda s: s["g"]).alias("_m"))
+
+
+def _log_loss(models, rows, name):
+    """(target_id, name): mean log-loss of every target's model."""
+    top = F.array_max("_m")
+    total = F.aggregate("_m", F.lit(0.0), lambda a, m: a + F.exp(m - top))
+    loss = F.log(total) + top - F.element_at("_m", F.col("label").cast("int") + 1)
+    return _margins(models, rows).groupBy("target_id").agg(F.avg(loss).alias(name))
+
+
 @register("fit_congestion_classifier", with_ctes(
-    f"select distinct target_id, c::int as class, {N_SLOTS} as n_coefficients, true as finite"
-    f" from g, range({congestion.DEFAULT_CLASSES}) as k(c) where {ROW_SPLIT_SQL}", **TRAINING_CTES))
+    f"select t.target_id, t.n as n_train, c::int as class, {N_SLOTS} as n_coefficients, true as agrees"
+    f" from (select target_id, count(*) as n from g where {ROW_SPLIT_SQL} group by target_id) t,"
+    f" range({congestion.DEFAULT_CLASSES}) as k(c)", **TRAINING_CTES))
 def q_fit_congestion_classifier(spark, sf):
-    """One model per target: a finite weight per class and feature."""
-    m = congestion.fit_per_target(_stored_rows(spark, sf), fx.TEST_CAMERAS)
-    finite = F.forall(F.array_append("coefficients", F.col("intercept")), lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return m.select("target_id", "class", F.size("coefficients").alias("n_coefficients"), finite.alias("finite"))
+    """One model per target, all fitted together: its log-loss on the training
+    rows is that of Spark ML's own fit of the target, or lower."""
+    rows = _stored_rows(spark, sf)
+    models = congestion.fit_per_target(rows, fx.TEST_CAMERAS)
+    train, _ = als.split_train_test(rows, 0.8, 0, congestion.SPLIT_KEY)
+    other = []
+    for t in [r[0] for r in train.select("target_id").distinct().collect()]:  # the configured cameras
+        m = congestion.fit_congestion_classifier(train.where(F.col("target_id") == F.lit(t)))
+        weights, bias = m.coefficientMatrix.toArray().tolist(), m.interceptVector.toArray().tolist()
+        other += [(t, k, float(bias[k]), weights[k]) for k in range(len(bias))]
+    theirs = spark.createDataFrame(other, congestion.MODEL_SCHEMA)
+    both = _log_loss(models, train, "own").join(_log_loss(theirs, train, "ml"), "target_id")
+    n = train.groupBy("target_id").agg(F.count("*").alias("n_train"))
+    return models.join(both, "target_id").join(n, "target_id").select(
+        "target_id", "n_train", "class", F.size("coefficients").alias("n_coefficients"),
+        (F.col("own") <= F.col("ml") * 1.01 + 1e-3).alias("agrees"))
 
 
 @register("predict_congestion", with_ctes(
-    f"select target_id, minute, {_class_sql('v')} as label, true as a_class from g where not ({ROW_SPLIT_SQL})",
+    f"select target_id, minute, {_class_sql('v')} as label, true as agrees from g where not ({ROW_SPLIT_SQL})",
     **TRAINING_CTES))
 def q_predict_congestion(spark, sf):
-    """Every target's held-out rows with a prediction of its model."""
+    """Every target's held-out rows: the prediction is the class of the largest
+    margin, taken class by class."""
     rows = _stored_rows(spark, sf)
-    models = congestion.fit_per_target(rows, fx.TEST_CAMERAS)
+    path = scratch_path(spark, "models")
+    writers.write_table(congestion.fit_per_target(rows, fx.TEST_CAMERAS), path)
+    models = spark.read.parquet(path)
     _, test = als.split_train_test(rows, 0.8, 0, congestion.SPLIT_KEY)
-    out = congestion.predict_per_target(models, test)
-    fine = F.col("prediction").isin([float(k) for k in range(congestion.DEFAULT_CLASSES)])
-    return out.select("target_id", "minute", "label", fine.alias("a_class"))
+    out = congestion.predict_per_target(models, test).select("target_id", "minute", "label", "prediction")
+    # margins that tie within rounding may go either way
+    own = _margins(models, test).select("target_id", "minute", "_m")
+    return out.join(own, ["target_id", "minute"]).select(
+        "target_id", "minute", "label",
+        (F.element_at("_m", F.col("prediction").cast("int") + 1) >= F.array_max("_m") - 1e-9).alias("agrees"))
 
 
 @register("congestion_accuracy", with_ctes(
     f"select target_id, count(*) filter (where {ROW_SPLIT_SQL}) as n_train,"
-    f" count(*) filter (where not ({ROW_SPLIT_SQL})) as n_test, true as a_share from g group by target_id",
+    f" count(*) filter (where not ({ROW_SPLIT_SQL})) as n_test, true as agrees from g group by target_id",
     **TRAINING_CTES))
 def q_congestion_accuracy(spark, sf):
-    """Held-out accuracy of each target camera's model."""
-    out = congestion.evaluate_per_target(_stored_rows(spark, sf), fx.TEST_CAMERAS)
-    return out.select("target_id", "n_train", "n_test", F.col("accuracy").between(0.0, 1.0).alias("a_share"))
+    """Held-out accuracy of each target camera's model, against the share of
+    hits among the held-out predictions."""
+    rows = _stored_rows(spark, sf)
+    out = congestion.evaluate_per_target(rows, fx.TEST_CAMERAS)
+    _, test = als.split_train_test(rows, 0.8, 0, congestion.SPLIT_KEY)
+    hits = congestion.predict_per_target(congestion.fit_per_target(rows, fx.TEST_CAMERAS), test).groupBy("target_id").agg(
+        F.count_if(F.col("prediction") == F.col("label")).alias("hits"), F.count("*").alias("n"))
+    share = F.try_divide(F.col("hits"), F.col("n"))
+    return out.join(hits, "target_id", "left").select("target_id", "n_train", "n_test", (
+        F.coalesce(_close(F.col("accuracy"), share), F.col("accuracy").isNull() & (F.col("n_test") == 0))).alias("agrees"))
 
 
 # accuracy of the persistence predictor: class of the target's own previous bucket
@@ -742,9 +901,10 @@ def q_accuracy(spark, sf):
 STREAM_CHUNKS = 3
 
 
-def _drain_in_chunks(spark, lines, start_query):
+def _drain_in_chunks(spark, lines, start_query, after_chunk):
     """``lines`` (value, chunk): write them in one pass, then move chunk after
-    chunk into a fresh source folder and run the query to completion."""
+    chunk into a fresh source folder and run the query to completion; then the
+    table's upkeep, ``after_chunk``."""
     staged, src = scratch_path(spark, "stream-chunks"), scratch_path(spark, "stream-source")
     lines.select("value", "chunk").write.partitionBy("chunk").text(staged)
     jvm = spark.sparkContext._jvm
@@ -758,6 +918,7 @@ def _drain_in_chunks(spark, lines, start_query):
             q.awaitTermination()
             if q.exception() is not None:
                 raise RuntimeError(str(q.exception()))
+            after_chunk()
 
 
 @register("stream_camera_minutes", ORACLES["camera_minute_totals"])
@@ -768,25 +929,28 @@ def q_stream_camera_minutes(spark, sf):
 
     def start(src):
         return streams.stream_camera_minutes(readers.read_stream(spark, "text", path=src), out, ckpt, bucket=TEST_BUCKET,
-                                             trigger={"availableNow": True}, speed_type="double", compact_every=2)
+                                             trigger={"availableNow": True}, speed_type="double")
 
     ev = fx.car_events(spark, sf)
     lines = writers.to_event_json(ev, ["camera_id", "car_id", "event_time", "speed", "road_id"])
     chunk = F.pmod(F.xxhash64("value"), F.lit(STREAM_CHUNKS)).cast("int")
-    _drain_in_chunks(spark, lines.withColumn("chunk", chunk), start)
-    view = streams.minute_totals_view(spark, out)
+    _drain_in_chunks(spark, lines.withColumn("chunk", chunk), start, lambda: streams.fold_minute_totals(spark, out, "double"))
+    view = streams.minute_totals_view(spark, out, speed_type="double")
     return view.select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
 
 
 # Parts of the stored history; a micro-batch reads those of its users.
 STREAM_USER_BUCKETS = 16
+STREAM_ITEM_BUCKETS = 16
 
 
 def _stream_lists(spark, sf):
     """Ratings before the middle of the time range are the stored history,
     bucketed by user; the rest are streamed in time order. Returns the view of
     the users' lists: of users in the stream, as of their last rating."""
-    sim = stored_similarity(spark, sf, fx.TEST_CANDIDATE_THRESHOLD)
+    spath = scratch_path(spark, "item-sim-buckets")
+    scoring.write_similarity(fixture_similarity(spark, sf, fx.TEST_CANDIDATE_THRESHOLD), spath, STREAM_ITEM_BUCKETS)
+    sim = spark.read.schema(T.StructType([*schemas.SIMILARITY.fields, T.StructField(scoring.ITEM_BUCKET, T.IntegerType())])).parquet(spath)
     out, ckpt = scratch_path(spark, "stream-recs"), scratch_path(spark, "stream-recs-ckpt")
     path, hpath = scratch_path(spark, "ratings"), scratch_path(spark, "history")
     writers.write_table(fx.ratings(spark, sf), path)
@@ -808,9 +972,9 @@ def _stream_lists(spark, sf):
     def start(src):
         return streams.stream_recommend(readers.read_stream(spark, "text", path=src), sim, history, out, ckpt,
                                         min_sim=fx.TEST_SCORE_THRESHOLD, trigger={"availableNow": True},
-                                        history_buckets=STREAM_USER_BUCKETS, compact_every=2)
+                                        history_buckets=STREAM_USER_BUCKETS, sim_buckets=STREAM_ITEM_BUCKETS)
 
-    _drain_in_chunks(spark, lines, start)
+    _drain_in_chunks(spark, lines, start, lambda: streams.fold_recommendations(spark, out))
     return streams.user_recs_view(spark, out)
 
 

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
-from ..operators import als, congestion, similarity, stats, traffic
+from ..operators import als, congestion, scoring, similarity, stats, traffic
 from ..session import get_session, scratch_path, shuffle_partitions_for
 from ..sources import readers, writers
 from ..streaming import streams
@@ -37,6 +37,9 @@ AVERAGE_SCORES = "AverageMoviesScore"
 GENRES_TOP = "GenresTopMovies"
 USER_RECS = "UserRecs"
 ITEM_RECS = "MovieRecs"
+# Tables of this library's own.
+TRIALS = "FactorTrials"
+BEST_PARAMS = "FactorBestParams"
 
 
 def _path(out: str, name: str) -> str:
@@ -109,10 +112,11 @@ def run_offline(ratings: DataFrame, out: str, rank: int = als.DEFAULT_RANK, iter
 
 def run_als_tuning(ratings: DataFrame, ranks=als.GRID_RANKS, regs=als.GRID_REGS,
                    iterations: int = als.DEFAULT_ITERATIONS, fraction: float = 0.8, seed: int = 0,
-                   parallelism: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(grid, best): held-out RMSE of every (rank, reg) and the best row."""
+                   trials: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(grid, best): held-out RMSE of every (rank, reg) and the best row. Run
+    again with the same ``trials`` table, a stopped grid goes on."""
     train, test = als.split_train_test(ratings, fraction, seed, key=["user_id", "item_id", "ts"])
-    grid = als.grid_search_als(train, test, ranks, regs, iterations, seed, parallelism)
+    grid = als.grid_search_als(train, test, ranks, regs, iterations, seed, trials)
     return grid, als.best_params(grid)
 
 
@@ -125,8 +129,7 @@ def replay_camera_events(spark: SparkSession, text_path: str, out: str | None =
 
 
 def run_congestion_training(totals: DataFrame, relations: DataFrame, as_of=None, hours: float = 5,
-                            bucket: str = "1 minute", targets=None, fraction: float = 0.8, seed: int = 0,
-                            parallelism: int = 8) -> DataFrame:
+                            bucket: str = "1 minute", targets=None, fraction: float = 0.8, seed: int = 0) -> DataFrame:
     """Per target camera: training rows of the look-back (stored once), one
     multinomial classifier, held-out accuracy -> (target_id, n_train, n_test,
     accuracy). ``targets`` defaults to those of the configured graph."""
@@ -135,8 +138,7 @@ def run_congestion_training(totals: DataFrame, relations: DataFrame, as_of=None,
     writers.write_table(rows, path)
     if targets is None:
         targets = [r[0] for r in relations.select("target_id").distinct().orderBy("target_id").collect()]  # a parameter table
-    return congestion.evaluate_per_target(rows.sparkSession.read.parquet(path), targets, fraction, seed,
-                                          parallelism=parallelism)
+    return congestion.evaluate_per_target(rows.sparkSession.read.parquet(path), targets, fraction, seed)
 
 
 def input_bytes(spark: SparkSession, *paths: str) -> int:
@@ -169,11 +171,19 @@ def main(argv=None) -> int:
     job("load", "items_csv", "ratings_csv", "tags_csv", "out")
     job("statistics", "tables", "out")
     job("offline", "tables", "out")
-    job("tune", "tables")
+    p = job("tune", "tables", "out")
+    p.add_argument("--ranks", type=int, nargs="+", default=als.GRID_RANKS)
+    p.add_argument("--regs", type=float, nargs="+", default=als.GRID_REGS)
     job("replay", "text", "out")
     p = job("traffic", "messages", "out", "checkpoint")
     p.add_argument("--bucket", default="1 minute")
     q = job("recommend", "messages", "similarity", "history", "out", "checkpoint")
+    q.add_argument("--history-buckets", type=int, help="the history is partitioned by so many user buckets")
+    q.add_argument("--similarity-buckets", type=int, help="the similarity table is partitioned by so many item buckets")
+    p2 = job("bucket", "table", "kind", "out", "buckets")
+    p2.description = "Store a rating history (kind history) or similarity table (kind similarity) for --*-buckets."
+    p3 = job("fold", "kind", "out")
+    p3.description = "Bring older batches of a stream's output (kind traffic or recommend) into its base tables."
     for x in (p, q):
         x.add_argument("--format", default="text")
         x.add_argument("--option", action="append", default=[], help="name=value of the stream source")
@@ -196,9 +206,8 @@ def main(argv=None) -> int:
         elif a.job == "offline":
             run_offline(ratings, a.out)
         else:
-            grid, best = run_als_tuning(ratings)
-            grid.show()
-            best.show()
+            _, best = run_als_tuning(ratings, a.ranks, a.regs, trials=_path(a.out, TRIALS))
+            writers.write_table(best, _path(a.out, BEST_PARAMS))
     elif a.job == "replay":
         replay_camera_events(spark, a.text, a.out)
     elif a.job in ("traffic", "recommend"):
@@ -210,8 +219,14 @@ def main(argv=None) -> int:
                                                   trigger or streams.TRAFFIC_TRIGGER, on_error="drop")
         else:
             query = streams.stream_recommend(source, spark.read.parquet(a.similarity), spark.read.parquet(a.history), a.out,
-                                             a.checkpoint, trigger=trigger or streams.RECOMMEND_TRIGGER, on_error="drop")
+                                             a.checkpoint, trigger=trigger or streams.RECOMMEND_TRIGGER, on_error="drop",
+                                             history_buckets=a.history_buckets, sim_buckets=a.similarity_buckets)
         query.awaitTermination()
+    elif a.job == "bucket":
+        write = {"history": scoring.write_history, "similarity": scoring.write_similarity}[a.kind]
+        write(spark.read.parquet(a.table), a.out, int(a.buckets))
+    elif a.job == "fold":
+        {"traffic": streams.fold_minute_totals, "recommend": streams.fold_recommendations}[a.kind](spark, a.out)
     elif a.job == "congestion":
         totals = streams.minute_totals_view(spark, a.totals)
         relations = readers.read_table(spark, a.relations, schemas.RELATIONS)

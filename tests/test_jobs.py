@@ -103,6 +103,36 @@ def test_cli_streams_and_training(spark, sf_small):
     assert [r["value"] for r in streams.rejected_view(spark, recs).collect()] == ["bad"]
 
 
+def test_cli_grid_folds_and_buckets(spark, sf_small):
+    """The stored trial table, the upkeep of a stream's output and the bucketed
+    tables, by their command lines."""
+    from reco_traffic.operators import als
+    from reco_traffic.streaming import streams
+
+    stored, out = scratch_path(spark, "cli-tables"), scratch_path(spark, "cli-grid")
+    writers.write_table(fx.ratings(spark, sf_small), f"{stored}/{jobs.RATINGS_TABLE}")
+    for _ in range(2):  # the second run finds every point
+        assert jobs.main(["tune", stored, out, "--ranks", "2", "3", "--regs", "0.1"]) == 0
+    trials = als.read_trials(spark, f"{out}/{jobs.TRIALS}")
+    assert trials.count() == 2
+    best = spark.read.parquet(f"{out}/{jobs.BEST_PARAMS}").first()
+    assert best["rmse"] == trials.agg(F.min("rmse")).first()[0]
+
+    sim, hist = scratch_path(spark, "cli-sim"), scratch_path(spark, "cli-hist")
+    writers.write_table(spark.createDataFrame([(10, 11, 0.9), (11, 10, 0.9)], "item_id int, other_id int, sim double"), sim)
+    writers.write_table(spark.createDataFrame([(2, 11, 5.0, 1)], fx_ratings_schema()), hist)
+    assert jobs.main(["bucket", sim, "similarity", sim + "-b", "4"]) == 0
+    assert jobs.main(["bucket", hist, "history", hist + "-b", "4"]) == 0
+    lines, recs, ckpt = (scratch_path(spark, x) for x in ("cli-lines", "cli-recs", "cli-ckpt"))
+    for i, line in enumerate(["1|10|4.0|5", "2|10|4.0|6"]):
+        spark.createDataFrame([(line,)], "value string").write.mode("append").text(lines)
+        assert jobs.main(["recommend", lines, sim + "-b", hist + "-b", recs, ckpt, "--once", "--history-buckets", "4",
+                          "--similarity-buckets", "4"]) == 0
+    assert jobs.main(["fold", "recommend", recs]) == 0
+    view = {r["user_id"]: [x["item_id"] for x in r["recs"]] for r in streams.user_recs_view(spark, recs).collect()}
+    assert view == {1: [11], 2: []}  # user 2 has rated 11
+
+
 def fx_ratings_schema():
     from reco_traffic import schemas
 

@@ -131,9 +131,9 @@ def test_recent_ratings_k_and_as_of(spark):
     assert scoring.recent_ratings(hist, 20).count() == 20
 
 
-def test_recent_ratings_three_ways(spark):
-    """Broadcast events, salted history and a plain computation agree, also
-    when later ratings exist; the limit runs below the history's shuffle."""
+def test_recent_ratings_as_of_equal_a_plain_computation(spark):
+    """Whatever the salts, also when later ratings exist; each part of a history
+    is cut below the shuffle on user."""
     import random
 
     rng = random.Random(1)
@@ -144,18 +144,13 @@ def test_recent_ratings_three_ways(spark):
     for u, t in ((1, 20), (2, 39)):
         own = sorted((r for r in data if r[0] == u and r[3] <= t), key=lambda r: (-r[3], r[1], -r[2]))
         want += own[:7]
-    small = scoring.recent_ratings(hist, 7, ev)
-    split = scoring.recent_ratings(hist, 7, ev, broadcast_events=1, salts=4)
     key = lambda df: sorted(tuple(r) for r in df.collect())
-    assert key(small) == key(split) == sorted(want)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = scoring.recent_ratings(hist, 7, ev)._jdf.queryExecution().executedPlan().toString().split("\n")
-        limits = [i for i, x in enumerate(plan) if "WindowGroupLimit" in x]
-        exchange = [i for i, x in enumerate(plan) if "Exchange hashpartitioning" in x]
-        assert len(exchange) == 1 and limits[0] < exchange[0] < limits[-1]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for salts in (1, 4, 16):
+        assert key(scoring.recent_ratings(hist, 7, ev, salts=salts)) == sorted(want)
+    plan = scoring.recent_ratings(hist, 7, ev)._jdf.queryExecution().executedPlan().toString().split("\n")
+    by_user = [i for i, x in enumerate(plan) if "Exchange hashpartitioning(user_id" in x and "_part" not in x]
+    limits = [i for i, x in enumerate(plan) if "WindowGroupLimit" in x]
+    assert len(by_user) == 1 and limits[0] < by_user[0] < limits[-1]
 
 
 def test_evidence_joins_candidates_to_recents_first(spark):
