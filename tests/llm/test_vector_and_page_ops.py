@@ -95,6 +95,37 @@ def test_links_equal_brute_force(spark, options):
     assert got[None]["component_id"] is None and len(got) == 308
 
 
+def test_distances_per_vector_grow_slower_than_vectors():
+    """Isotropic vectors of 64 dimensions, the worst case: the pairs held against
+    each other in a block, at n and at 8 n, against all pairs."""
+    rng, radius, taken = np.random.default_rng(0), (0.1 * 8 / 64) ** 0.5, {}
+    for n in (2000, 16000):
+        y = A.unit(rng.normal(size=(n, 64)))[:, :8]
+        taken[n] = sum(len(i) * len(j) for i, j in E.near_parts(y, y, radius))
+        assert taken[n] < 0.5 * n * n
+    assert taken[16000] / 16000 < 8 * 0.6 * taken[2000] / 2000
+
+
+def test_near_parts_lose_no_pair():
+    rng = np.random.default_rng(1)
+    y, y2 = rng.normal(size=(700, 3)), rng.normal(size=(900, 3))
+    y[:200] = y[0]  # many equal ones can't be split
+    near = {(a, b) for i, j in E.near_parts(y, y2, 0.3, leaf=20) for a, b in zip(*(x.ravel() for x in np.meshgrid(i, j, indexing="ij")))}
+    d = ((y[:, None] - y2[None]) ** 2).sum(2)
+    assert {(a, b) for a, b in zip(*np.nonzero(d <= 0.09))} <= near
+
+
+def test_crowded_cells_are_cut_deeper(spark):
+    x = vectors(5, 400, 16)
+    df = frame(spark, x).selectExpr("vec_id as node", "1L as n", "embedding as v")
+    codes, along = E.depths(df, 16, 0.95, 8, 2, 3.0, 10)
+    assert len(codes) and (along > 2).all() and (along <= 8).all()
+    p = E.probes(df, 16, 0.95, 8, 2, 3.0, (codes, along)).where("home")
+    flat = E.probes(df, 16, 0.95, 8, 2, 3.0, (np.zeros(0, np.int64), np.zeros(0, np.int64))).where("home")
+    most = lambda d: d.groupBy("block", "cell").count().agg({"count": "max"}).first()[0]
+    assert p.count() == flat.count() == 800 and most(p) < most(flat) / 2
+
+
 def test_no_vectors(spark):
     assert E.near_duplicates(spark.createDataFrame([], V)).count() == 0
 
