@@ -29,7 +29,8 @@ texts are read a second time for those windows.
 
 Null and empty texts have no spans and stay as they are. Rows are named by
 (doc_id, hash of id and text): rows that repeat both are one document and are
-treated alike; a null doc_id comes first in order. Other columns pass through.
+treated alike; a null doc_id comes first in order. Other columns pass through,
+whatever their names: a row travels as one struct.
 """
 
 from __future__ import annotations
@@ -216,38 +217,36 @@ def repeated(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> D
 
 
 def cut(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """Rows of docs with ``_text``, what stays, and ``_runs``, the byte ranges
-    [start, end) removed: null where nothing is."""
+    """(row, text, runs): the rows of docs, each as one struct, what stays of the
+    text, and the byte ranges [start, end) removed, null where nothing is."""
     gone = repeated(docs, span, min_words).groupBy("doc_id", "_h").agg(F.collect_set(F.struct("at", "n", "span")).alias("_at"))  # of one document
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("_h").alias("_key"), "_at")
-    h = F.xxhash64("doc_id", "text")
-    d = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (h == gone["_key"]), "left")
-    names, schema = docs.columns, docs.schema
+    d = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].cast("string").alias("text"),
+                    docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["doc_id"], docs["text"]).alias("_h"))
+    d = d.join(gone, d["doc_id"].eqNullSafe(gone["_id"]) & (d["_h"] == gone["_key"]), "left").select("row", "text", "_at")
     ranges = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
         for batch in batches:
             for part in chunks(batch, "text"):
-                texts, at = part.column(part.schema.get_field_index("text")), part.column(part.schema.get_field_index("_at"))
-                out = [without(t.as_py(), *(a.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))) for t, a in zip(texts, at)]
-                cols = [part.column(part.schema.get_field_index(c)) for c in names]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([x for x, _ in out], pa.string()), pa.array([r for _, r in out], ranges)], names=[*names, "_text", "_runs"])
+                out = [without(t.as_py(), *(a.values.field(k).to_numpy(zero_copy_only=False) for k in range(3))) for t, a in zip(part.column(1), part.column(2))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x for x, _ in out], pa.string()), pa.array([r for _, r in out], ranges)], names=["row", "text", "runs"])
 
     # untouched rows need no Python
-    own = [docs[c] for c in names]
     kind = "array<struct<start: long, end: long>>"
-    full = T.StructType([*schema.fields, T.StructField("_text", T.StringType()), T.StructField("_runs", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
-    changed = d.where("_at is not null").select(*own, "_at").mapInArrow(run, full)
-    return d.where("_at is null").select(*own, F.col("text").alias("_text"), F.lit(None).cast(kind).alias("_runs")).unionByName(changed)
+    full = T.StructType([d.schema["row"], T.StructField("text", T.StringType()), T.StructField("runs", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])))])
+    changed = d.where("_at is not null").mapInArrow(run, full)
+    return d.where("_at is null").select("row", "text", F.lit(None).cast(kind).alias("runs")).unionByName(changed)
 
 
 def remove(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
     """Rows of docs with repeated passages taken out of text; n_chars, if
     there, is set anew where text changed."""
-    new = {"text": F.col("_text").cast(docs.schema["text"].dataType)}
+    row = F.col("row")
+    new = {"text": F.when(F.col("runs").isNull(), row["text"]).otherwise(F.col("text").cast(docs.schema["text"].dataType))}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_runs").isNull(), F.col("n_chars")).otherwise(F.length("_text")).cast(docs.schema["n_chars"].dataType)
-    return cut(docs, span, min_words).select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
+        new["n_chars"] = F.when(F.col("runs").isNull(), row["n_chars"]).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
+    return cut(docs, span, min_words).select(*[new.get(c, row[c]).alias(c) for c in docs.columns])
 
 
 def without(text: str, at, n, span):
@@ -289,6 +288,6 @@ def query(spark, sf_dir: str) -> DataFrame:
     """One row per document: what stays of it and how much went."""
     out = cut(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     size = lambda c: F.octet_length(F.coalesce(F.col(c), F.lit(""))).cast("long")
-    spans = F.when(F.col("_runs").isNull(), F.lit(0)).otherwise(F.size("_runs")).cast("long")
-    return out.select("doc_id", size("text").alias("n_bytes"), (size("text") - size("_text")).alias("n_removed"), spans.alias("n_spans"),
-                      F.sha2(F.encode(F.coalesce("_text", F.lit("")), "utf-8"), 256).alias("kept_sha256"), F.col("_text").alias("text"))
+    spans = F.when(F.col("runs").isNull(), F.lit(0)).otherwise(F.size("runs")).cast("long")
+    return out.select("row.doc_id", size("row.text").alias("n_bytes"), (size("row.text") - size("text")).alias("n_removed"), spans.alias("n_spans"),
+                      F.sha2(F.encode(F.coalesce("text", F.lit("")), "utf-8"), 256).alias("kept_sha256"), "text")

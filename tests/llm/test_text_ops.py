@@ -459,7 +459,7 @@ def test_mix_targets_and_copies(spark, odd, empty):
 
 
 def test_clashing_columns(spark):
-    cols = ["row", "size", "copies", "target", "_h", "node", "_class", "spans", "ids", "score"]
+    cols = ["row", "size", "copies", "target", "_h", "node", "_class", "spans", "ids", "score", "_at", "_text", "_runs", "_id", "_key", "runs", "at"]
     docs = spark.createDataFrame([(i, prose(random.Random(i % 3), 50), "a", *["v"] * len(cols)) for i in range(9)], ["doc_id", "text", "source", *cols])
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     lab = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, quality int")
