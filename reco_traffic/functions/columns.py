@@ -20,15 +20,9 @@ def epoch_seconds(ts) -> Column:
     return F.timestamp_diff("SECOND", epoch, _col(ts).cast("timestamp_ntz")).cast("long")
 
 
-def ntz_as_instant(ts) -> Column:
-    """TIMESTAMP_NTZ -> TIMESTAMP of the same wall time read as UTC, whatever
-    the session time zone (what a watermark needs, without zone shifts)."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, _col(ts).cast("timestamp_ntz")))
-
-
 def instant_as_ntz(ts) -> Column:
-    """Inverse of ``ntz_as_instant``: TIMESTAMP -> its UTC wall time as NTZ."""
+    """TIMESTAMP -> its UTC wall time as TIMESTAMP_NTZ, whatever the session time
+    zone."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), epoch)
 

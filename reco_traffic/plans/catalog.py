@@ -20,7 +20,7 @@ from ..functions.columns import congestion_class, cosine_similarity, dot, epoch_
 from ..operators import als, als_grid, congestion, parse, scoring, similarity, stats, traffic
 from ..session import checkpoint_root, scratch_path
 from ..sources import readers, writers
-from ..streaming import streams
+from ..streaming import running, streams
 from . import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -939,6 +939,22 @@ def q_stream_camera_minutes(spark, sf):
     return view.select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
 
 
+@register("stream_running_totals", ORACLES["camera_minute_totals"])
+def q_stream_running_totals(spark, sf):
+    """The same late chunks, with the totals kept as state and closed by timers."""
+    out, ckpt = scratch_path(spark, "running-totals"), scratch_path(spark, "running-ckpt")
+
+    def start(src):
+        return running.stream_running_totals(readers.read_stream(spark, "text", path=src), out, ckpt, bucket=TEST_BUCKET,
+                                             close_after="1 second", trigger={"availableNow": True})
+
+    lines = writers.to_event_json(fx.car_events(spark, sf), ["camera_id", "car_id", "event_time", "speed", "road_id"])
+    chunk = F.pmod(F.xxhash64("value"), F.lit(STREAM_CHUNKS)).cast("int")
+    _drain_in_chunks(spark, lines.withColumn("chunk", chunk), start, lambda: running.fold_running_totals(spark, out))
+    view = running.running_totals_view(spark, out)
+    return view.select("camera_id", "minute", r6("speed_total").alias("speed_total"), "car_count")
+
+
 # Parts of the stored history; a micro-batch reads those of its users.
 STREAM_USER_BUCKETS = 16
 STREAM_ITEM_BUCKETS = 16

@@ -94,9 +94,24 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+_made: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder. Results are lazy
+    and read such folders, so they stay until ``clear_scratch``."""
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete every folder that ``scratch_path`` named in this process, once the
+    results that read them have been written or collected. Returns how many."""
+    n = len(_made)
+    while _made:
+        remove_scratch(spark, _made.pop())
+    return n
 
 
 def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 200 * 2**20, cores: int | None = None) -> int:

@@ -154,3 +154,19 @@ def test_scratch_is_refused_off_local(monkeypatch, spark):
     context = types.SimpleNamespace(master="yarn", getConf=lambda: Conf(), getCheckpointDir=lambda: None)
     with pytest.raises(RuntimeError):
         session.checkpoint_root(types.SimpleNamespace(conf=Conf(), sparkContext=context))
+
+
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
+    """What a finished job wrote goes, and nothing outside the shared folder."""
+    import pytest
+
+    from reco_traffic import session
+
+    monkeypatch.setattr(session, "_made", [])
+    path = session.scratch_path(spark, "to-clear")
+    spark.range(3).write.parquet(path)
+    assert session.clear_scratch(spark) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError):
+        session.remove_scratch(spark, str(tmp_path))

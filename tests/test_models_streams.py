@@ -425,6 +425,47 @@ def test_stream_camera_minutes_equals_batch_with_late_events(spark):
     assert sorted(r["value"] for r in streams.rejected_view(spark, out).collect()) == ["junk", '{"camera_id":"c1","speed":"4"}']
 
 
+def test_running_totals_close_their_state_and_lose_nothing(spark):
+    """Three chunks of the same two hours with pauses longer than close_after:
+    every chunk opens keys that the one before had closed. State holds only
+    keys of the last chunk, the view all events."""
+    import time
+
+    from reco_traffic.operators import traffic
+    from reco_traffic.streaming import running
+
+    base = dt.datetime(2024, 1, 1, 23, 0, 0)
+    evs = [(f"c{i % 3}", base + dt.timedelta(minutes=i % 120), 10 + i % 7) for i in range(360)]
+    chunks = [evs[0::3], evs[1::3], evs[2::6], evs[5::6]]
+    out, ckpt, bad, ckpt2 = (scratch_path(spark, x) for x in ("run", "run-ckpt", "run-bad", "run-ckpt2"))
+    held = []
+
+    def start(src):
+        time.sleep(1.2)
+        q = running.stream_running_totals(spark.readStream.text(src), out, ckpt, "10 minutes", "1 second", {"availableNow": True}, on_error="drop")
+        q.awaitTermination()
+        held.append(q.lastProgress["stateOperators"][0]["numRowsTotal"] if q.lastProgress else None)
+        r = running.stream_rejected_events(spark.readStream.text(src), bad, ckpt2, {"availableNow": True})
+        r.awaitTermination()
+        assert r.exception() is None
+        return q
+
+    text = [[f'{{"camera_id":"{c}","event_time":"{t}","speed":"{s}"}}' for c, t, s in part] for part in chunks]
+    _run_chunks(spark, [text[0], text[1] + ["junk"]], start)
+    assert running.fold_running_totals(spark, out) == 2
+    tables.trim(spark, out, running.SCHEMA, "day")
+    _run_chunks(spark, text[2:], start, first=2)
+    df = spark.createDataFrame(evs, "camera_id string, event_time timestamp_ntz, speed int")
+    want = sorted(tuple(r) for r in traffic.camera_minute_totals(df, "10 minutes").collect())
+    assert sorted(tuple(r) for r in running.running_totals_view(spark, out).collect()) == want
+    rows = tables.read_rows(spark, out, running.SCHEMA, "day")
+    assert rows.select("opened").distinct().count() > 1
+    keys = len(want)
+    # a key has two rows of state, its total and its timer; closed ones have none
+    assert held and all(h is None or h <= 2 * keys for h in held)
+    assert [r["value"] for r in tables.read_batches(spark, bad, spark.createDataFrame([], "value string").schema).collect()] == ["junk"]
+
+
 def test_stream_recommend_with_bucketed_history(spark):
     """A bucket-partitioned static history gives the same lists as a plain
     one, and each batch reads only its users' buckets."""

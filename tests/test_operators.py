@@ -346,3 +346,35 @@ def test_lookback_now(spark):
     tot = _totals(spark, [("a", (now - dt.timedelta(minutes=m)).isoformat(sep=" "), 10, 1) for m in range(0, 400, 50)])
     got = traffic.lookback_window(tot, "now", hours=5, bucket="1 minute").count()
     assert got == 6  # minutes 0, 50, ..., 250 ago fall in [now - 297, now + 2]
+
+
+def test_topic_source_maps_its_start_policy():
+    """Options reach the reader; a file source has no start policy. The source
+    itself needs its connector's jar."""
+    from reco_traffic.sources import readers
+
+    class Reader:
+        def __init__(self):
+            self.options, self.kind = {}, None
+
+        def format(self, kind):  # noqa: A003
+            self.kind = kind
+            return self
+
+        def option(self, k, v):
+            self.options[k] = v
+            return self
+
+        def load(self, *path):
+            raise RuntimeError((self.kind, self.options))
+
+    class Session:
+        readStream = Reader()  # noqa: N815
+
+    for given, starting, want in [({}, "latest", "latest"), ({}, "earliest", "earliest"), ({"startingOffsets": "earliest"}, "latest", "earliest")]:
+        Session.readStream = Reader()
+        with pytest.raises(RuntimeError) as e:
+            readers.read_stream(Session(), "kafka", {"subscribe": "t", **given}, starting=starting)
+        assert e.value.args[0] == ("kafka", {"subscribe": "t", "startingOffsets": want})
+    with pytest.raises(ValueError):
+        readers.read_stream(Session(), "text", starting="latest")

@@ -54,7 +54,7 @@ def test_entry_contract(spark):
 # check of recommend_for_users plans Spark ML's full product)
 HEAVY = {"fit_als", "item_factors", "score_pairs", "recommend_for_users", "similar_items_from_factors",
          "grid_search_als", "best_params", "fit_congestion_classifier", "predict_congestion",
-         "congestion_accuracy", "stream_camera_minutes", "stream_recommend", "stream_recommend_sizes"}
+         "congestion_accuracy", "stream_camera_minutes", "stream_running_totals", "stream_recommend", "stream_recommend_sizes"}
 
 
 @pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - HEAVY))
