@@ -42,9 +42,9 @@ THRESHOLD = 0.95
 WIDTH = 8
 AXES = 2
 CELL = 3.0  # cell edge in block radii
-CROWD = 8192
+CROWD = 32768
 SHRINK = 2.0  # by how much one more coordinate is taken to thin out a cell
-LEAF = 96  # vectors of a cell that are held together against those in reach
+LEAF = 256  # vectors of a cell that are held together against those in reach
 CHUNK = 1024
 REACH = 16384
 
@@ -189,7 +189,7 @@ def links(vectors: DataFrame, width: int, threshold: float = THRESHOLD, block: i
     p = written(probes(vectors, width, threshold, block, axes, cell, deep), "probes")
     key = ["block", "cell"]
     split = p.groupBy(*key).agg(F.count("*").alias("rows"), F.count(F.when(F.col("home"), 1)).alias("homes")).where("homes > 0")
-    split = split.select(*key, F.ceil(F.col("homes") / crowd).cast("int").alias("a"), F.ceil(F.col("rows") / crowd).cast("int").alias("b"))
+    split = split.select(*key, F.ceil(F.col("homes") / crowd).cast("int").alias("a"), F.ceil(F.col("rows") / (4 * crowd)).cast("int").alias("b"))
     p = p.join(split, key)
     spot = lambda parts, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(parts)).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
