@@ -36,13 +36,23 @@ PHRASES = {
     "mit license": "mit",
 }
 
+# The notice of the GNU licences, and its variants.
+GNU_NOTICE = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0}General Public License as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0}General Public License for more details."
+GNU_VARIANTS = [
+    ("gpl-2.0-or-later", "", "2"),
+    ("gpl-3.0-or-later", "", "3"),
+    ("lgpl-2.1-or-later", "Lesser ", "2.1"),
+    ("lgpl-3.0-or-later", "Lesser ", "3"),
+    ("agpl-3.0-or-later", "Affero ", "3"),
+]
+
 # Notices as their licences give them, and SPDX identifiers.
 TEMPLATES = [
     ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
     ("gpl-3.0", "licensed under the GNU General Public License, version 3"),
     ("gpl-2.0", "licensed under the GNU General Public License, version 2"),
-    ("gpl-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    *((label, GNU_NOTICE.format(name, version)) for label, name, version in GNU_VARIANTS),
     ("cc-by-4.0", "Licensed under CC BY 4.0"),
     ("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0"),
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0"),
@@ -55,6 +65,23 @@ TEMPLATES = [
     ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
 ]
 
+# Words that tell the variants of a notice apart: those that a
+# span must hold, and those that it must not.
+TELLS = {
+    "apache-2.0": ("2", ""),
+    "gpl-2.0": ("2", "3 lesser library affero"),
+    "gpl-3.0": ("3", "2 lesser library affero"),
+    "gpl-2.0-or-later": ("2", "1 3 lesser library affero"),
+    "gpl-3.0-or-later": ("3", "2 lesser library affero"),
+    "lgpl-2.1-or-later": ("lesser 2 1", "3 affero"),
+    "lgpl-3.0-or-later": ("lesser 3", "2 affero"),
+    "agpl-3.0-or-later": ("affero 3", "2 lesser"),
+    "cc-by-4.0": ("4", "sa nc nd sharealike noncommercial noderivatives"),
+    "cc-by-sa-4.0": ("sa 4", "nc nd"),
+    "cc-by-nc-4.0": ("nc 4", "sa nd"),
+    "mpl-2.0": ("2", ""),
+}
+
 MIN_MATCH = 4
 COVERAGE = 0.8
 MAX_GAP = 8
@@ -74,7 +101,9 @@ class Automaton:
         self.phrases = [(words_of(p), label) for p, label in phrases.items()]
         texts = [words_of(t) for _, t in templates] + [p for p, _ in self.phrases]
         self.lengths = [len(t) for t in texts]
-        self.vocabulary = {w: k for k, w in enumerate(sorted({w for t in texts for w in t}))}
+        tells = {label: [t.split() for t in TELLS.get(label, ("", ""))] for label, _ in templates}
+        self.vocabulary = {w: k for k, w in enumerate(sorted({w for t in [*texts, *(t for two in tells.values() for t in two)] for w in t}))}
+        self.tells = {label: tuple({self.vocabulary[w] for w in t} for t in two) for label, two in tells.items()}
         self.next, self.link, self.size = [{}], [-1], [0]
         ends: list[set] = [set()]
         for n, text in enumerate(texts):
@@ -164,6 +193,11 @@ class Automaton:
                 length += 1
             yield s, length
 
+    def told(self, label: str, words) -> bool:
+        """Whether the words of a span are those of this variant."""
+        needs, bars = self.tells[label]
+        return not (needs or bars) or (needs <= (held := set(words)) and not bars & held)
+
     def numbered(self, hashes: np.ndarray) -> np.ndarray:
         """Word numbers; one past the last for words of no template."""
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
@@ -242,16 +276,16 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, min_match: int =
                     t = int(text[a])
                     hits, matches = found.setdefault(t, ([], {}))
                     scan_text(number[a:b].tolist(), auto, a - int(first[t]), hits, matches, min_match)
-                yield table(part, np.diff(first), [row(auto, *found.get(i, ((), {}))) for i in range(part.num_rows)])
+                yield table(part, np.diff(first), [row(auto, number[first[i] : first[i + 1]], *found.get(i, ((), {}))) for i in range(part.num_rows)])
 
-    def row(auto, hits, matches):
+    def row(auto, words, hits, matches):
         spans, top = [], 1.0 if hits else 0.0
         for template, own in matches.items():
             size = auto.lengths[template]
             for covered, a, b in chain(own, max_gap, size):
                 share = min(1.0, covered / size)
                 top = max(top, share)
-                if share >= coverage:
+                if share >= coverage and auto.told(auto.templates[template][0], words[a : b + 1].tolist()):
                     spans.append({"label": auto.templates[template][0], "template": template, "first": a, "last": b, "covered": share})
         base = sorted({auto.phrases[p][1] for _, p in hits})
         at = [x for x, _ in hits]

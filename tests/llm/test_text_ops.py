@@ -74,6 +74,24 @@ def test_license_base_places_and_labels(spark, odd, empty):
     assert L.scan(odd).count() == len(ODD) and L.scan(empty).count() == 0
 
 
+def test_variants_of_a_notice_are_told_apart(spark):
+    """Siblings differ by a word or two; a version of no template gets no label
+    of its own, whatever its coverage."""
+    gnu = lambda name, version: L.GNU_NOTICE.format(name, version)
+    texts = {label: gnu(name, version) for label, name, version in L.GNU_VARIANTS}
+    texts |= {"none-a": gnu("", "4"), "none-b": gnu("Library ", "2"), "none-c": "Licensed under CC BY 3.0", "none-d": "Licensed under CC BY-ND 4.0",
+              "none-e": "Licensed under the Apache License, Version 1.1", "none-f": "licensed under the GNU Lesser General Public License, version 3",
+              "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0", "cc-by-4.0": "Licensed under CC BY 4.0", "gpl-2.0": "licensed under the GNU General Public License, version 2"}
+    both = gnu("", "2") + " " + prose(random.Random(1), 40) + " " + gnu("Affero ", "3")
+    names = [*texts, "two"]
+    docs = spark.createDataFrame(list(enumerate([*texts.values(), both])), "doc_id long, text string")
+    own = {l for l, _ in L.TEMPLATES}
+    for r in L.scan(docs).collect():
+        name, found = names[r["doc_id"]], set(r["labels"].split(",")) & own
+        want = {"gpl-2.0-or-later", "agpl-3.0-or-later"} if name == "two" else set() if name.startswith("none") else {name}
+        assert found == want, (name, r["labels"])
+
+
 def test_automaton_statistics_equal_brute_force():
     rng = random.Random(3)
     templates = [("t", " ".join(rng.choice("abcd") for _ in range(12))) for _ in range(4)]
