@@ -90,13 +90,15 @@ def predict_per_target(models: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def evaluate_per_target(rows: DataFrame, targets, fraction: float = 0.8, seed: int = 0,
-                        num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER) -> DataFrame:
-    """(target_id, n_train, n_test, accuracy) with one fitted model per target;
-    scored and measured for all targets in one join and one aggregate. ``rows``
-    must be a stored table."""
+                        num_classes: int = DEFAULT_CLASSES, max_iter: int = DEFAULT_MAX_ITER,
+                        models: DataFrame | None = None) -> DataFrame:
+    """(target_id, n_train, n_test, accuracy) with one model per target, fitted
+    here unless ``models`` are given; scored and measured for all targets in one
+    join and one aggregate. ``rows`` must be a stored table."""
     from .als import in_train
 
-    models = fit_per_target(rows, targets, fraction, seed, num_classes, max_iter)
+    if models is None:
+        models = fit_per_target(rows, targets, fraction, seed, num_classes, max_iter)
     train = in_train(fraction, seed, SPLIT_KEY)
     hit = F.when(~F.col("_train"), (F.col("prediction") == F.col("label")).cast("double"))
     return predict_per_target(models, rows).withColumn("_train", train).groupBy("target_id").agg(

@@ -867,12 +867,13 @@ def q_predict_congestion(spark, sf):
     **TRAINING_CTES))
 def q_congestion_accuracy(spark, sf):
     """Held-out accuracy of each target camera's model, against the share of
-    hits among the held-out predictions."""
+    held-out rows whose largest margin, class by class, is their label's."""
     rows = _stored_rows(spark, sf)
-    out = congestion.evaluate_per_target(rows, fx.TEST_CAMERAS)
+    models = congestion.fit_per_target(rows, fx.TEST_CAMERAS)
+    out = congestion.evaluate_per_target(rows, fx.TEST_CAMERAS, models=models)
     _, test = als.split_train_test(rows, 0.8, 0, congestion.SPLIT_KEY)
-    hits = congestion.predict_per_target(congestion.fit_per_target(rows, fx.TEST_CAMERAS), test).groupBy("target_id").agg(
-        F.count_if(F.col("prediction") == F.col("label")).alias("hits"), F.count("*").alias("n"))
+    best = F.array_position("_m", F.array_max("_m")) - 1
+    hits = _margins(models, test).groupBy("target_id").agg(F.count_if(best == F.col("label")).alias("hits"), F.count("*").alias("n"))
     share = F.try_divide(F.col("hits"), F.col("n"))
     return out.join(hits, "target_id", "left").select("target_id", "n_train", "n_test", (
         F.coalesce(_close(F.col("accuracy"), share), F.col("accuracy").isNull() & (F.col("n_test") == 0))).alias("agrees"))
