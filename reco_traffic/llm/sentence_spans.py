@@ -221,9 +221,10 @@ def cut(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFr
     text, and the byte ranges [start, end) removed, null where nothing is."""
     gone = repeated(docs, span, min_words).groupBy("doc_id", "_h").agg(F.collect_set(F.struct("at", "n", "span")).alias("_at"))  # of one document
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("_h").alias("_key"), "_at")
-    d = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].cast("string").alias("text"),
-                    docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["doc_id"], docs["text"]).alias("_h"))
-    d = d.join(gone, d["doc_id"].eqNullSafe(gone["_id"]) & (d["_h"] == gone["_key"]), "left").select("row", "text", "_at")
+    d = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"),
+                    F.xxhash64(docs["doc_id"], docs["text"]).alias("_h"))
+    d = d.join(gone, d["doc_id"].eqNullSafe(gone["_id"]) & (d["_h"] == gone["_key"]), "left")
+    d = d.select("row", F.col("row")["text"].cast("string").alias("text"), "_at")  # the text moves once, inside its row
     ranges = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
