@@ -466,6 +466,29 @@ def test_running_totals_close_their_state_and_lose_nothing(spark):
     assert [r["value"] for r in tables.read_batches(spark, bad, spark.createDataFrame([], "value string").schema).collect()] == ["junk"]
 
 
+def test_running_totals_bring_their_own_state_store(spark):
+    """A session with Spark's default store, which can't hold this state, runs
+    them all the same and keeps its settings."""
+    from reco_traffic.streaming import running
+
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    out, ckpt = scratch_path(spark, "run"), scratch_path(spark, "run-ckpt")
+    before = spark.conf.get(running.STATE_STORE)
+    spark.conf.set(running.STATE_STORE, default)
+
+    def start(src):
+        q = running.stream_running_totals(spark.readStream.text(src), out, ckpt, "10 minutes", "1 second", {"availableNow": True})
+        q.awaitTermination()
+        assert q.exception() is None and spark.conf.get(running.STATE_STORE) == default
+        return q
+
+    try:
+        _run_chunks(spark, [['{"camera_id":"c","event_time":"2024-01-01 00:00:01","speed":"4"}']], start)
+    finally:
+        spark.conf.set(running.STATE_STORE, before)
+    assert [(r["speed_total"], r["car_count"]) for r in running.running_totals_view(spark, out).collect()] == [(4.0, 1)]
+
+
 def test_stream_recommend_with_bucketed_history(spark):
     """A bucket-partitioned static history gives the same lists as a plain
     one, and each batch reads only its users' buckets."""
