@@ -41,7 +41,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import IS_WORD, U, chunks, i64, keyed, prefix_hash, range_hash, split_words, text_buffers, word_hashes, written
+from ..session import remove_scratch
+from .common import IS_WORD, U, chunks, i64, keyed, prefix_hash, range_hash, split_words, text_buffers, word_hashes, written, written_at
 
 SPAN, MIN_WORDS = 3, 30
 MIN_SENTENCE, MAX_SENTENCE = 4, 16
@@ -192,9 +193,10 @@ def repeated(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> D
     """(doc_id, _h, at, n, span): the words of the non-first places of every
     repeated span (span is true) and window; at and n may reach past the text."""
     docs = keyed(docs, "text").select(F.col("doc_id").cast("long"), "_h", "text")
-    found = written(spans(docs, span, min_words), "spans")
+    found, path = written_at(spans(docs, span, min_words), "spans")
     twice = written(found.groupBy("hash").count().where("count > 1").select("hash"), "twice")
     again = written(found.join(twice, "hash"), "again")
+    remove_scratch(docs.sparkSession, path)  # the largest table; from here on, its repeated part is enough
     spans_ = later(again.where("n > 0"), "first", "hash").select("doc_id", "_h", "at", "n", F.lit(True).alias("span")).distinct()
 
     at = again.where("n = 0")

@@ -484,3 +484,25 @@ def test_clashing_columns(spark):
     for out in (X.mix(docs), S.remove(docs), M.deduplicate(docs), Q.keep_good(docs, lab)):
         assert out.columns == docs.columns and out.count() >= 0
     assert L.scan(docs).count() == 9 and P.pack_documents(docs).count() == 9 and M.deduplicate(docs).count() == 3
+
+
+def test_span_dedup_keeps_no_large_table_and_no_shuffles(spark):
+    """The table of all spans goes once its repeated part is written, and a
+    write's shuffle files go with it; the session's setting stays."""
+    import glob
+
+    from reco_traffic import session
+    from reco_traffic.llm import common, sentence_spans
+
+    text = " ".join(f"w{i}" for i in range(120))
+    docs = spark.createDataFrame([(i, text) for i in range(4)], "doc_id long, text string")
+    root = session.checkpoint_root(spark).removeprefix("file://")
+    before = set(glob.glob(f"{root}/spans-*"))
+    assert sentence_spans.remove(docs).where("text = ''").count() == 3
+    assert set(glob.glob(f"{root}/spans-*")) == before
+
+    was = spark.conf.get(session.SHUFFLE_CLEANUP)
+    with session.shuffles_removed(spark):
+        assert spark.conf.get(session.SHUFFLE_CLEANUP) == "true"
+    assert spark.conf.get(session.SHUFFLE_CLEANUP) == was
+    assert common.written(docs.groupBy("text").count(), "counts").count() == 1
