@@ -600,3 +600,46 @@ def test_replayed_batch_leaves_view_unchanged(spark):
     run()
     assert view() == before
     assert tables.batch_ids(spark, f"{out}/recs") == [0, 1]
+
+
+def test_pair_products_are_the_models_own(spark):
+    """Products of chosen pairs, dealt by either side, against Spark ML's
+    predictions and plain joins; no stage holds a vector per pair."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from reco_traffic.functions.columns import dot
+    from reco_traffic.operators import als
+
+    rnd = random.Random(3)
+    rows = [(rnd.randint(1, 60), rnd.randint(1, 40), float(rnd.randint(1, 5))) for _ in range(700)]
+    ratings = spark.createDataFrame(rows, "user_id int, item_id int, rating double")
+    model = als.fit_als(ratings, rank=6, iterations=2)
+    pairs = ratings.unionByName(spark.createDataFrame([(1, 999, 1.0), (999, 1, 1.0), (None, 1, 1.0)], ratings.schema))
+    own = lambda df, c: sorted((r["user_id"], r["item_id"], round(r[c], 4)) for r in df.collect())
+    want = own(model.transform(ratings), "prediction")
+    assert own(als.score_pairs(model, pairs), "prediction") == want
+    u, i = als.user_factors(model).withColumnRenamed("features", "_u"), als.item_factors(model).withColumnRenamed("features", "_i")
+    plain = own(ratings.join(u, "user_id").join(i, "item_id").withColumn("product", dot("_u", "_i")), "product")
+    for by in ("user_id", "item_id"):
+        found = als.pair_products(pairs, model.userFactors, model.itemFactors, by, per_block=100)
+        assert found.columns == ["user_id", "item_id", "rating", "product"]
+        assert own(found, "product") == plain
+        assert found.agg(F.sum("rating")).first()[0] == sum(r for _, _, r in rows)
+    none = als.pair_products(pairs.where("user_id > 900"), model.userFactors, model.itemFactors)
+    assert none.count() == 0
+
+
+def test_plain_neighbours_take_bounded_products(spark, monkeypatch):
+    """Tiles of bounded rows, whatever the number of items, give the counts of
+    one tile."""
+    import random
+
+    from reco_traffic.plans import catalog
+
+    rnd = random.Random(4)
+    f = spark.createDataFrame([(i, [rnd.gauss(0, 1) for _ in range(3)]) for i in range(90)], "item_id int, features array<double>")
+    a, b = ({r["item_id"]: (r["n"], round(r["total"], 9)) for r in df.collect()}
+            for df in (catalog._plain_neighbours(f, 0.6), catalog._plain_neighbours(f, 0.6, tile_rows=10, chunk=3)))
+    assert a == b and len(a) == 90 and any(n for n, _ in a.values())
